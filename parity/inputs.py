@@ -3,13 +3,20 @@
 Three dirty inputs grow with the tables: ``listings`` (one per order), ``rentals`` (one per lineitem) and ``areas`` (one
 polygon for seven customers in eight). Customer ``c`` owns the unit square at column ``c % 100`` and row ``c / 100``;
 an order lies somewhere in the square of its customer. Offsets have three decimals that never fall on a polygon edge.
+
+The inputs are what raw files and bronze tables would be, so they are written once per session and input folder, and
+queries read them from there.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lettora.sources.shared import fresh_path
+
 
 def code(key: str, owner: str) -> str:
     """A zipcode text in one of eight states of disrepair."""
@@ -75,13 +82,37 @@ def _select(df: DataFrame, columns: dict[str, str]) -> DataFrame:
     return df.select(*[F.expr(text).alias(name) for name, text in columns.items()])
 
 
+_WRITTEN: dict[tuple[str, str, str], str] = {}
+
+
+def path_once(spark: SparkSession, folder: str, name: str, write: Callable[[str], None]) -> str:
+    """Where ``write`` has put the input ``name``; it is called at most once per session and input folder."""
+    key = (spark.sparkContext.applicationId, folder, name)
+    if key not in _WRITTEN:
+        path = fresh_path(spark, name)
+        write(path)
+        _WRITTEN[key] = path
+    return _WRITTEN[key]
+
+
+def _stored(spark: SparkSession, folder: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    def write(path: str) -> None:
+        df, cores = build(), spark.sparkContext.defaultParallelism
+        # One small source file would mean one file here and one task in every query.
+        (df.repartition(cores) if df.rdd.getNumPartitions() < cores else df).write.parquet(path)
+
+    return spark.read.parquet(path_once(spark, folder, name, write))
+
+
 def listings(spark: SparkSession, folder: str) -> DataFrame:
-    return _select(read(spark, folder, "orders"), LISTINGS)
+    return _stored(spark, folder, "listings", lambda: _select(read(spark, folder, "orders"), LISTINGS))
 
 
 def rentals(spark: SparkSession, folder: str, arrays: bool = True) -> DataFrame:
-    extra = {name: text.format(empty=SPARK_EMPTY) for name, text in RENTAL_ARRAYS.items()} if arrays else {}
-    return _select(read(spark, folder, "lineitem"), RENTALS | extra)
+    """With ``arrays=False`` without the array columns."""
+    texts = {name: text.format(empty=SPARK_EMPTY) for name, text in RENTAL_ARRAYS.items()}
+    df = _stored(spark, folder, "rentals", lambda: _select(read(spark, folder, "lineitem"), RENTALS | texts))
+    return df if arrays else df.select(*RENTALS)
 
 
 def areas(spark: SparkSession, folder: str) -> DataFrame:
@@ -121,19 +152,54 @@ def area_features(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+# Features per collection, which is one row or one file.
+COLLECTION = 1024
+
+
 def postcode_collections(spark: SparkSession, folder: str) -> DataFrame:
-    """Areas as a bronze postcode table: collections of at most 64 features."""
+    """Areas as a bronze postcode table."""
     feature = F.struct(
         F.struct(F.col("postcode").alias("pc4_code")).alias("properties"),
         F.struct("type", "coordinates").alias("geometry"),
     )
-    return (
-        area_features(spark, folder)
-        .groupBy(F.floor(F.col("owner") / 64))
-        .agg(F.collect_list(feature).alias("features"))
-        .select("features")
+
+    def build() -> DataFrame:
+        features = area_features(spark, folder)
+        collections = features.groupBy(F.floor(F.col("owner") / COLLECTION)).agg(F.collect_list(feature).alias("features"))
+        return collections.select("features")
+
+    return _stored(spark, folder, "postcodes", build)
+
+
+def geojson_files(spark: SparkSession, folder: str) -> str:
+    """Areas as pretty-printed GeoJSON files; MultiPolygons have a number for a postcode."""
+    feature = F.format_string(
+        '{"type": "Feature",\n "properties": {"pc4_code": %s},\n "geometry": {"type": "%s",\n "coordinates": %s}}',
+        F.expr("if(type = 'MultiPolygon', postcode, concat('\"', postcode, '\"'))"),
+        "type",
+        "coordinates",
     )
 
+    def write(path: str) -> None:
+        collections = (
+            area_features(spark, folder)
+            .groupBy(F.floor(F.col("owner") / COLLECTION).alias("file"))
+            .agg(F.concat_ws(",\n", F.collect_list(feature)).alias("features"))
+            .select("file", F.format_string('{"type": "FeatureCollection",\n "features": [%s]}', "features"))
+        )
+        collections.write.partitionBy("file").text(path)
+
+    return path_once(spark, folder, "geojson", write)
+
+
+def listings_csv(spark: SparkSession, folder: str) -> str:
+    rows = listings(spark, folder).drop("host_note")
+    return path_once(spark, folder, "listings_csv", lambda path: rows.write.option("header", True).csv(path))
+
+
+def rentals_json(spark: SparkSession, folder: str) -> str:
+    return path_once(spark, folder, "rentals_json", lambda path: rentals(spark, folder).write.json(path))
+
 
 # --- the same inputs as SQL -------------------------------------------------------------------------------------------
 

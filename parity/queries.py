@@ -7,16 +7,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
 from lettora.functions import geojson, text
 from lettora.functions.geometry import inside_any, member_edges
 from lettora.operators.arrays import explode_arrays, explosion_report
-from lettora.operators.columns import flatten_structs, null_strings_to, preview, trim_strings, value_rows
+from lettora.operators.columns import drop_type, flatten_structs, null_strings_to, preview, trim_strings, value_rows
 from lettora.operators.distinct import distinct_keys, distinct_rows
 from lettora.operators.ranking import global_rank
 from lettora.operators.spatial import as_points, containing_polygons, postcode_polygons
-from lettora.params import Economics, GridSpec, RawFiles, TableNames
+from lettora.params import Economics, GridSpec, RawFiles, SkewLimits, TableNames
 from lettora.plans import jobs
 from lettora.plans.fill import COORDINATE, fill_zipcodes, missing_coordinates, unmatched_coordinates, with_formatted_zipcode
 from lettora.plans.gold import gold_comparison, gold_long_term, gold_short_term
@@ -144,10 +144,6 @@ def listings_preview(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def columns_by_type(spark: SparkSession, folder: str) -> DataFrame:
-    from pyspark.sql.types import ArrayType
-
-    from lettora.operators.columns import drop_type
-
     return drop_type(inputs.rentals(spark, folder), ArrayType)
 
 
@@ -168,29 +164,10 @@ def distinct_offers(spark: SparkSession, folder: str) -> DataFrame:
 # --- space ------------------------------------------------------------------------------------------------------------
 
 
-def _write_geojson(spark: SparkSession, folder: str) -> str:
-    """The areas as pretty-printed GeoJSON files of at most 64 features; MultiPolygons have a number for a postcode."""
-    feature = F.format_string(
-        '{"type": "Feature",\n "properties": {"pc4_code": %s},\n "geometry": {"type": "%s",\n "coordinates": %s}}',
-        F.expr("if(type = 'MultiPolygon', postcode, concat('\"', postcode, '\"'))"),
-        "type",
-        "coordinates",
-    )
-    collections = (
-        inputs.area_features(spark, folder)
-        .groupBy(F.floor(F.col("owner") / 64).alias("file"))
-        .agg(F.concat_ws(",\n", F.collect_list(feature)).alias("features"))
-        .select("file", F.format_string('{"type": "FeatureCollection",\n "features": [%s]}', "features"))
-    )
-    path = fresh_path(spark, "geojson")
-    collections.write.partitionBy("file").text(path)
-    return path
-
-
 @query
 def geojson_polygons(spark: SparkSession, folder: str) -> DataFrame:
     """Areas written as GeoJSON and read back: positions of each ring by postcode and kind of corner."""
-    areas = postcode_polygons(read_geojson(spark, _write_geojson(spark, folder)))
+    areas = postcode_polygons(read_geojson(spark, inputs.geojson_files(spark, folder)))
     rings = areas.select("postcode", F.size("members").alias("members"), F.explode(F.flatten("members")).alias("ring"))
     positions = rings.select("postcode", "members", F.size("ring").alias("ring_size"), F.explode("ring").alias("at"))
     return positions.select(
@@ -201,7 +178,7 @@ def geojson_polygons(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def geojson_inferred_schema(spark: SparkSession, folder: str) -> DataFrame:
     """The same through an inferred schema, which leaves quotes to repair; also the repair on JSON text."""
-    areas = read_geojson(spark, _write_geojson(spark, folder), schema=None)
+    areas = read_geojson(spark, inputs.geojson_files(spark, folder), schema=None)
     feature = areas.select(F.explode("features").alias("feature")).select(
         F.col("feature.properties.pc4_code").cast("string").alias("postcode"),
         F.col("feature.geometry").alias("geometry"),
@@ -239,8 +216,6 @@ def point_in_polygon(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def point_in_polygon_shuffled(spark: SparkSession, folder: str) -> DataFrame:
     """The same when the polygon side is too large to broadcast, with a low bound for hot cells."""
-    from lettora.params import SkewLimits
-
     points = as_points(distinct_keys(inputs.listings(spark, folder), COORDINATE))
     return containing_polygons(
         points, polygons(spark, folder), GridSpec(cell=0.5, broadcast_bytes=0), SkewLimits(rows_per_task=4)
@@ -361,20 +336,15 @@ def _table_name(stem: str) -> str:
 @query
 def csv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     """Listings through a CSV file; blank texts and NULL both come back as NULL."""
-    path = fresh_path(spark, "listings-csv")
-    inputs.listings(spark, folder).drop("host_note").write.option("header", True).csv(path)
-    return read_csv(spark, path)
+    return read_csv(spark, inputs.listings_csv(spark, folder))
 
 
 @query
 def json_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
-    path = fresh_path(spark, "rentals-json")
-    inputs.rentals(spark, folder, arrays=False).write.json(path)
     kinds = {"order_id": LongType(), "line_no": LongType()}
     names = ["order_id", "line_no", *[name for name in inputs.RENTALS if name not in kinds]]
-    return read_json_lines(
-        spark, path, StructType([StructField(name, kinds.get(name, StringType())) for name in names])
-    )
+    schema = StructType([StructField(name, kinds.get(name, StringType())) for name in names])
+    return read_json_lines(spark, inputs.rentals_json(spark, folder), schema)
 
 
 @query
@@ -396,15 +366,13 @@ def table_overwrite(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def raw_files_to_gold(spark: SparkSession, folder: str) -> DataFrame:
     """All three jobs in order, from raw files to the comparison table."""
-    base = fresh_path(spark, "raw")
-    inputs.listings(spark, folder).drop("host_note").write.option("header", True).csv(f"{base}/listings")
-    inputs.rentals(spark, folder).write.json(f"{base}/rentals")
-    areas = _write_geojson(spark, folder)
-    files = RawFiles(
-        f"{base}/", f"{base}/", areas.rsplit("/", 1)[0], "listings", "rentals", areas.rsplit("/", 1)[1]
+    paths = [read_from(spark, folder) for read_from in (inputs.listings_csv, inputs.rentals_json, inputs.geojson_files)]
+    (listings_base, listings_file), (rentals_base, rentals_file), (areas_base, areas_file) = (
+        path.rsplit("/", 1) for path in paths
     )
+    files = RawFiles(f"{listings_base}/", rentals_base, areas_base, listings_file, rentals_file, areas_file)
     schema = _table_name("letting")
-    spark.sql(f"create database {schema} location '{base}/tables'")
+    spark.sql(f"create database {schema} location '{fresh_path(spark, schema)}'")
     tables = TableNames().under(None, schema, schema, schema)
     jobs.raw_to_bronze(spark, files, tables)
     jobs.bronze_to_silver(spark, tables, GRID)
