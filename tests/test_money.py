@@ -1,0 +1,64 @@
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from lettora.functions import money
+from lettora.params import Economics, StrategyLabels
+
+
+def test_mean_rounds_half_up_and_skips_null(spark):
+    rows = spark.createDataFrame([(1.005,), (1.005,), (None,)], "v double")
+    assert rows.agg(money.mean(F.col("v"), 2).alias("m")).first().m == 1.01
+    rows = spark.createDataFrame([(0.25,), (0.25,)], "v double")
+    assert rows.agg(money.mean(F.col("v"), 1).alias("m")).first().m == 0.3
+
+
+def test_mean_does_not_depend_on_order(spark):
+    numbers = [0.1 * i for i in range(1, 2000)]
+    means = {
+        spark.createDataFrame([(n,) for n in order], "v double")
+        .repartition(parts)
+        .agg(money.mean(F.col("v"), 2).alias("m"))
+        .first()
+        .m
+        for order in (numbers, numbers[::-1])
+        for parts in (1, 7)
+    }
+    assert means == {100.0}
+
+
+def test_mean_of_nothing_or_not_a_number(spark):
+    rows = spark.createDataFrame([(float("nan"),), (float("inf"),), (1e300,)], "v double")
+    assert rows.agg(money.mean(F.col("v"), 2).alias("m")).first().m is None
+
+
+@pytest.mark.parametrize(
+    "occupancy, expected", [(Decimal("0.50"), 22529.63), (0.7, 31541.48)]
+)  # 123.45 * 365 * 0.5 = 22529.625; * 0.7 = 31541.475: both round up, exactly
+def test_short_term_revenue(spark, occupancy, expected):
+    row = spark.range(1).select(
+        money.short_term_revenue(F.lit(123.45), Economics(occupancy_rate=occupancy)).alias("v")
+    )
+    assert row.first().v == expected
+
+
+def test_difference_ratio_and_strategy(spark):
+    rows = spark.createDataFrame(
+        [(1, 10.0, 4.0), (2, 4.0, 10.0), (3, 5.0, 5.0), (4, 5.0, 0.0), (5, None, 1.0)], "i int, a double, b double"
+    )
+    out = (
+        rows.withColumn("d", money.difference(F.col("a"), F.col("b")))
+        .withColumn("q", money.ratio(F.col("a"), F.col("b")))
+        .withColumn("s", money.strategy(F.col("d"), StrategyLabels("short", "long")))
+        .orderBy("i")
+        .collect()
+    )
+    assert [(r.d, r.q, r.s) for r in out] == [
+        (6.0, 2.5, "short"), (-6.0, 0.4, "long"), (0.0, 1.0, "long"), (5.0, None, "short"), (None, None, "long"),
+    ]
+
+
+def test_long_term_revenue(spark):
+    row = spark.range(1).select(money.long_term_revenue(F.lit(1200.5), Economics(months_per_year=11)).alias("v"))
+    assert row.first().v == 13205.5
