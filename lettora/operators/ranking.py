@@ -55,4 +55,5 @@ def global_rank(
         .select(F.struct("_value").alias("_key"), alias)
     )
     keyed = df.withColumn("_key", F.struct(F.col(column).alias("_value")))
-    return skew_join(keyed, ranks, ["_key"], "inner", limits).select(*df.columns, alias)
+    counted = sliced.select(F.struct("_value").alias("_key"), F.col("_n").alias("n"))
+    return skew_join(keyed, ranks, ["_key"], "inner", limits, counted).select(*df.columns, alias)

@@ -1,8 +1,9 @@
 """Equi-join that splits hot keys of its left side.
 
 The hot keys are counted, not guessed: one aggregation over the key columns alone, combined before its shuffle. Their
-list is bounded by ``SkewLimits.max_hot_keys`` and broadcast. Left rows of a hot key are spread over salts, and the right
-rows of that key are repeated once per salt. Rows with a NULL key match nothing and are spread as well.
+list is bounded by ``SkewLimits.max_hot_keys``; it is written to the shared folder, so that both sides of the join see
+the same list, and broadcast. Left rows of a hot key are spread over salts, and the right rows of that key are repeated
+once per salt. Rows with a NULL key match nothing and are spread as well.
 
 The salt of a row is derived from the number of the input partition it sits in, not from a random number, so a task that
 is run again after the loss of an executor sends each row where it went the first time.
@@ -16,42 +17,56 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lettora.params import SkewLimits
+from lettora.sources.shared import written
 
 SALT, SALTS = "_salt", "_salts"
 
 
-def hot_keys(df: DataFrame, keys: list[str], limits: SkewLimits = SkewLimits()) -> DataFrame:
-    """Keys with more than ``rows_per_task`` rows, and into how many salts each is to be split."""
-    counted = df.select(*keys).na.drop().groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+def rows_per_key(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Distinct non-NULL keys with their number of rows ``n``."""
+    return df.select(*keys).na.drop().groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+
+
+def hot_keys(counted: DataFrame, keys: list[str], limits: SkewLimits = SkewLimits()) -> DataFrame:
+    """Of keys with row counts ``n``, those above ``rows_per_task``, and into how many salts each is to be split."""
     largest = counted.where(F.col("n") > limits.rows_per_task).orderBy(F.desc("n"), *keys).limit(limits.max_hot_keys)
     return largest.select(*keys, F.ceil(F.col("n") / F.lit(limits.rows_per_task)).cast("int").alias(SALTS))
 
 
 def skew_join(
-    left: DataFrame, right: DataFrame, on: list[str], how: str = "inner", limits: SkewLimits | None = SkewLimits()
+    left: DataFrame,
+    right: DataFrame,
+    on: list[str],
+    how: str = "inner",
+    limits: SkewLimits | None = SkewLimits(),
+    counted: DataFrame | None = None,
 ) -> DataFrame:
-    """``left.join(right, on, how)`` for ``how`` inner or left; ``limits=None`` is the plain join."""
+    """``left.join(right, on, how)`` for ``how`` inner or left; ``limits=None`` is the plain join.
+
+    ``counted`` are the rows per key of ``left`` (columns ``on`` and ``n``), for callers that have them already.
+    """
     if how not in ("inner", "left"):
         raise ValueError(f"how must be 'inner' or 'left', not {how!r}")
     if limits is None:
         return left.join(right, on, how)
     if how == "inner":
         left = left.na.drop(subset=on)
-    hot = F.broadcast(hot_keys(left, on, limits))
-    salted = left.join(hot, on, "left").withColumn(SALT, _salt_of_row(on)).drop(SALTS)
-    repeated = (
-        right.join(hot, on, "left")
-        .withColumn(SALT, F.explode(F.sequence(F.lit(0), F.coalesce(F.col(SALTS), F.lit(1)) - 1)))
-        .drop(SALTS)
-    )
+    hot = written(hot_keys(counted or rows_per_key(left, on), on, limits), "hot_keys")
+    if hot.isEmpty():
+        if how == "inner":
+            return left.join(right, on, how)
+        salted, repeated = left.withColumn(SALT, _salt(on)), right.withColumn(SALT, F.lit(0))
+    else:
+        salted = left.join(F.broadcast(hot), on, "left").withColumn(SALT, _salt(on, F.col(SALTS))).drop(SALTS)
+        repeats = F.sequence(F.lit(0), F.coalesce(F.col(SALTS), F.lit(1)) - 1)
+        repeated = right.join(F.broadcast(hot), on, "left").withColumn(SALT, F.explode(repeats)).drop(SALTS)
     return salted.join(repeated, [*on, SALT], how).drop(SALT)
 
 
-def _salt_of_row(on: list[str]) -> Column:
+def _salt(on: list[str], salts: Column | None = None) -> Column:
     no_key = reduce(lambda a, b: a | b, [F.col(key).isNull() for key in on])
     part = F.spark_partition_id()
-    return (
-        F.when(no_key, part)
-        .when(F.col(SALTS).isNotNull(), F.pmod(part, F.col(SALTS)))
-        .otherwise(F.lit(0))
-    )
+    salt = F.when(no_key, part)
+    if salts is not None:
+        salt = salt.when(salts.isNotNull(), F.pmod(part, salts))
+    return salt.otherwise(F.lit(0))

@@ -184,10 +184,14 @@ def geojson_inferred_schema(spark: SparkSession, folder: str) -> DataFrame:
         F.col("feature.geometry").alias("geometry"),
     )
     repaired = geojson.unquote_numbers(geojson.unquote_arrays(geojson.geometry_json(F.col("geometry"))))
-    kind = F.get_json_object(repaired, "$.type")
-    members = geojson.polygon_members(kind, F.get_json_object(repaired, "$.coordinates"))
-    return feature.select("postcode", kind.alias("kind"), members.alias("members")).select(
-        "postcode", "kind", F.expr("aggregate(flatten(members), 0, (n, ring) -> n + size(ring))").alias("positions")
+    parts = F.from_json("geometry", "type string, coordinates string")
+    members = geojson.polygon_members(F.col("geometry.type"), F.col("geometry.coordinates"))
+    # One step per column, so that the repaired text is made once per feature.
+    return (
+        feature.select("postcode", repaired.alias("geometry"))
+        .select("postcode", parts.alias("geometry"))
+        .select("postcode", F.col("geometry.type").alias("kind"), members.alias("members"))
+        .selectExpr("postcode", "kind", "aggregate(flatten(members), 0, (n, ring) -> n + size(ring)) as positions")
     )
 
 

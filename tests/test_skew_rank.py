@@ -5,7 +5,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from lettora.operators.ranking import global_rank, rank_desc
-from lettora.operators.skew import hot_keys, skew_join
+from lettora.operators.skew import hot_keys, rows_per_key, skew_join
 from lettora.params import SkewLimits
 
 LIMITS = SkewLimits(rows_per_task=50, max_hot_keys=3)
@@ -31,9 +31,10 @@ def bag(df):
 
 
 @pytest.mark.parametrize("how", ["inner", "left"])
-def test_skew_join_equals_join(spark, how):
+@pytest.mark.parametrize("limits", [LIMITS, SkewLimits()])
+def test_skew_join_equals_join(spark, how, limits):
     left, right = skewed(spark), other_side(spark)
-    joined = skew_join(left, right, ["a", "b"], how, LIMITS)
+    joined = skew_join(left, right, ["a", "b"], how, limits)
     plain = skew_join(left, right, ["a", "b"], how, None)
     assert joined.columns == plain.columns == ["a", "b", "i", "v"]
     assert bag(joined) == bag(plain)
@@ -46,10 +47,10 @@ def test_copies_of_one_row_are_kept(spark):
 
 
 def test_hot_keys_are_counted_and_bounded(spark):
-    hot = {row.a: row._salts for row in hot_keys(skewed(spark), ["a", "b"], LIMITS).collect()}
+    hot = {row.a: row._salts for row in hot_keys(rows_per_key(skewed(spark), ["a", "b"]), ["a", "b"], LIMITS).collect()}
     assert hot == {"hot": 20}
     many = spark.range(1000).select((F.col("id") % 10).alias("a"))
-    assert [row.a for row in hot_keys(many, ["a"], LIMITS).orderBy("a").collect()] == [0, 1, 2]
+    assert [row.a for row in hot_keys(rows_per_key(many, ["a"]), ["a"], LIMITS).orderBy("a").collect()] == [0, 1, 2]
 
 
 def test_hot_rows_are_spread(spark):
