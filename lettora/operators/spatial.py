@@ -117,9 +117,9 @@ def measured_cover(polygons: DataFrame, cell: float) -> tuple[DataFrame, int]:
     """A cover and its estimated size in memory. It is written to the shared folder, so it is computed once."""
     edges = F.expr("aggregate(rims, 0, (n, rim) -> n + size(rim))")
     size = Observation()
-    cells = written(
-        cover(polygons, cell).observe(size, F.count(F.lit(1)).alias("rows"), F.sum(edges).alias("edges")), "cover"
-    )
+    measured = cover(polygons, cell).observe(size, F.count(F.lit(1)).alias("rows"), F.sum(edges).alias("edges"))
+    # Cut in many tasks, stored in few files.
+    cells = written(measured.hint("rebalance"), "cover")
     useful = cells.where(F.col("cell_x").isNotNull() & (F.col("whole") | (F.size("rims") > 0)))
     return useful, size.get["rows"] * ROW_BYTES + (size.get["edges"] or 0) * EDGE_BYTES
 

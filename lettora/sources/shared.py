@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
+_LOCAL: dict[str, str] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -15,14 +16,15 @@ def shared_folder(spark: SparkSession) -> str:
 
     Where the setting is missing, a local session gets a temporary folder; a cluster has to name one.
     """
-    folder = spark.conf.get(SETTING, None) or spark.sparkContext.getConf().get(SETTING)
+    folder = spark.conf.get(SETTING, None)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise RuntimeError(f"set {SETTING} to a folder that all executors can read and write")
-    folder = tempfile.mkdtemp(prefix="lettora-")
-    spark.conf.set(SETTING, folder)
-    return folder
+    if context.applicationId not in _LOCAL:
+        _LOCAL[context.applicationId] = tempfile.mkdtemp(prefix="lettora-")
+    return _LOCAL[context.applicationId]
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
