@@ -55,7 +55,9 @@ def skew_join(
     if hot.isEmpty():
         if how == "inner":
             return left.join(right, on, how)
-        salted, repeated = left.withColumn(SALT, _salt(on)), right.withColumn(SALT, F.lit(0))
+        # Zero, but no literal: the optimizer would take a literal out of the join keys, and the salt with it.
+        zero = F.pmod(F.hash(*on), F.lit(1))
+        salted, repeated = left.withColumn(SALT, _salt(on)), right.withColumn(SALT, zero)
     else:
         salted = left.join(F.broadcast(hot), on, "left").withColumn(SALT, _salt(on, F.col(SALTS))).drop(SALTS)
         repeats = F.sequence(F.lit(0), F.coalesce(F.col(SALTS), F.lit(1)) - 1)

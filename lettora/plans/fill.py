@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lettora.functions.text import format_zipcode, has_pc4
@@ -82,3 +82,38 @@ def unmatched_coordinates(
     listings = with_formatted_zipcode(listings)
     located = locate_missing(listings, polygons, grid, limits)
     return missing_coordinates(listings).join(located, COORDINATE, "left")
+
+
+def fill_profile(
+    listings: DataFrame,
+    polygons: DataFrame,
+    grid: GridSpec = GridSpec(),
+    limits: SkewLimits | None = SkewLimits(),
+) -> DataFrame:
+    """What the fill does to listings without a usable zipcode, as one row of counts.
+
+    ``missing_listings`` of them fall into ``unplaced_listings`` (no coordinate), ``unlocated_listings`` (in no polygon)
+    and the rest, which becomes ``located_rows`` rows: more than listings where ``shared_coordinates`` lie in several
+    polygons.
+    """
+    listings = with_formatted_zipcode(listings)
+    missing = listings.where(F.col("zipcode_formatted").isNull())
+    located = locate_missing(listings, polygons, grid, limits)
+    hits = located.groupBy(*COORDINATE).agg(F.count(F.lit(1)).alias("hits"))
+    # One row per coordinate from here on, also for those with a NULL in them, which join nothing.
+    places = missing.groupBy(*COORDINATE).agg(F.count(F.lit(1)).alias("n")).join(hits, COORDINATE, "left")
+    unplaced = F.col(COORDINATE[0]).isNull() | F.col(COORDINATE[1]).isNull()
+    unlocated = ~unplaced & F.col("hits").isNull()
+
+    def total(rows: Column) -> Column:
+        return F.coalesce(F.sum(rows), F.lit(0))
+
+    return places.agg(
+        total(F.col("n")).alias("missing_listings"),
+        total(F.when(unplaced, F.col("n"))).alias("unplaced_listings"),
+        F.count_if(~unplaced).alias("missing_coordinates"),
+        F.count_if(unlocated).alias("unlocated_coordinates"),
+        F.count_if(F.col("hits") > 1).alias("shared_coordinates"),
+        total(F.when(unlocated, F.col("n"))).alias("unlocated_listings"),
+        total(F.col("n") * F.col("hits")).alias("located_rows"),
+    )

@@ -166,6 +166,17 @@ ORACLE: dict[str, str] = {
     "zipcode_fill_first": FILLED_FIRST,
     "unmatched_coordinate_report": f"""{WITH} select latitude, longitude, postcode from missing
         left join located using (latitude, longitude)""",
+    "zipcode_fill_profile": f"""{WITH},
+        needy as (select * from formatted where zipcode_formatted is null),
+        hits as (select latitude, longitude, count(*) as hits from located group by 1, 2),
+        places as (select latitude, longitude, count(*) as n, any_value(hits) as hits from needy
+          left join hits using (latitude, longitude) where latitude is not null and longitude is not null group by 1, 2)
+        select (select count(*) from needy) as missing_listings,
+          (select count(*) from needy where latitude is null or longitude is null) as unplaced_listings,
+          count(*) as missing_coordinates, count(*) filter (where hits is null) as unlocated_coordinates,
+          count(*) filter (where hits > 1) as shared_coordinates,
+          cast(sum(case when hits is null then n else 0 end) as bigint) as unlocated_listings,
+          cast(sum(n * coalesce(hits, 0)) as bigint) as located_rows from places""",
     "silver_listing_rows": f"{WITH} select * from silver_listings",
     "silver_listing_rows_deduped": f"""{WITH} select distinct latitude, longitude, zipcode,
         cast(bedrooms as double) as bedrooms, try_cast(review_scores_value as double) as review_scores_value,

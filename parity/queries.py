@@ -18,7 +18,14 @@ from lettora.operators.ranking import global_rank
 from lettora.operators.spatial import as_points, containing_polygons, postcode_polygons
 from lettora.params import Economics, GridSpec, RawFiles, SkewLimits, TableNames
 from lettora.plans import jobs
-from lettora.plans.fill import COORDINATE, fill_zipcodes, missing_coordinates, unmatched_coordinates, with_formatted_zipcode
+from lettora.plans.fill import (
+    COORDINATE,
+    fill_profile,
+    fill_zipcodes,
+    missing_coordinates,
+    unmatched_coordinates,
+    with_formatted_zipcode,
+)
 from lettora.plans.gold import gold_comparison, gold_long_term, gold_short_term
 from lettora.plans.quality import null_counts, profile
 from lettora.plans.silver import silver_listings, silver_rentals
@@ -245,6 +252,11 @@ def unmatched_coordinate_report(spark: SparkSession, folder: str) -> DataFrame:
     return unmatched_coordinates(inputs.listings(spark, folder), polygons(spark, folder), GRID)
 
 
+@query
+def zipcode_fill_profile(spark: SparkSession, folder: str) -> DataFrame:
+    return fill_profile(inputs.listings(spark, folder), polygons(spark, folder), GRID)
+
+
 # --- silver and gold --------------------------------------------------------------------------------------------------
 
 

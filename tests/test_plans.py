@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from lettora.functions.text import to_double
 from lettora.params import Economics, GridSpec
-from lettora.plans.fill import COORDINATE, fill_zipcodes, unmatched_coordinates
+from lettora.plans.fill import COORDINATE, fill_profile, fill_zipcodes, unmatched_coordinates
 from lettora.plans.gold import gold_comparison, gold_long_term, gold_short_term
 from lettora.plans.quality import null_counts, profile
 from lettora.plans.silver import silver_listings, silver_rentals
@@ -84,6 +84,15 @@ def test_unmatched_coordinates(listings, areas):
     }
 
 
+def test_fill_profile(listings, areas):
+    assert fill_profile(listings, areas, GRID).first().asDict() == {
+        "missing_listings": 5, "unplaced_listings": 1, "missing_coordinates": 3, "unlocated_coordinates": 1,
+        "shared_coordinates": 1, "unlocated_listings": 1, "located_rows": 4,
+    }
+    nothing = fill_profile(listings.limit(0), areas, GRID).first().asDict()
+    assert set(nothing.values()) == {0}
+
+
 def test_silver_rentals(spark):
     rows = [
         (1, "1234AB", "€ 1200", "50", ["a", "b"], [["z"]]),
