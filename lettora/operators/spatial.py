@@ -24,6 +24,10 @@ from lettora.sources.shared import written
 ROW_BYTES, EDGE_BYTES = 128, 64
 
 
+def _tasks(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def postcode_polygons(collections: DataFrame) -> DataFrame:
     """Feature collections -> (postcode, members). Geometries other than (Multi)Polygon are left out.
 
@@ -38,8 +42,7 @@ def postcode_polygons(collections: DataFrame) -> DataFrame:
     ).where(F.col("kind").isin("Polygon", "MultiPolygon"))
     # One file is one task up to here. The rows are few but costly to cut, so the number of tasks is fixed: by their
     # bytes alone they would be merged into one.
-    tasks = int(collections.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return parsed.repartition(tasks).select(
+    return parsed.repartition(_tasks(collections)).select(
         "postcode", polygon_members(F.col("kind"), F.col("coordinates")).alias("members")
     )
 
@@ -90,6 +93,8 @@ def cover(polygons: DataFrame, cell: float) -> DataFrame:
             "cell_y",
             f"{non_empty(f'transform(boundary, edges -> filter(edges, e -> {in_row}))')} as boundary",
         )
+        # A polygon far larger than the others has very many cells; its rows of cells are cut in different tasks.
+        .repartition(_tasks(polygons))
         .selectExpr("postcode", "cell_y", "boundary", f"{cells_between(left_end('e'), right_end('e'))} as cell_x")
         .selectExpr("postcode", "cell_x", "cell_y", f"transform(boundary, edges -> {member_in_cell}) as boundary")
         .selectExpr("postcode", "cell_x", "cell_y", "boundary", f"{uncut_inside} as whole")

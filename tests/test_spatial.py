@@ -116,6 +116,25 @@ def test_inner_cells_need_no_edges(spark):
     assert not cells[(0, 0)].whole and cells[(0, 0)].rims
 
 
+def test_one_large_polygon_is_cut_in_many_tasks(spark):
+    large = [[[x * 50, y * 50] for x, y in SQUARE]]
+    polygons = spark.createDataFrame([("a", [large])], f"postcode string, members {MEMBERS}")
+    cells = cover(polygons, 1.0).groupBy(F.spark_partition_id().alias("task")).count().collect()
+    total = sum(row["count"] for row in cells)
+    # The closed upper and right sides fall into one more row and column of cells.
+    assert total == 201 * 201
+    assert max(row["count"] for row in cells) < total / 4
+
+
+def test_small_units(spark):
+    """Degrees: cells far below one, negative coordinates."""
+    ring = [[[-0.0004 + x / 10000, -0.0002 + y / 10000] for x, y in SQUARE]]
+    polygons = spark.createDataFrame([("a", [ring])], f"postcode string, members {MEMBERS}")
+    points = spark.createDataFrame([(1, -0.0001, 0.0001), (2, 0.00011, 0.0001)], "i int, x double, y double")
+    for grid in (GridSpec(), GridSpec(7.5e-05)):
+        assert [row.i for row in containing_polygons(points, polygons, grid).collect()] == [1]
+
+
 def test_typical_cell(spark):
     polygons = spark.createDataFrame([("a", [[SQUARE]])], f"postcode string, members {MEMBERS}")
     assert typical_cell(polygons) == 1.0
