@@ -60,7 +60,7 @@ class SkewLimits:
 
 @dataclass(frozen=True)
 class RawFiles:
-    """Where the three raw inputs lie."""
+    """Where the three raw inputs lie. The file names users have today."""
 
     listings_base: str
     rentals_base: str
@@ -72,7 +72,7 @@ class RawFiles:
 
 @dataclass(frozen=True)
 class TableNames:
-    """Identifiers (one to three parts) of all tables the jobs read and write."""
+    """Identifiers (one to three parts) of all tables the jobs read and write. The names users have today."""
 
     bronze_listings: str = "bronze_airbnb"
     bronze_rentals: str = "bronze_rentals"
