@@ -1,12 +1,13 @@
 """Equi-join that splits hot keys of its left side.
 
-The hot keys are counted, not guessed: one aggregation over the key columns alone, combined before its shuffle. Their
-list is bounded by ``SkewLimits.max_hot_keys``; it is written to the shared folder, so that both sides of the join see
-the same list, and broadcast. Left rows of a hot key are spread over salts, and the right rows of that key are repeated
-once per salt. Rows with a NULL key match nothing and are spread as well.
-
-The salt of a row is derived from the number of the input partition it sits in, not from a random number, so a task that
-is run again after the loss of an executor sends each row where it went the first time.
+The hot keys are counted, not guessed: one aggregation over the key columns alone, combined before its shuffle. There is
+no limit on their number, which is at most rows / ``rows_per_task``. The list is written to the shared folder, so that
+both sides of the join see the same one, and joined by its measured size: broadcast if small, shuffled otherwise. Left
+rows of a hot key are spread over salts, and the right rows of that key are repeated once per salt. Rows with a NULL key
+match nothing and are spread as well.
+
+The salt of a row is a hash of its columns and of its input partition, not a random number, so a task that is run again
+after the loss of an executor sends each row where it went the first time. Equal rows of one partition stay together.
 """
 
 from __future__ import annotations
@@ -16,21 +17,23 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lettora.operators.columns import quoted
 from lettora.params import SkewLimits
 from lettora.sources.shared import written
 
-SALT, SALTS = "_salt", "_salts"
+SALT, SALTS, SPREAD = "_salt", "_salts", "_spread"
 
 
 def rows_per_key(df: DataFrame, keys: list[str]) -> DataFrame:
     """Distinct non-NULL keys with their number of rows ``n``."""
+    keys = list(map(quoted, keys))
     return df.select(*keys).na.drop().groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
 
 
 def hot_keys(counted: DataFrame, keys: list[str], limits: SkewLimits = SkewLimits()) -> DataFrame:
-    """Of keys with row counts ``n``, those above ``rows_per_task``, and into how many salts each is to be split."""
-    largest = counted.where(F.col("n") > limits.rows_per_task).orderBy(F.desc("n"), *keys).limit(limits.max_hot_keys)
-    return largest.select(*keys, F.ceil(F.col("n") / F.lit(limits.rows_per_task)).cast("int").alias(SALTS))
+    """Keys with more than ``rows_per_task`` of the counted rows ``n``, and into how many salts each is to be split."""
+    salts = F.ceil(F.col("n") / F.lit(limits.rows_per_task)).cast("int").alias(SALTS)
+    return counted.where(F.col("n") > limits.rows_per_task).select(*map(quoted, keys), salts)
 
 
 def skew_join(
@@ -52,23 +55,18 @@ def skew_join(
     if how == "inner":
         left = left.na.drop(subset=on)
     hot = written(hot_keys(counted or rows_per_key(left, on), on, limits), "hot_keys")
-    if hot.isEmpty():
-        if how == "inner":
-            return left.join(right, on, how)
-        # Zero, but no literal: the optimizer would take a literal out of the join keys, and the salt with it.
-        zero = F.pmod(F.hash(*on), F.lit(1))
-        salted, repeated = left.withColumn(SALT, _salt(on)), right.withColumn(SALT, zero)
-    else:
-        salted = left.join(F.broadcast(hot), on, "left").withColumn(SALT, _salt(on, F.col(SALTS))).drop(SALTS)
-        repeats = F.sequence(F.lit(0), F.coalesce(F.col(SALTS), F.lit(1)) - 1)
-        repeated = right.join(F.broadcast(hot), on, "left").withColumn(SALT, F.explode(repeats)).drop(SALTS)
+    if how == "inner" and hot.isEmpty():
+        return left.join(right, on, how)
+    no_key = reduce(lambda a, b: a | b, [F.col(quoted(key)).isNull() for key in on])
+    # Not a literal: the optimizer would take a literal out of the join keys, and the salt with it.
+    zero = F.pmod(F.hash(*map(quoted, on)), F.lit(1)).cast("long")
+    spread = left.withColumn(SPREAD, F.xxhash64(*_hashable(left), F.spark_partition_id())).join(hot, on, "left")
+    salt = F.when(no_key, F.col(SPREAD)).when(F.col(SALTS).isNull(), zero).otherwise(F.pmod(SPREAD, SALTS))
+    salted = spread.withColumn(SALT, salt).drop(SALTS, SPREAD)
+    repeats = F.sequence(F.lit(0).cast("long"), F.coalesce(SALTS, F.lit(1)).cast("long") - 1)
+    repeated = right.join(hot, on, "left").withColumn(SALT, F.explode(repeats)).drop(SALTS)
     return salted.join(repeated, [*on, SALT], how).drop(SALT)
 
 
-def _salt(on: list[str], salts: Column | None = None) -> Column:
-    no_key = reduce(lambda a, b: a | b, [F.col(key).isNull() for key in on])
-    part = F.spark_partition_id()
-    salt = F.when(no_key, part)
-    if salts is not None:
-        salt = salt.when(salts.isNotNull(), F.pmod(part, salts))
-    return salt.otherwise(F.lit(0))
+def _hashable(df: DataFrame) -> list[Column]:
+    return [F.col(quoted(field.name)) for field in df.schema if "map<" not in field.dataType.simpleString()]

@@ -50,12 +50,11 @@ class GridSpec:
 class SkewLimits:
     """When a join key counts as hot.
 
-    A key with more than ``rows_per_task`` rows is split into pieces of about that size. At most ``max_hot_keys`` keys,
-    the largest, are split: this bounds the broadcast list. All other keys take the ordinary path of the same join.
+    A key with more than ``rows_per_task`` rows is split into pieces of about that size; all others take the ordinary
+    path of the same join.
     """
 
     rows_per_task: int = 1_000_000
-    max_hot_keys: int = 100_000
 
 
 @dataclass(frozen=True)

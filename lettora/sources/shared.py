@@ -20,7 +20,7 @@ def shared_folder(spark: SparkSession) -> str:
     if folder:
         return folder.rstrip("/")
     context = spark.sparkContext
-    if not context.master.startswith("local"):
+    if context.master != "local" and not context.master.startswith("local["):
         raise RuntimeError(f"set {SETTING} to a folder that all executors can read and write")
     if context.applicationId not in _LOCAL:
         _LOCAL[context.applicationId] = tempfile.mkdtemp(prefix="lettora-")

@@ -3,7 +3,9 @@
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from parity.oracle import ORACLE
+from parity.queries import REGISTRY
 
 FOLDER = "/root/testdata/sf0.001"
 TABLES = ["orders", "lineitem", "customer"]
@@ -23,15 +25,15 @@ def in_order(rows):
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(REGISTRY) == set(ORACLE)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(REGISTRY))
 def test_query_equals_sql(spark, database, name):
-    result = queries()[name](spark, FOLDER)
+    result = REGISTRY[name](spark, FOLDER)
     columns = sorted(result.columns)
     found = [tuple(row) for row in result.select(*columns).collect()]
-    answer = database.execute(oracle_sql()[name])
+    answer = database.execute(ORACLE[name])
     names = [part[0] for part in answer.description]
     assert sorted(names) == columns
     expected = [tuple(row[names.index(column)] for column in columns) for row in answer.fetchall()]

@@ -8,7 +8,7 @@ from lettora.operators.ranking import global_rank, rank_desc
 from lettora.operators.skew import hot_keys, rows_per_key, skew_join
 from lettora.params import SkewLimits
 
-LIMITS = SkewLimits(rows_per_task=50, max_hot_keys=3)
+LIMITS = SkewLimits(rows_per_task=50)
 
 
 def skewed(spark, rows=3000):
@@ -46,18 +46,37 @@ def test_copies_of_one_row_are_kept(spark):
     assert skew_join(left, right, ["a"], "left", LIMITS).count() == 2000
 
 
-def test_hot_keys_are_counted_and_bounded(spark):
+def test_every_hot_key_is_counted(spark):
     hot = {row.a: row._salts for row in hot_keys(rows_per_key(skewed(spark), ["a", "b"]), ["a", "b"], LIMITS).collect()}
     assert hot == {"hot": 20}
     many = spark.range(1000).select((F.col("id") % 10).alias("a"))
-    assert [row.a for row in hot_keys(rows_per_key(many, ["a"]), ["a"], LIMITS).orderBy("a").collect()] == [0, 1, 2]
+    assert [row.a for row in hot_keys(rows_per_key(many, ["a"]), ["a"], LIMITS).orderBy("a").collect()] == [*range(10)]
 
 
-@pytest.mark.parametrize("limits, hot_most", [(LIMITS, 600), (SkewLimits(), 1000)])
+def test_few_input_partitions_do_not_bound_the_pieces(spark):
+    """A million rows of one key in two partitions reach at least 50 tasks of a hundred."""
+    settings = {"spark.sql.autoBroadcastJoinThreshold": -1, "spark.sql.adaptive.enabled": False}
+    settings["spark.sql.shuffle.partitions"] = 100
+    before = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        left = spark.range(0, 1_000_000, 1, 2).select("id", F.lit("x").alias("a"))
+        right = spark.createDataFrame([("x", 1)], "a string, v int")
+        joined = skew_join(left, right, ["a"], "inner", SkewLimits(rows_per_task=10_000))
+        tasks = [row["count"] for row in joined.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert sum(tasks) == 1_000_000 and len(tasks) >= 50 and max(tasks) <= 60_000
+
+
+@pytest.mark.parametrize("limits, hot_most", [(LIMITS, 200), (SkewLimits(), 1000)])
 def test_rows_are_spread(spark, limits, hot_most):
     """With broadcast off, no task of the join holds the whole hot key, nor ever all rows without a key."""
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", False)
+    spark.conf.set("spark.sql.shuffle.partitions", 64)
     try:
         joined = skew_join(skewed(spark), other_side(spark).dropDuplicates(["a", "b"]), ["a", "b"], "left", limits)
         by_task = joined.groupBy(F.spark_partition_id().alias("task"), F.coalesce("a", F.lit("none")).alias("a")).count()
@@ -65,6 +84,7 @@ def test_rows_are_spread(spark, limits, hot_most):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.set("spark.sql.shuffle.partitions", 8)
     assert largest["hot"] <= hot_most and largest["none"] <= 120
 
 
