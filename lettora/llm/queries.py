@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from lettora.llm.quality_rules import COUNTS, quality_verdicts
 from lettora.llm.simhash import simhash_components
 from lettora.llm.tables import table
 
@@ -21,3 +22,9 @@ def query(function: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
 @query
 def op1_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return simhash_components(table(spark, folder, "documents"))
+
+
+@query
+def op2_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    judged = quality_verdicts(table(spark, folder, "documents"), table(spark, folder, "labels"))
+    return judged.select("doc_id", *COUNTS, "base_failed", "kept", "anomaly")

@@ -21,6 +21,12 @@ def texts(documents: DataFrame) -> DataFrame:
     return documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("raw"))
 
 
+def _typed(column: Iterable, kind: pa.DataType) -> pa.Array:
+    if isinstance(column, pa.Array):
+        return column if column.type == kind else column.cast(kind)
+    return pa.array(column, kind)
+
+
 def map_batches(df: DataFrame, rows: Callable[..., Iterable[Iterable]], schema: StructType, *args) -> DataFrame:
     """``rows(batch, *args)`` yields tuples of columns for every Arrow batch of ``df``; one tuple makes one batch."""
     from pyspark.sql.pandas.types import to_arrow_schema
@@ -30,7 +36,7 @@ def map_batches(df: DataFrame, rows: Callable[..., Iterable[Iterable]], schema:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for columns in rows(batch, *args):
-                arrays = [pa.array(c, kind) for c, kind in zip(columns, arrow.types, strict=True)]
+                arrays = [_typed(c, kind) for c, kind in zip(columns, arrow.types, strict=True)]
                 yield pa.RecordBatch.from_arrays(arrays, schema=arrow)
 
     return df.mapInArrow(run, schema)
