@@ -5,7 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from lettora.llm.line_dedup import dedup_lines
 from lettora.llm.quality_rules import COUNTS, quality_verdicts
 from lettora.llm.simhash import simhash_components
 from lettora.llm.tables import table
@@ -28,3 +30,31 @@ def op1_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 def op2_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     judged = quality_verdicts(table(spark, folder, "documents"), table(spark, folder, "labels"))
     return judged.select("doc_id", *COUNTS, "base_failed", "kept", "anomaly")
+
+
+@query
+def op9_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    cut = dedup_lines(table(spark, folder, "documents"))
+    return cut.select("row.doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+LLM_ORACLE["op9_line_dedup"] = """
+with split as (
+  select doc_id, string_split(coalesce(text, ''), chr(10)) as parts from documents
+), lines as (
+  select doc_id, unnest(parts) as line, generate_subscripts(parts, 1) as pos from split
+), keyed as (
+  select doc_id, line, pos, translate(trim(line, concat(' ', chr(9), chr(10), chr(11), chr(12), chr(13))),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as line_key
+  from lines
+), shared as (
+  select line_key, max(doc_id) as keeper from keyed where length(line_key) >= 40
+  group by line_key having count(distinct doc_id) >= 5
+), marked as (
+  select k.doc_id, k.line, k.pos, s.line_key is not null and k.doc_id <> s.keeper as gone
+  from keyed k left join shared s on k.line_key = s.line_key
+)
+select doc_id, count(*) as n_lines, count(*) filter (where gone) as n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) order by pos) filter (where not gone), '')) as kept_sha256
+from marked group by doc_id
+"""
