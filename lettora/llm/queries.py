@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lettora.llm.decontamination import benchmark_leaks
 from lettora.llm.line_dedup import dedup_lines
 from lettora.llm.quality_rules import COUNTS, quality_verdicts
 from lettora.llm.simhash import simhash_components
@@ -58,3 +59,8 @@ select doc_id, count(*) as n_lines, count(*) filter (where gone) as n_dropped,
   sha256(coalesce(string_agg(line, chr(10) order by pos) filter (where not gone), '')) as kept_sha256
 from marked group by doc_id
 """
+
+
+@query
+def op7_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return benchmark_leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark")).drop("text_hash")
