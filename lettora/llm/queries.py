@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lettora.llm.decontamination import benchmark_leaks
 from lettora.llm.line_dedup import dedup_lines
+from lettora.llm.mixing import mix, words_taken
 from lettora.llm.quality_rules import COUNTS, quality_verdicts
 from lettora.llm.simhash import simhash_components
 from lettora.llm.tables import table
@@ -64,3 +65,9 @@ from marked group by doc_id
 @query
 def op7_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return benchmark_leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark")).drop("text_hash")
+
+
+@query
+def op3_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
+    taken = words_taken(mix(table(spark, folder, "documents")))
+    return taken.select("doc_id", "size", "source_size", "target", "taken", "source")
