@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lettora.llm.components import components
-from lettora.llm.tables import map_batches, texts
+from lettora.llm.tables import map_batches
 from lettora.operators.skew import skew_join
 from lettora.sources.shared import written
 from pyspark.sql.types import LongType, StructType
@@ -59,13 +59,18 @@ def fingerprint(raw: bytes | None, shingle_words: int = SHINGLE_WORDS) -> int:
 
 
 def _fingerprint_rows(batch: pa.RecordBatch, shingle_words: int) -> Iterator[tuple]:
-    yield batch.column(0), [fingerprint(raw.as_py(), shingle_words) for raw in batch.column(1)]
+    yield *batch.columns[:2], [fingerprint(raw.as_py(), shingle_words) for raw in batch.column(2)]
+
+
+def _identity() -> list[Column]:
+    return [F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash")]
 
 
 def fingerprints(documents: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFrame:
-    """``doc_id`` and ``bits``, the fingerprint as a signed long."""
-    schema = StructType().add("doc_id", LongType()).add("bits", LongType())
-    return map_batches(texts(documents), _fingerprint_rows, schema, shingle_words)
+    """``doc_id``, ``text_hash`` and ``bits``, the fingerprint as a signed long."""
+    schema = StructType().add("doc_id", LongType()).add("text_hash", LongType()).add("bits", LongType())
+    slim = documents.select(*_identity(), F.col("text").cast("binary").alias("raw"))
+    return map_batches(slim, _fingerprint_rows, schema, shingle_words)
 
 
 # --- comparison of two tiles, in one task -----------------------------------------------------------------------------
@@ -154,16 +159,36 @@ def links(nodes: DataFrame, radius: int = RADIUS, tile_rows: int = TILE_ROWS) ->
     return map_batches(pairs, _link_rows, schema, radius)
 
 
+def _rooted(marked: DataFrame, radius: int, tile_rows: int) -> DataFrame:
+    """Distinct ``bits`` with their ``root``, number of rows ``n``, smallest ``doc_id`` and first row."""
+    # NULL would be the smallest member of a struct.
+    row = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash")
+    nodes = marked.groupBy("bits").agg(F.min("doc_id").alias("least"), F.min(row).alias("first"), F.count("*").alias("n"))
+    nodes = written(nodes, "nodes")
+    roots = components(links(nodes, radius, tile_rows)).withColumnRenamed("node", "bits")
+    return written(nodes.join(roots, "bits", "left").withColumn("root", F.coalesce("root", "bits")), "rooted")
+
+
 def simhash_components(
     documents: DataFrame, shingle_words: int = SHINGLE_WORDS, radius: int = RADIUS, tile_rows: int = TILE_ROWS
 ) -> DataFrame:
     """``doc_id``, ``fingerprint`` (16 hex digits) and ``component_id``, the smallest ``doc_id`` reachable by links."""
     marked = written(fingerprints(documents, shingle_words), "fingerprints")
-    nodes = marked.groupBy("bits").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n"))
-    nodes = written(nodes, "nodes")
-    roots = components(links(nodes, radius, tile_rows)).withColumnRenamed("node", "bits")
-    rooted = nodes.join(roots, "bits", "left").withColumn("root", F.coalesce("root", "bits"))
+    rooted = _rooted(marked, radius, tile_rows)
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    classes = written(skew_join(rooted.drop("least"), least, ["root"]).select("bits", "component_id"), "classes")
-    placed = skew_join(marked, classes, ["bits"], counted=nodes.select("bits", "n"))
+    classes = written(skew_join(rooted.select("bits", "root"), least, ["root"]).select("bits", "component_id"), "classes")
+    placed = skew_join(marked, classes, ["bits"], counted=rooted.select("bits", "n"))
     return placed.select("doc_id", F.lpad(F.lower(F.hex("bits")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def one_of_each(
+    documents: DataFrame, shingle_words: int = SHINGLE_WORDS, radius: int = RADIUS, tile_rows: int = TILE_ROWS
+) -> DataFrame:
+    """One row of ``documents`` per component, that of the smallest ``doc_id``, with all its columns."""
+    marked = written(fingerprints(documents, shingle_words), "fingerprints")
+    first = _rooted(marked, radius, tile_rows).groupBy("root").agg(F.min("first").alias("first"))
+    identity = F.struct("first.doc_id", "first.text_hash").alias("identity")
+    rows = documents.select(F.struct("*").alias("row"), F.struct(*_identity()).alias("identity"))
+    # Only rows that repeat both the doc_id and the text are left to drop; they are in one partition already.
+    kept = rows.join(first.select(identity), "identity", "left_semi").dropDuplicates(["identity"])
+    return kept.select("row.*")

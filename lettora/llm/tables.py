@@ -6,21 +6,12 @@ from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-DOCUMENT = ["doc_id", "text", "lang", "source", "n_chars"]
-
-
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def texts(documents: DataFrame) -> DataFrame:
-    """Only ``doc_id`` and the UTF-8 bytes of ``text``: other columns, of whatever name, take no part."""
-    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("raw"))
-
-
 def _typed(column: Iterable, kind: pa.DataType) -> pa.Array:
     if isinstance(column, pa.Array):
         return column if column.type == kind else column.cast(kind)

@@ -8,7 +8,7 @@ import xxhash
 
 from lettora.llm.components import components
 from lettora.llm.queries import op1_simhash_near_dedup
-from lettora.llm.simhash import simhash_components, tile_links
+from lettora.llm.simhash import one_of_each, simhash_components, tile_links
 
 FOLDER = "/root/testdata/sf0.001"
 SCHEMA = "doc_id long, text string"
@@ -59,6 +59,11 @@ def test_odd_rows(spark):
     df = spark.createDataFrame([(*row, "x", 1, 1, 1) for row in rows], wide)
     assert found(simhash_components(df)) == expected
     assert simhash_components(spark.createDataFrame([], SCHEMA)).count() == 0
+    one = one_of_each(df)
+    assert one.columns == df.columns
+    assert sorted((r.doc_id for r in one.collect()), key=str) == sorted({row[2] for row in expected}, key=str)
+    nameless = df.where("doc_id is null").union(df.where("doc_id is null"))
+    assert one_of_each(nameless).count() == 2 and one_of_each(df.limit(0)).count() == 0
 
 
 def test_many_tiles_and_a_hot_group(spark):
