@@ -13,6 +13,7 @@ from lettora.llm.mixing import mix, words_taken
 from lettora.llm.quality_rules import COUNTS, quality_verdicts
 from lettora.llm.simhash import simhash_components
 from lettora.llm.tables import table
+from lettora.llm.warc import archive_round_trip
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 LLM_ORACLE: dict[str, str] = {}
@@ -71,3 +72,21 @@ def op7_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
 def op3_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     taken = words_taken(mix(table(spark, folder, "documents")))
     return taken.select("doc_id", "size", "source_size", "target", "taken", "source")
+
+
+@query
+def op5_warc(spark: SparkSession, folder: str) -> DataFrame:
+    return archive_round_trip(table(spark, folder, "pages")).drop("url")
+
+
+LLM_ORACLE["op5_warc"] = """
+with sized as (
+  select page_id, coalesce(html, '') as payload, strlen(coalesce(html, '')) as payload_bytes from pages
+), kept as (
+  select *, case when payload_bytes >= 1000 then max(page_id) over (partition by payload) end as keeper from sized
+)
+select page_id, payload_bytes, sha1(payload) as payload_digest,
+  case when keeper <> page_id then 'revisit' else 'response' end as record_type,
+  case when keeper <> page_id then keeper end as refers_to
+from kept
+"""
