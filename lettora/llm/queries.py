@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lettora.llm.decontamination import benchmark_leaks
+from lettora.llm.html_text import extract_text
 from lettora.llm.line_dedup import dedup_lines
 from lettora.llm.mixing import mix, words_taken
 from lettora.llm.quality_rules import COUNTS, quality_verdicts
@@ -90,3 +91,8 @@ select page_id, payload_bytes, sha1(payload) as payload_digest,
   case when keeper <> page_id then keeper end as refers_to
 from kept
 """
+
+
+@query
+def op6_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    return extract_text(table(spark, folder, "pages"))
