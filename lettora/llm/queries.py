@@ -12,6 +12,7 @@ from lettora.llm.html_text import extract_text
 from lettora.llm.line_dedup import dedup_lines
 from lettora.llm.mixing import mix, words_taken
 from lettora.llm.quality_rules import COUNTS, quality_verdicts
+from lettora.llm.secret_scan import KEYWORDS, secret_digest
 from lettora.llm.simhash import simhash_components
 from lettora.llm.tables import table
 from lettora.llm.warc import archive_round_trip
@@ -96,3 +97,42 @@ from kept
 @query
 def op6_html_text(spark: SparkSession, folder: str) -> DataFrame:
     return extract_text(table(spark, folder, "pages"))
+
+
+@query
+def op4_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return secret_digest(table(spark, folder, "documents"))
+
+
+_ASSIGN = rf"""(?:{KEYWORDS})["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)"""
+_SECRETS = [
+    ("assign", _ASSIGN, "length(regexp_extract(m, pattern, 1)) >= 12"),
+    ("access", "AKIA[A-Z0-9]+", "length(m) >= 18"),
+    ("hex", "[0-9a-f]+", "length(m) >= 16"),
+    ("pem", "-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----", "true"),
+    ("bearer", "(?:gh[pousr]_|xox[abprs]-|glpat-)[A-Za-z0-9_-]{20,}", "true"),
+]
+LLM_ORACLE["op4_secret_scan"] = (
+    "with matched as ("
+    + " union all ".join(
+        f"""select doc_id, '{kind}' as kind, {k} as rank, regexp_extract_all(coalesce(text, ''), '{pattern}') as ms,
+        regexp_split_to_array(coalesce(text, ''), '{pattern}') as gaps from documents"""
+        for k, (kind, pattern, _) in enumerate(_SECRETS)
+    )
+    + """), pieces as (
+  select doc_id, kind, rank, unnest(ms) as m, unnest(gaps[1:len(ms)]) as gap, generate_subscripts(ms, 1) as i from matched
+), placed as (
+  select *, cast(sum(length(gap) + length(m)) over (partition by doc_id, kind order by i) as bigint) as span_end from pieces
+), found as (
+  select *, kind || ':' || (span_end - length(m)) || ':' || span_end as span, span_end - length(m) as span_start
+  from placed where case kind """
+    + " ".join(f"when '{kind}' then {test.replace('pattern', f"'{pattern}'")}" for kind, pattern, test in _SECRETS)
+    + """ end
+)
+select d.doc_id, count(f.kind) filter (where f.kind = 'assign') as n_assign,
+  count(f.kind) filter (where f.kind = 'access') as n_access, count(f.kind) filter (where f.kind = 'hex') as n_hex,
+  sha256(coalesce(string_agg(f.span, ',' order by f.span_start, f.rank) filter (where f.rank < 3), '')) as base_sha256,
+  coalesce(string_agg(f.span, ',' order by f.span_start, f.rank), '') as spans
+from documents d left join found f on d.doc_id = f.doc_id group by d.doc_id
+"""
+)
