@@ -11,6 +11,7 @@ from lettora.llm.decontamination import benchmark_leaks
 from lettora.llm.html_text import extract_text
 from lettora.llm.line_dedup import dedup_lines
 from lettora.llm.mixing import mix, words_taken
+from lettora.llm.pii import personal_data
 from lettora.llm.quality_rules import COUNTS, quality_verdicts
 from lettora.llm.secret_scan import KEYWORDS, secret_digest
 from lettora.llm.simhash import simhash_components
@@ -104,6 +105,11 @@ def op4_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secret_digest(table(spark, folder, "documents"))
 
 
+@query
+def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
+    return personal_data(table(spark, folder, "documents"))
+
+
 _ASSIGN = rf"""(?:{KEYWORDS})["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)"""
 _SECRETS = [
     ("assign", _ASSIGN, "length(regexp_extract(m, pattern, 1)) >= 12"),
