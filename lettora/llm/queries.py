@@ -12,6 +12,7 @@ from lettora.llm.html_text import extract_text
 from lettora.llm.line_dedup import dedup_lines
 from lettora.llm.mixing import mix, words_taken
 from lettora.llm.pii import personal_data
+from lettora.llm.quality_knn import quality_scores
 from lettora.llm.quality_rules import COUNTS, quality_verdicts
 from lettora.llm.secret_scan import KEYWORDS, secret_digest
 from lettora.llm.simhash import simhash_components
@@ -38,6 +39,11 @@ def op2_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select("doc_id", *COUNTS, "base_failed", "kept", "anomaly")
 
 
+@query
+def op8_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 @query
 def op9_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     cut = dedup_lines(table(spark, folder, "documents"))
