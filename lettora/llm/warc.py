@@ -2,7 +2,7 @@
 
 A WARC file that was compressed as one gzip stream can only be read from its start. The normaliser inflates such a file
 once, front to back, in pieces; every record it meets becomes a gzip member of its own, appended to the normalised
-archive, and a sidecar index (a Parquet table) lists offset and length, so any record can be read alone.
+archive, and a sidecar index lists offset and length, so any record can be read alone.
 
 Files are written and read by Spark's own text and binary sources, so archives can lie wherever Spark can write. The text
 writer ends every row with a separator: for records of a monolithic file that is the record's own end mark; for members
@@ -20,9 +20,11 @@ a url are percent-encoded. A file that ends inside a record or a member raises.
 from __future__ import annotations
 
 import hashlib
+import json
 import zlib
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -162,39 +164,41 @@ def member(raw: bytes) -> bytes:
 
 # --- normalising ------------------------------------------------------------------------------------------------------
 
-_MEMBER = StructType().add("archive", StringType()).add("ordinal", LongType()).add("offset", LongType())
-_MEMBER.add("length", LongType()).add("record_id", StringType()).add("record_type", StringType()).add("member", BinaryType())
+_PART = StructType().add("part", StringType()).add("archive", StringType()).add("ordinal", LongType()).add("value", BinaryType())
+_BATCH_BYTES = 16 << 20
+INDEX_SCHEMA = "record_id string, record_type string, offset long, length long"
 
 
-def _member_rows(batch: pa.RecordBatch) -> Iterator[tuple]:
+def _part_rows(batch: pa.RecordBatch) -> Iterator[tuple]:
     for archive, content in zip(*batch.columns):
-        offset, rows, size = 0, [], 0
-        for ordinal, (fields, _, raw) in enumerate(split_records(inflated(memoryview(content.as_buffer())))):
+        name, offset, ordinal, held, lines, rows = archive.as_py(), 0, 0, 0, [], []
+        for fields, _, raw in split_records(inflated(memoryview(content.as_buffer()))):
             packed = member(raw)
-            rows.append((archive.as_py(), ordinal, offset, len(packed), fields.get("warc-record-id"), fields.get("warc-type"), packed))
-            offset += len(packed)
-            size += len(packed)
-            if size > 16 * _PIECE:
+            place = {"record_id": fields.get("warc-record-id"), "record_type": fields.get("warc-type")}
+            lines.append(json.dumps(place | {"offset": offset, "length": len(packed)}))
+            rows.append(("archives", name, ordinal, packed[:-1]))  # the writer adds the last byte
+            offset, ordinal, held = offset + len(packed), ordinal + 1, held + len(packed)
+            if held > _BATCH_BYTES:
+                rows.append(("index", name, ordinal, "\n".join(lines).encode()))
                 yield zip(*rows)
-                rows, size = [], 0
+                held, lines, rows = 0, [], []
         if rows:
+            rows.append(("index", name, ordinal, "\n".join(lines).encode()))
             yield zip(*rows)
 
 
 def normalise(spark: SparkSession, source: str, target: str) -> None:
     """Rewrite every gzip file under ``source`` as one archive of members, with a sidecar index, under ``target``.
 
-    ``target/archives`` holds the files, ``target/index`` the rows archive, ordinal, offset, length, record_id and
-    record_type. A monolithic file is one task by nature, and its members are sent to one task in file order.
+    One pass without a shuffle writes both: ``target/part=archives/archive=.../`` holds the members of a file and
+    ``target/part=index/archive=.../`` JSON lines with their places. A monolithic file is one task by nature.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(source)
     base = F.regexp_replace(F.regexp_replace("path", r"^.*/", ""), r"[^A-Za-z0-9_-]", "_")
     named = files.select(F.concat_ws("-", base, F.substring(F.md5("path"), 1, 8)).alias("archive"), "content")
-    members = written(map_batches(named, _member_rows, _MEMBER), "members")
-    members.drop("member").write.parquet(f"{target}/index")
-    tail = F.substring(F.col("member"), F.lit(1), (F.col("length") - 1).cast("int")).cast("string").alias("value")
-    lined = members.repartition("archive").sortWithinPartitions("archive", "ordinal").select("archive", tail)
-    lined.write.partitionBy("archive").option("lineSep", "\0").text(f"{target}/archives")
+    parts = map_batches(named, _part_rows, _PART).sortWithinPartitions("part", "archive", "ordinal")
+    lined = parts.select("part", "archive", F.col("value").cast("string"))
+    lined.write.partitionBy("part", "archive").option("lineSep", "\0").text(target)
 
 
 # --- reading ----------------------------------------------------------------------------------------------------------
@@ -203,6 +207,20 @@ _PAGE = StructType().add("page_id", LongType()).add("payload_bytes", LongType())
 _PAGE.add("record_type", StringType()).add("refers_to", LongType()).add("url", StringType())
 
 
+def read_index(spark: SparkSession, target: str) -> DataFrame:
+    """The sidecar index: ``archive``, ``record_id``, ``record_type``, ``offset`` and ``length`` of every record."""
+    schema = StructType().add("value", StringType()).add("part", StringType()).add("archive", StringType())
+    lines = spark.read.schema(schema).option("lineSep", "\0").text(target).where("part = 'index'")
+    lines = lines.select("archive", F.explode(F.split("value", "\n")).alias("line"))
+    return lines.select("archive", F.from_json("line", INDEX_SCHEMA).alias("place")).select("archive", "place.*")
+
+
+def _archives(spark: SparkSession, target: str) -> DataFrame:
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(target)
+    files = files.where(F.col("path").contains("/part=archives/"))
+    return files.select(F.regexp_extract("path", "archive=([^/]+)/", 1).alias("archive"), "content")
+
+
 def _number(text: str | None) -> int | None:
     return int(text) if text else None
 
@@ -219,6 +237,18 @@ def page_of(fields: dict[str, str], block: bytes) -> tuple:
 
 
 def _page_rows(batch: pa.RecordBatch) -> Iterator[tuple]:
+    for content in batch.column(0):
+        records_ = split_records(inflated(memoryview(content.as_buffer())))
+        while rows := [page_of(fields, block) for fields, block, _ in islice(records_, 1000)]:
+            yield zip(*rows)
+
+
+def read_pages(spark: SparkSession, target: str) -> DataFrame:
+    """A row per record of all normalised archives, read member after member; payloads are verified."""
+    return map_batches(_archives(spark, target).select("content"), _page_rows, _PAGE)
+
+
+def _placed_rows(batch: pa.RecordBatch) -> Iterator[tuple]:
     for content, places in zip(*batch.columns):
         content, rows = memoryview(content.as_buffer()), []
         for place in places.as_py():
@@ -229,13 +259,10 @@ def _page_rows(batch: pa.RecordBatch) -> Iterator[tuple]:
             yield zip(*rows)
 
 
-def read_pages(spark: SparkSession, target: str) -> DataFrame:
-    """A row per record of normalised archives, each read alone by its place in the index; payloads are verified."""
-    places = spark.read.parquet(f"{target}/index").groupBy("archive")
-    places = places.agg(F.collect_list(F.struct("offset", "length")).alias("places"))
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{target}/archives")
-    files = files.select(F.regexp_extract("path", "archive=([^/]+)/", 1).alias("archive"), "content")
-    return map_batches(files.join(places, "archive").select("content", "places"), _page_rows, _PAGE)
+def read_places(spark: SparkSession, target: str, places: DataFrame) -> DataFrame:
+    """The records at some rows of the index, each inflated alone."""
+    wanted = places.groupBy("archive").agg(F.collect_list(F.struct("offset", "length")).alias("places"))
+    return map_batches(_archives(spark, target).join(wanted, "archive").select("content", "places"), _placed_rows, _PAGE)
 
 
 def archive_round_trip(pages: DataFrame, spec: WarcSpec = WarcSpec()) -> DataFrame:

@@ -8,7 +8,7 @@ import random
 
 import pytest
 
-from lettora.llm.warc import WarcSpec, archive_round_trip, inflated, member, normalise, read_pages, split_records, write_monolithic
+from lettora.llm.warc import WarcSpec, archive_round_trip, inflated, member, normalise, read_index, read_pages, read_places, split_records, write_monolithic
 
 SCHEMA = "page_id long, url string, html string"
 
@@ -46,14 +46,18 @@ def test_files_are_gzip_members_at_the_indexed_places(spark, tmp_path):
     normalise(spark, str(tmp_path / "mono"), str(tmp_path / "normal"))
     whole = {name: open(name, "rb").read() for name in glob.glob(str(tmp_path / "mono/*.gz"))}
     texts = sorted(gzip.decompress(data) for data in whole.values() if gzip.decompress(data))
-    files = {os.path.basename(os.path.dirname(f))[8:]: open(f, "rb").read() for f in glob.glob(str(tmp_path / "normal/archives/*/*.txt"))}
+    files = {os.path.basename(os.path.dirname(f))[8:]: open(f, "rb").read() for f in glob.glob(str(tmp_path / "normal/part=archives/*/*.txt"))}
     assert sorted(map(gzip.decompress, files.values())) == texts
-    index = spark.read.parquet(str(tmp_path / "normal/index")).collect()
+    places = read_index(spark, str(tmp_path / "normal"))
+    index = places.collect()
     assert len(index) == 25
     for row in index:
         one = gzip.decompress(files[row.archive][row.offset : row.offset + row.length])
         assert one.startswith(b"WARC/1.1\r\n") and one.count(row.record_id.encode()) == 1
     assert {r.page_id for r in read_pages(spark, str(tmp_path / "normal")).collect()} == set(range(25))
+    some = read_places(spark, str(tmp_path / "normal"), places.where("length % 2 = 0")).collect()
+    ids = {int(r.record_id.split(":")[2]) for r in index if r.length % 2 == 0}
+    assert {r.page_id for r in some} == ids and len(some) == len(ids) > 0
 
 
 def test_members_end_in_zero_and_damage_is_reported():
