@@ -11,8 +11,8 @@
    over the source (swap-or-not rounds, exact for any length). No block is read more than ``max_repeats`` times.
 5. Blocks and slots meet by source number and block number.
 
-All randomness is hashed from ``seed``: reruns and retried tasks agree. Nothing but the number of rows and of slots comes
-to the driver. The one-row-per-source table is the only one that passes through a single task.
+All randomness is hashed from ``seed``: reruns and retried tasks agree. Nothing but the number of slots comes to the
+driver. The one-row-per-source table is the only one that passes through a single task.
 
 Defined cases: a NULL text has no words; documents without words are listed and nothing is taken. NULL is a source of its
 own. Rows that repeat a ``doc_id``, or have none, are documents of their own. An empty table gives an empty result.
@@ -39,7 +39,8 @@ class MixSpec:
     max_repeats: int = 3
     block_words: int = 64
     shard_slots: int = 1024
-    bucket_rows: int = 10_000
+    bucket_rows: int = 2000
+    slots_per_task: int = 100_000
     rounds: int = 12
     seed: int = 17
 
@@ -94,11 +95,11 @@ def sized(documents: DataFrame) -> DataFrame:
 def _placed(counted: DataFrame, sources: DataFrame, spec: MixSpec) -> DataFrame:
     """Documents with ``sid`` and the ``offset`` of their first word in the source."""
     keyed = counted.withColumn("key", F.struct("source"))
-    keys = sources.select(F.struct("source").alias("key"), "sid")
+    buckets = F.greatest(F.ceil(F.col("n_documents") / spec.bucket_rows), F.lit(1)).alias("buckets")
+    keys = sources.select(F.struct("source").alias("key"), "sid", buckets)
     n_rows = sources.select(F.struct("source").alias("key"), F.col("n_documents").alias("n"))
     rows = skew_join(keyed, keys, ["key"], counted=n_rows).drop("key")
-    buckets = max(1, -(-counted.count() // spec.bucket_rows))
-    rows = rows.withColumn("bucket", F.pmod("tie", F.lit(buckets)))
+    rows = rows.withColumn("bucket", F.pmod("tie", "buckets")).drop("buckets")
     sums = rows.groupBy("sid", "bucket").agg(F.sum("size").alias("words"))
     earlier = Window.partitionBy("sid").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.select("sid", "bucket", _sum_before("words", earlier).alias("before"))
@@ -146,6 +147,8 @@ def _slots(sources: DataFrame, n_slots: int, spec: MixSpec) -> DataFrame:
     shards = written(shards.agg(F.count(F.lit(1)).alias("n")), "mix_shards")
     earlier = Window.partitionBy("sid").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     counted = shards.withColumn("before", _sum_before("n", earlier))
+    # A few rows here become all slots: deal them to as many tasks as the slots need.
+    counted = counted.repartition(n_slots // spec.slots_per_task + 1, "shard", "sid")
     numbered = counted.select("shard", "sid", F.explode(F.sequence(F.col("before"), F.expr("before + n - 1"))).alias("j"))
     drawn = shards.groupBy("sid").agg(F.sum("n").alias("drawn"))
     table = sources.join(drawn, "sid", "left").withColumn("drawn", F.coalesce("drawn", F.lit(0)))
