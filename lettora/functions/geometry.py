@@ -35,17 +35,54 @@ def right_end(edge: str) -> str:
     return f"greatest({edge}.xlo, {edge}.xhi)"
 
 
+def side(x: str, y: str, e: str = "e") -> str:
+    """> 0: the point lies to the left of the upward edge; 0: on its line."""
+    return f"(({e}.xhi - {e}.xlo) * (({y}) - {e}.ylo) - (({x}) - {e}.xlo) * ({e}.yhi - {e}.ylo))"
+
+
+def _right_of(x: str, y: str) -> str:
+    """The edge lies to the right of the point, its upper end left out."""
+    return f"(({y}) >= e.ylo and ({y}) < e.yhi and {side(x, y)} > 0)"
+
+
+def _above(x: str, y: str) -> str:
+    """The edge lies above the point, its right end left out; at a touch, if it rises to the right."""
+    across = f"{left_end('e')} <= ({x}) and ({x}) < {right_end('e')}"
+    height = f"case when e.ylo = e.yhi then ({y}) < e.ylo when e.xlo < e.xhi then {side(x, y)} <= 0 else {side(x, y)} > 0 end"
+    return f"({across} and {height})"
+
+
+def _on_edge(x: str, y: str) -> str:
+    within = f"({y}) between e.ylo and e.yhi and ({x}) between {left_end('e')} and {right_end('e')}"
+    return f"({within} and {side(x, y)} = 0)"
+
+
 def inside(x: str, y: str, edges: str) -> str:
     """Strictly inside the member bounded by ``edges``."""
-    # > 0: the point lies to the left of the upward edge; 0: on its line.
-    side = f"((e.xhi - e.xlo) * ({y} - e.ylo) - ({x} - e.xlo) * (e.yhi - e.ylo))"
-    weight = (
-        f"case when {y} < e.ylo or {y} > e.yhi then 0L "
-        f"when {side} = 0 and {x} between {left_end('e')} and {right_end('e')} then {ON_EDGE}L "
-        f"when {side} > 0 and {y} < e.yhi then 1L else 0L end"
-    )
+    weight = f"case when {_on_edge(x, y)} then {ON_EDGE}L when {_right_of(x, y)} then 1L else 0L end"
     return f"aggregate({edges}, 0L, (n, e) -> n + {weight}, n -> n < {ON_EDGE}L and n % 2 = 1)"
 
 
+def inside_cell(x: str, y: str, right: str, top: str, edges: str, odd: str) -> str:
+    """The same from the edges that meet a cell, and from whether its corner (right, top) is inside (``odd``).
+
+    The way from the point to (right, y) and on to the corner crosses an edge where one of the tests changes. The tests at
+    (right, y) have one form for both legs, so that rounding cannot count an edge on one leg and miss it on the other.
+    """
+    legs = f"if({_right_of(x, y)} <> {_right_of(right, y)}, 1L, 0L) + if({_above(right, y)} <> {_above(right, top)}, 1L, 0L)"
+    weight = f"case when {_on_edge(x, y)} then {ON_EDGE}L else {legs} end"
+    start = f"if({odd}, 1L, 0L)"
+    return f"aggregate({edges}, {start}, (n, e) -> n + {weight}, n -> n < {ON_EDGE}L and n % 2 = 1)"
+
+
+def crossings_left(first: str, last: str, top: str) -> str:
+    """The number of the first cell whose right border, at height ``top``, the edge ``e`` is not to the right of.
+
+    ``first`` and ``last`` are the numbers of the cells its ends are in.
+    """
+    columns = f"sequence({first} - 1, {last})"
+    return f"{first} - 1 + size(filter({columns}, c -> {_right_of('(c + 1) * side', top)}))"
+
+
 def inside_any(x: str, y: str, members: str) -> str:
     return f"exists({members}, edges -> {inside(x, y, 'edges')})"

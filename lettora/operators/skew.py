@@ -21,7 +21,7 @@ from lettora.operators.columns import quoted
 from lettora.params import SkewLimits
 from lettora.sources.shared import written
 
-SALT, SALTS, SPREAD = "_salt", "_salts", "_spread"
+SALT, SALTS, SPREAD, PIECE = "_salt", "_salts", "_spread", "_piece"
 
 
 def rows_per_key(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -43,15 +43,29 @@ def skew_join(
     how: str = "inner",
     limits: SkewLimits | None = SkewLimits(),
     counted: DataFrame | None = None,
+    split_right: bool = False,
 ) -> DataFrame:
     """``left.join(right, on, how)`` for ``how`` inner or left; ``limits=None`` is the plain join.
 
     ``counted`` are the rows per key of ``left`` (columns ``on`` and ``n``), for callers that have them already.
+    ``split_right`` (inner only) splits the hot keys of the right side too: left rows are repeated per piece. Building the
+    join runs jobs: keys are counted and their list is written.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"how must be 'inner' or 'left', not {how!r}")
     if limits is None:
         return left.join(right, on, how)
+    if split_right:
+        if how != "inner":
+            raise ValueError("only an inner join can split its right side")
+        pieces = written(hot_keys(rows_per_key(right, on), on, limits), "hot_keys")
+        if not pieces.isEmpty():
+            every = F.sequence(F.lit(0).cast("long"), F.coalesce(SALTS, F.lit(1)).cast("long") - 1)
+            spread = F.xxhash64(*_hashable(right), F.spark_partition_id())
+            right = right.withColumn(SPREAD, spread).join(pieces, on, "left")
+            right = right.withColumn(PIECE, F.pmod(SPREAD, F.coalesce(SALTS, F.lit(1)).cast("long"))).drop(SALTS, SPREAD)
+            left = left.join(pieces, on, "left").withColumn(PIECE, F.explode(every)).drop(SALTS)
+            return skew_join(left, right, [*on, PIECE], how, limits).drop(PIECE)
     if how == "inner":
         left = left.na.drop(subset=on)
     hot = written(hot_keys(counted or rows_per_key(left, on), on, limits), "hot_keys")

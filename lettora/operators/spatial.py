@@ -1,11 +1,15 @@
 """Point-in-polygon join as an equi-join on grid cells.
 
-Every polygon is cut along the cells of a square grid. A cell that no edge passes through is either whole inside the
-polygon, where no test is needed, or outside, where there is no row. The other cells keep just the edges a ray to the
-right from one of their points can meet. A point lies in exactly one cell, so each (point, polygon) pair arises once.
+Every polygon is cut along a grid of its own level: squares with a power of two as side, at most ``cells_across`` of them
+along its extent, however large it is. A cell keeps the edges that meet it and one bit: whether its upper right corner is
+inside. Whether a point is inside follows from that bit and the edges crossed on the way from the point right to the
+border of the cell and up to the corner, all of which meet the cell. A cell without edges is inside or outside as a whole;
+outside ones are not stored. So an edge is stored about as often as there are cells it passes through.
 
-Cells are compared by the index ``floor(value / cell)`` throughout. That index never decreases as the value grows, so no
-rounding can put a point and an edge it needs into different rows.
+A point has one cell per level in use; a polygon has one level. Each (point, polygon) pair therefore arises once. Sides
+being powers of two, cell numbers and cell borders are exact, and no rounding can part a point from an edge it needs.
+
+Building a join runs jobs: the cover is written once, to be measured, and hot cells are counted.
 """
 
 from __future__ import annotations
@@ -14,8 +18,9 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from lettora.functions.geojson import coordinates_text, polygon_members
-from lettora.functions.geometry import inside, inside_any, left_end, member_edges, right_end
+from lettora.functions.geometry import crossings_left, inside_cell, left_end, member_edges, right_end, side
 from lettora.functions.text import to_double
+from lettora.operators.columns import quoted
 from lettora.operators.skew import skew_join
 from lettora.params import GridSpec, SkewLimits
 from lettora.sources.shared import written
@@ -54,79 +59,74 @@ def as_points(df: DataFrame, longitude: str = "longitude", latitude: str = "lati
     return points.where(finite[0] & finite[1])
 
 
-def _index(value: str, cell: float) -> str:
-    return f"floor({value} / {cell!r}D)"
-
-
-def cover(polygons: DataFrame, cell: float) -> DataFrame:
-    """(postcode, members) -> at most one row per polygon and cell: (cell_x, cell_y, postcode, whole, rims).
-
-    ``rims`` holds, per polygon member whose edges pass through the cell, the edges to test; ``whole`` says that the cell
-    lies inside without a test. Cells with neither may occur and match nothing.
-    """
-    cell = float(cell)
-
-    def cells_between(low: str, high: str) -> str:
-        """Distinct cell indexes from the lowest to the highest of an array of edges, for all members together."""
-        first = _index(f"array_min(transform(edges, e -> {low}))", cell)
-        last = _index(f"array_max(transform(edges, e -> {high}))", cell)
-        # The outer form keeps the optimizer from evaluating the array once more in a filter of its own.
-        return f"explode_outer(array_distinct(flatten(transform(boundary, edges -> sequence({first}, {last})))))"
-
-    def non_empty(members: str) -> str:
-        return f"filter({members}, edges -> size(edges) > 0)"
-
-    left, right = _index(left_end("e"), cell), _index(right_end("e"), cell)
-    in_row = f"cell_y between {_index('e.ylo', cell)} and {_index('e.yhi', cell)}"
-    centre_x, centre_y = f"((cell_x + 0.5D) * {cell!r}D)", f"((cell_y + 0.5D) * {cell!r}D)"
-    member_in_cell = (
-        f"struct(exists(edges, e -> cell_x between {left} and {right}) as cut, "
-        f"filter(edges, e -> {right} >= cell_x) as edges)"
+def _edges(polygons: DataFrame, grid: GridSpec) -> DataFrame:
+    """(pid, postcode, side, member, e): an edge per row; ``pid`` tells polygons apart, ``side`` is that of their cells."""
+    numbers = "array(e.xlo, e.ylo, e.xhi, e.yhi)"
+    finite = f"forall({numbers}, v -> v is not null and abs(v) < double('infinity'))"
+    boundary = polygons.selectExpr(
+        "postcode", f"transform({member_edges('members')}, edges -> filter(edges, e -> {finite})) as boundary"
     )
-    uncut_inside = f"exists(boundary, m -> not m.cut and {inside(centre_x, centre_y, 'm.edges')})"
-
-    return (
-        polygons.selectExpr("postcode", f"{non_empty(member_edges('members'))} as boundary")
-        .selectExpr("postcode", "boundary", f"{cells_between('e.ylo', 'e.yhi')} as cell_y")
-        .selectExpr(
-            "postcode",
-            "cell_y",
-            f"{non_empty(f'transform(boundary, edges -> filter(edges, e -> {in_row}))')} as boundary",
-        )
-        # A polygon far larger than the others has very many cells; its rows of cells are cut in different tasks.
-        .repartition(_tasks(polygons))
-        .selectExpr("postcode", "cell_y", "boundary", f"{cells_between(left_end('e'), right_end('e'))} as cell_x")
-        .selectExpr("postcode", "cell_x", "cell_y", f"transform(boundary, edges -> {member_in_cell}) as boundary")
-        .selectExpr("postcode", "cell_x", "cell_y", "boundary", f"{uncut_inside} as whole")
-        .selectExpr(
-            "cell_x",
-            "cell_y",
-            "postcode",
-            "whole",
-            "transform(filter(boundary, m -> m.cut and not whole), m -> m.edges) as rims",
-        )
+    every = boundary.selectExpr("postcode", "boundary", "flatten(boundary) as every")
+    width = f"array_max(transform(every, e -> {right_end('e')})) - array_min(transform(every, e -> {left_end('e')}))"
+    height = "array_max(every.yhi) - array_min(every.ylo)"
+    least = float(grid.cell or 0)
+    level = f"ceil(log2(greatest(extent / {int(grid.cells_across)}, {least!r}D)))"
+    sized = every.selectExpr("postcode", "boundary", f"greatest({width}, {height}) as extent").where("extent > 0")
+    numbered = sized.selectExpr("monotonically_increasing_id() as pid", "postcode", "boundary", f"cast({level} as int) as level")
+    members = numbered.selectExpr("pid", "postcode", "level", "posexplode(boundary) as (member, edges)")
+    # Written, as the numbers must not change between the uses below.
+    stored = written(members.selectExpr("pid", "postcode", "level", "member", "explode(edges) as e"), "edges")
+    return stored.withColumn("side", F.expr("pow(2D, level)"))
+
+
+def cover(polygons: DataFrame, grid: GridSpec = GridSpec()) -> DataFrame:
+    """(postcode, members) -> at most one row per polygon and cell: (level, cell_x, cell_y, postcode, whole, rims).
+
+    ``whole`` says that the cell lies inside without a test. Otherwise ``rims`` holds, per polygon member whose edges meet
+    the cell, those edges and whether the upper right corner is inside (``odd``).
+    """
+    edges = _edges(polygons, grid)
+    x_from, x_to = f"floor({left_end('e')} / side)", f"floor({right_end('e')} / side)"
+    # A cell is closed: what lies on its upper or right border meets it as well.
+    rows = edges.selectExpr("*", "explode(sequence(ceil(e.ylo / side) - 1, floor(e.yhi / side))) as cell_y")
+    met = rows.selectExpr("*", f"explode(sequence(ceil({left_end('e')} / side) - 1, {x_to})) as cell_x")
+    corners = [side(f"(cell_x + {i}) * side", f"(cell_y + {j}) * side") for i in (0, 1) for j in (0, 1)]
+    # Cells beside the line of the edge do not meet it; the margin is far above any rounding.
+    margin = "1e-9D * (abs(e.xhi - e.xlo) + abs(e.yhi - e.ylo)) * (abs(e.xlo) + abs(e.ylo) + abs(e.xhi) + abs(e.yhi) + side)"
+    met = met.where(f"greatest({', '.join(corners)}) >= -{margin} and least({', '.join(corners)}) <= {margin}")
+    # Upper borders that an edge crosses, and how many corners on them lie to its left.
+    lines = edges.selectExpr("*", "explode(sequence(ceil(e.ylo / side) - 1, ceil(e.yhi / side) - 2)) as cell_y").where(
+        "ceil(e.yhi / side) - 1 > ceil(e.ylo / side) - 1"
     )
-
-
-def typical_cell(polygons: DataFrame) -> float:
-    """A quarter of the median polygon extent; 1.0 when there is nothing to measure."""
-    width = f"array_max(transform(edges, e -> {right_end('e')})) - array_min(transform(edges, e -> {left_end('e')}))"
-    extent = polygons.selectExpr(f"flatten({member_edges('members')}) as edges").selectExpr(
-        f"greatest({width}, array_max(edges.yhi) - array_min(edges.ylo)) as extent"
+    until = crossings_left(x_from, x_to, "(cell_y + 1) * side")
+    crossed = lines.selectExpr("pid", "postcode", "level", "member", "cell_y", f"{until} as until")
+    odd = crossed.groupBy("pid", "postcode", "level", "member", "cell_y", "until").agg(F.count(F.lit(1)).alias("n")).where("n % 2 = 1")
+    odd = odd.groupBy("pid", "postcode", "level", "member", "cell_y").agg(F.sort_array(F.collect_list("until")).alias("untils"))
+    # Between the 1st and 2nd, the 3rd and 4th ... of these numbers, corners are inside.
+    pairs = "filter(transform(untils, (u, i) -> struct(u as u, get(untils, i + 1) as v, i as i)), p -> p.i % 2 = 0)"
+    odd = odd.selectExpr("pid", "postcode", "level", "member", "cell_y", f"explode({pairs}) as p")
+    odd = odd.selectExpr("pid", "postcode", "level", "member", "explode(sequence(p.u, p.v - 1)) as cell_x", "cell_y")
+    keys = ["pid", "postcode", "level", "cell_x", "cell_y"]
+    kind = "struct<xlo:double,ylo:double,xhi:double,yhi:double>"
+    both = met.select(*keys, "member", "e", F.lit(False).alias("odd")).union(
+        odd.select(*keys, "member", F.lit(None).cast(kind).alias("e"), F.lit(True).alias("odd"))
     )
-    median = extent.agg(F.percentile_approx("extent", 0.5)).first()[0]
-    return median / 4 if median else 1.0
+    # Dealt by cell, both aggregations work in place.
+    dealt = both.repartition("pid", "cell_x", "cell_y")
+    rims = dealt.groupBy(*keys, "member").agg(F.max("odd").alias("odd"), F.collect_list("e").alias("edges"))
+    cells = rims.groupBy(*keys).agg(F.collect_list(F.struct("odd", "edges")).alias("rims"))
+    whole = "exists(rims, r -> r.odd and size(r.edges) = 0)"
+    return cells.selectExpr(*keys[2:], "postcode", f"{whole} as whole", f"if({whole}, slice(rims, 1, 0), rims) as rims")
 
 
-def measured_cover(polygons: DataFrame, cell: float) -> tuple[DataFrame, int]:
+def measured_cover(polygons: DataFrame, grid: GridSpec = GridSpec()) -> tuple[DataFrame, int]:
     """A cover and its estimated size in memory. It is written to the shared folder, so it is computed once."""
-    edges = F.expr("aggregate(rims, 0, (n, rim) -> n + size(rim))")
+    edges = F.expr("aggregate(rims, 0, (n, rim) -> n + size(rim.edges))")
     size = Observation()
-    measured = cover(polygons, cell).observe(size, F.count(F.lit(1)).alias("rows"), F.sum(edges).alias("edges"))
+    measured = cover(polygons, grid).observe(size, F.count(F.lit(1)).alias("rows"), F.sum(edges).alias("edges"))
     # Cut in many tasks, stored in few files.
     cells = written(measured.hint("rebalance"), "cover")
-    useful = cells.where(F.col("cell_x").isNotNull() & (F.col("whole") | (F.size("rims") > 0)))
-    return useful, size.get["rows"] * ROW_BYTES + (size.get["edges"] or 0) * EDGE_BYTES
+    return cells, size.get["rows"] * ROW_BYTES + (size.get["edges"] or 0) * EDGE_BYTES
 
 
 def containing_polygons(
@@ -138,16 +138,18 @@ def containing_polygons(
     """Every pair of a point (any columns plus x, y) and a polygon strictly containing it: point columns and postcode.
 
     The cover is broadcast when its measured size allows. Otherwise both sides are shuffled by cell, and cells that hold
-    very many points are split.
+    very many points, or polygons, are split.
     """
-    cell = float(grid.cell or typical_cell(polygons))
-    cells, cells_bytes = measured_cover(polygons, cell)
-    placed = points.selectExpr("*", f"{_index('x', cell)} as cell_x", f"{_index('y', cell)} as cell_y")
-    keys = ["cell_x", "cell_y"]
+    cells, cells_bytes = measured_cover(polygons, grid)
+    # The levels are exponents of two, so they are few: of doubles there are about two thousand.
+    levels = sorted(row.level for row in cells.select("level").distinct().collect())
+    placed = points.withColumn("level", F.explode(F.array(*map(F.lit, levels)).cast("array<int>")))
+    placed = placed.selectExpr("*", "floor(x / pow(2D, level)) as cell_x", "floor(y / pow(2D, level)) as cell_y")
+    keys = ["level", "cell_x", "cell_y"]
     if cells_bytes <= grid.broadcast_bytes:
         candidates = placed.join(F.broadcast(cells), keys)
     else:
-        candidates = skew_join(placed, cells, keys, "inner", limits)
-    return candidates.where(f"whole or {inside_any('x', 'y', 'rims')}").select(
-        *points.columns, "postcode"
-    )
+        candidates = skew_join(placed, cells, keys, "inner", limits, split_right=True)
+    corner = "(cell_x + 1) * pow(2D, level)", "(cell_y + 1) * pow(2D, level)"
+    inside = f"exists(rims, r -> {inside_cell('x', 'y', *corner, 'r.edges', 'r.odd')})"
+    return candidates.where(f"whole or {inside}").select(*map(quoted, points.columns), "postcode")

@@ -37,13 +37,14 @@ class TextPatterns:
 class GridSpec:
     """How the point-in-polygon join partitions the plane.
 
-    ``cell`` is the side of a grid cell in coordinate units; ``None`` takes a quarter of the median polygon extent.
-    The polygon side is broadcast only when its measured size is at most ``broadcast_bytes``; above that the join
-    shuffles by cell.
+    A polygon is cut into at most about ``cells_across`` cells along its extent; ``cell``, if given, is the least side of a
+    cell in coordinate units. The polygon side is broadcast only when its measured size is at most ``broadcast_bytes``;
+    above that the join shuffles by cell.
     """
 
     cell: float | None = None
     broadcast_bytes: int = 64 * 1024 * 1024
+    cells_across: int = 16
 
 
 @dataclass(frozen=True)

@@ -40,6 +40,12 @@ def test_skew_join_equals_join(spark, how, limits):
     assert bag(joined) == bag(plain)
 
 
+def test_hot_keys_of_both_sides(spark):
+    left, right = skewed(spark), skewed(spark, 700).withColumnRenamed("i", "j")
+    joined = skew_join(left, right, ["a", "b"], "inner", LIMITS, split_right=True)
+    assert bag(joined) == bag(left.join(right, ["a", "b"]))
+
+
 def test_copies_of_one_row_are_kept(spark):
     left = spark.range(1000).select(F.lit("x").alias("a"))
     right = spark.createDataFrame([("x", 1), ("x", 2)], "a string, v int")

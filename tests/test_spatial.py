@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lettora.functions import geojson
 from lettora.functions.geometry import inside_any, member_edges
-from lettora.operators.spatial import as_points, containing_polygons, cover, postcode_polygons, typical_cell
+from lettora.operators.spatial import as_points, containing_polygons, cover, postcode_polygons
 from lettora.params import GridSpec, SkewLimits
 from lettora.sources.files import POSTCODES_SCHEMA
 
@@ -111,19 +111,34 @@ def test_copies_of_a_polygon_each_match(spark):
 
 def test_inner_cells_need_no_edges(spark):
     polygons = spark.createDataFrame([("a", [[SQUARE]])], f"postcode string, members {MEMBERS}")
-    cells = {(r.cell_x, r.cell_y): r for r in cover(polygons, 0.9).collect()}
+    cells = {(r.cell_x, r.cell_y): r for r in cover(polygons, GridSpec(cells_across=5)).collect()}
+    assert {r.level for r in cells.values()} == {0}
     assert cells[(2, 2)].whole and cells[(2, 2)].rims == []
     assert not cells[(0, 0)].whole and cells[(0, 0)].rims
 
 
-def test_one_large_polygon_is_cut_in_many_tasks(spark):
-    large = [[[x * 50, y * 50] for x, y in SQUARE]]
-    polygons = spark.createDataFrame([("a", [large])], f"postcode string, members {MEMBERS}")
-    cells = cover(polygons, 1.0).groupBy(F.spark_partition_id().alias("task")).count().collect()
-    total = sum(row["count"] for row in cells)
-    # The closed upper and right sides fall into one more row and column of cells.
-    assert total == 201 * 201
-    assert max(row["count"] for row in cells) < total / 4
+def stored_edges(spark, members, grid):
+    polygons = spark.createDataFrame([("a", members)], f"postcode string, members {MEMBERS}")
+    return cover(polygons, grid).selectExpr("sum(aggregate(rims, 0, (n, r) -> n + size(r.edges)))").first()[0]
+
+
+@pytest.mark.parametrize("across", [16, 160])
+def test_edges_are_stored_about_once(spark, across):
+    """Jagged edges along one row of cells: not edges times cells, however fine the cells are."""
+    teeth = [[x / 1000, 0.001 * (x % 2)] for x in range(2001)]
+    ring = teeth + [[2.0, 0.5], [0.0, 0.5], teeth[0]]
+    assert stored_edges(spark, [[ring]], GridSpec(cells_across=across)) <= 3 * len(ring) + 8 * across
+
+
+def test_large_and_small_polygons_have_bounded_covers(spark):
+    square = lambda x, y, size: [[[x + a * size, y + b * size] for a, b in SQUARE]]
+    small = [(f"s{i}", [square(i % 40, i // 40, 0.01)]) for i in range(1000)]
+    polygons = spark.createDataFrame([*small, ("country", [square(-500.0, -500.0, 250.0)])], f"postcode string, members {MEMBERS}")
+    cells = cover(polygons).groupBy("postcode").count()
+    assert cells.agg(F.max("count")).first()[0] <= 19 * 19
+    points = spark.createDataFrame([(1, 3.02, 0.02), (2, -100.0, 7.0), (3, 600.0, 0.0)], "i int, x double, y double")
+    found = sorted((r.i, r.postcode) for r in containing_polygons(points, polygons).collect())
+    assert found == [(1, "country"), (1, "s3"), (2, "country")]
 
 
 def test_small_units(spark):
@@ -135,12 +150,6 @@ def test_small_units(spark):
         assert [row.i for row in containing_polygons(points, polygons, grid).collect()] == [1]
 
 
-def test_typical_cell(spark):
-    polygons = spark.createDataFrame([("a", [[SQUARE]])], f"postcode string, members {MEMBERS}")
-    assert typical_cell(polygons) == 1.0
-    assert typical_cell(polygons.limit(0)) == 1.0
-
-
 def test_no_polygons_at_all(spark):
     polygons = spark.createDataFrame([], f"postcode string, members {MEMBERS}")
     points = spark.createDataFrame([(1, 2.0, 2.0)], "i int, x double, y double")
@@ -200,7 +209,7 @@ def test_join_plan(spark, plan_text):
     """Equi-joins on cells, no pairing of everything with everything, no Python."""
     polygons = spark.createDataFrame([("a", [[SQUARE]])], f"postcode string, members {MEMBERS}")
     points = spark.range(100).select((F.col("id") / 10).alias("x"), (F.col("id") / 20).alias("y"))
-    for size, kind in ((1 << 30, "BroadcastHashJoin"), (0, "Join [cell_x")):
+    for size, kind in ((1 << 30, "BroadcastHashJoin"), (0, "Join [level")):
         plan = plan_text(containing_polygons(points, polygons, GridSpec(1.0, size)))
         assert kind in plan
         assert not any(word in plan for word in ("CartesianProduct", "NestedLoop", "Python", "Pandas"))
