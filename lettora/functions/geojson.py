@@ -37,6 +37,16 @@ def polygon_members(kind: Column, coordinates_text: Column) -> Column:
     )
 
 
+def unreadable_features(features: str) -> Column:
+    """How many (Multi)Polygons of an array of features, coordinates being raw text, cannot be read."""
+
+    def unreadable(feature: Column) -> Column:
+        members = polygon_members(feature["geometry"]["type"], feature["geometry"]["coordinates"])
+        return feature["geometry"]["type"].isin("Polygon", "MultiPolygon") & (members.isNull() | F.exists(members, F.isnull))
+
+    return F.size(F.filter(features, unreadable))
+
+
 def coordinates_text(df: DataFrame, geometry: str) -> Column:
     """Raw ``coordinates`` text of a geometry column, whatever type its reader gave it.
 

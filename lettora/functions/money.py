@@ -7,6 +7,7 @@ decimals and handed out as doubles.
 from __future__ import annotations
 
 from decimal import Decimal
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -14,38 +15,47 @@ from pyspark.sql.types import DecimalType
 
 from lettora.params import Economics, StrategyLabels
 
-# Input of an average: 22 digits before and 6 after the point. NaN, infinities and larger numbers are left out of it.
+# 22 digits before and 6 after the point. Where a value does not fit (NaN, infinities, larger numbers), doubles are used.
 EXACT = DecimalType(28, 6)
 CENTS = DecimalType(20, 2)
 
 
 def mean(value: Column, digits: int) -> Column:
-    """``round(avg(value), digits)``, NULLs skipped."""
-    return F.round(F.avg(value.try_cast(EXACT)), digits).cast("double")
+    """``round(avg(value), digits)``, NULLs skipped; of doubles if a value of the group fits no exact decimal."""
+    exact = F.round(F.avg(value.try_cast(EXACT)), digits).cast("double")
+    misfits = F.count_if(value.isNotNull() & value.try_cast(EXACT).isNull())
+    return F.when(misfits > 0, F.round(F.avg(value.cast("double")), digits)).otherwise(exact)
 
 
 def _cents(value: Column) -> Column:
     return value.try_cast(CENTS)
 
 
+def _or_double(exact: Column, rough: Column, *values: Column) -> Column:
+    """``exact`` if all values fit ``CENTS``, else ``rough``, both to two digits."""
+    fits = reduce(lambda a, b: a & b, [value.isNull() | _cents(value).isNotNull() for value in values])
+    return F.when(fits, F.round(exact, 2).cast("double")).otherwise(F.round(rough, 2))
+
+
 def short_term_revenue(nightly_price: Column, economics: Economics) -> Column:
     """Yearly revenue from an (already rounded) nightly price."""
     nights = Decimal(economics.days_per_year) * Decimal(str(economics.occupancy_rate))
-    return F.round(_cents(nightly_price) * F.lit(nights), 2).cast("double")
+    return _or_double(_cents(nightly_price) * F.lit(nights), nightly_price * F.lit(float(nights)), nightly_price)
 
 
 def long_term_revenue(monthly_rent: Column, economics: Economics) -> Column:
     """Yearly revenue from an (already rounded) monthly rent."""
-    return F.round(_cents(monthly_rent) * F.lit(economics.months_per_year), 2).cast("double")
+    months = F.lit(economics.months_per_year)
+    return _or_double(_cents(monthly_rent) * months, monthly_rent * months.cast("double"), monthly_rent)
 
 
 def difference(left: Column, right: Column) -> Column:
-    return F.round(_cents(left) - _cents(right), 2).cast("double")
+    return _or_double(_cents(left) - _cents(right), left - right, left, right)
 
 
 def ratio(left: Column, right: Column) -> Column:
     """NULL when the divisor is zero."""
-    return F.round(F.try_divide(_cents(left), _cents(right)), 2).cast("double")
+    return _or_double(F.try_divide(_cents(left), _cents(right)), F.try_divide(left, right), left, right)
 
 
 def strategy(advantage: Column, labels: StrategyLabels) -> Column:

@@ -10,10 +10,10 @@ from lettora.params import TextPatterns
 PATTERNS = TextPatterns()
 
 
-def format_zipcode(code: Column) -> Column:
+def format_zipcode(code: Column, pattern: str = PATTERNS.zipcode) -> Column:
     """``1234AB`` -> ``1234 AB``; texts of 4 or 7 characters stay; any other length, and NULL, gives NULL."""
     size = F.length(code)
-    return F.when(size.isin(4, 7), code).when(size == 6, F.regexp_replace(code, "^(.{4})(.{2})$", "$1 $2"))
+    return F.when(size.isin(4, 7), code).when(size == 6, F.regexp_replace(code, pattern, "$1 $2"))
 
 
 def pc4(code: Column, pattern: str = PATTERNS.pc4) -> Column:

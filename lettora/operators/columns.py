@@ -44,7 +44,8 @@ def _leaves(schema: StructType, above: list[str]) -> list[list[str]]:
 
 def null_strings_to(df: DataFrame, value: str = "Unknown") -> DataFrame:
     """NULL -> ``value`` in all string columns."""
-    return df.na.fill(value, subset=names_of_type(df, StringType))
+    filled = {name: F.coalesce(F.col(quoted(name)), F.lit(value)) for name in names_of_type(df, StringType)}
+    return df.withColumns(filled) if filled else df
 
 
 def trim_strings(df: DataFrame) -> DataFrame:

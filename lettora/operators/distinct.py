@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from lettora.operators.columns import quoted
+
 
 def distinct_rows(df: DataFrame) -> DataFrame:
     return df.distinct()
@@ -11,4 +13,4 @@ def distinct_rows(df: DataFrame) -> DataFrame:
 
 def distinct_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     """Distinct non-NULL key tuples. Only the keys are kept: which of several rows to keep is not defined."""
-    return df.select(*keys).na.drop().distinct()
+    return df.select(*map(quoted, keys)).na.drop().distinct()

@@ -8,7 +8,7 @@ from decimal import Decimal
 
 @dataclass(frozen=True)
 class Economics:
-    """Assumptions behind the revenue estimates."""
+    """Assumptions behind the revenue estimates. The defaults users have today."""
 
     occupancy_rate: Decimal = Decimal("0.50")
     days_per_year: int = 365
@@ -25,8 +25,9 @@ class StrategyLabels:
 
 @dataclass(frozen=True)
 class TextPatterns:
-    """What counts as a PC4, a rent, an area and included utilities."""
+    """What counts as a six-character zipcode, a PC4, a rent, an area and included utilities."""
 
+    zipcode: str = "^(.{4})(.{2})$"
     pc4: str = r"(\d{4})"
     rent: str = r"€\s*(\d+)"
     area: str = r"(\d+)"
@@ -58,6 +59,21 @@ class SkewLimits:
     rows_per_task: int = 1_000_000
 
 
+@dataclass(frozen=True)
+class SilverOptions:
+    """All choices of the step from bronze to silver. ``report`` adds counts of filled and exploded rows to the metrics."""
+
+    grid: GridSpec = GridSpec()
+    limits: SkewLimits | None = SkewLimits()
+    patterns: TextPatterns = TextPatterns()
+    on_multiple: str = "all"
+    require_digits: bool = False
+    explode_mode: str = "chain"
+    trim: bool = False
+    dedupe: bool = False
+    report: bool = False
+
+
 @dataclass(frozen=True)
 class RawFiles:
     """Where the three raw inputs lie. The file names users have today."""

@@ -9,17 +9,20 @@ from lettora.functions.text import format_zipcode, has_pc4
 from lettora.operators.distinct import distinct_keys
 from lettora.operators.skew import skew_join
 from lettora.operators.spatial import as_points, containing_polygons
-from lettora.params import GridSpec, SkewLimits
+from lettora.params import GridSpec, SkewLimits, TextPatterns
+from lettora.sources.shared import written
 
 # The join back uses the coordinate texts as they came, so "52.10" and "52.1" are two coordinates.
 COORDINATE = ["latitude", "longitude"]
 
 
-def with_formatted_zipcode(df: DataFrame, column: str = "zipcode", require_digits: bool = False) -> DataFrame:
+def with_formatted_zipcode(
+    df: DataFrame, column: str = "zipcode", require_digits: bool = False, patterns: TextPatterns = TextPatterns()
+) -> DataFrame:
     """Add ``zipcode_formatted``. ``require_digits`` also turns texts without a PC4 into NULL."""
-    formatted = format_zipcode(F.col(column))
+    formatted = format_zipcode(F.col(column), patterns.zipcode)
     if require_digits:
-        formatted = F.when(has_pc4(formatted), formatted)
+        formatted = F.when(has_pc4(formatted, patterns.pc4), formatted)
     return df.withColumn("zipcode_formatted", formatted)
 
 
@@ -28,18 +31,31 @@ def missing_coordinates(listings: DataFrame) -> DataFrame:
     return distinct_keys(listings.where(F.col("zipcode_formatted").isNull()), COORDINATE)
 
 
+def coordinate_counts(listings: DataFrame) -> DataFrame:
+    """Per coordinate, NULLs included, all listings (``n``) and those without a usable zipcode (``missing``).
+
+    Written to the shared folder: it says which coordinates to locate, which are hot, and what the fill does.
+    """
+    missing = F.count_if(F.col("zipcode_formatted").isNull()).alias("missing")
+    return written(listings.groupBy(*COORDINATE).agg(F.count(F.lit(1)).alias("n"), missing), "coordinates")
+
+
+def _missing_of(counts: DataFrame) -> DataFrame:
+    return counts.where("missing > 0").select(*COORDINATE).na.drop()
+
+
 def locate_missing(
-    listings: DataFrame,
+    counts: DataFrame,
     polygons: DataFrame,
     grid: GridSpec = GridSpec(),
     limits: SkewLimits | None = SkewLimits(),
     on_multiple: str = "all",
 ) -> DataFrame:
-    """(latitude, longitude, postcode) of the missing coordinates that lie in a polygon.
+    """(latitude, longitude, postcode) of the coordinates of ``coordinate_counts`` with missing zipcodes in a polygon.
 
     A coordinate in several polygons gives one row each, or with ``on_multiple="first"`` only the smallest postcode.
     """
-    pairs = containing_polygons(as_points(missing_coordinates(listings)), polygons, grid, limits)
+    pairs = containing_polygons(as_points(_missing_of(counts)), polygons, grid, limits)
     if on_multiple == "first":
         return pairs.groupBy(*COORDINATE).agg(F.min("postcode").alias("postcode"))
     if on_multiple != "all":
@@ -48,10 +64,13 @@ def locate_missing(
 
 
 def attach_postcodes(
-    listings: DataFrame, located: DataFrame, limits: SkewLimits | None = SkewLimits()
+    listings: DataFrame, located: DataFrame, limits: SkewLimits | None = SkewLimits(), counts: DataFrame | None = None
 ) -> DataFrame:
-    """Left join of located postcodes, and ``final_zipcode``: the own zipcode, else the located postcode."""
-    joined = skew_join(listings, located, COORDINATE, "left", limits)
+    """Left join of located postcodes, and ``final_zipcode``: the own zipcode, else the located postcode.
+
+    ``counts`` are the listings per coordinate, if known already.
+    """
+    joined = skew_join(listings, located, COORDINATE, "left", limits, counts)
     return joined.withColumn("final_zipcode", F.coalesce("zipcode_formatted", "postcode"))
 
 
@@ -65,11 +84,13 @@ def fill_zipcodes(
 ) -> DataFrame:
     """All listings with zipcode_formatted, postcode and final_zipcode; coordinates first.
 
-    A coordinate in k polygons multiplies its listings by k, also those that had a zipcode of their own.
+    Building this plan runs jobs (coordinate counts, cover, hot keys); the listings are read once by them and once by the
+    result. A coordinate in k polygons multiplies its listings by k, also those that had a zipcode of their own.
     """
     listings = with_formatted_zipcode(listings, require_digits=require_digits)
-    located = locate_missing(listings, polygons, grid, limits, on_multiple)
-    return attach_postcodes(listings, located, limits)
+    counts = coordinate_counts(listings)
+    located = locate_missing(counts, polygons, grid, limits, on_multiple)
+    return attach_postcodes(listings, located, limits, counts)
 
 
 def unmatched_coordinates(
@@ -79,9 +100,8 @@ def unmatched_coordinates(
     limits: SkewLimits | None = SkewLimits(),
 ) -> DataFrame:
     """Distinct missing coordinates with their postcode, NULL where no polygon holds them."""
-    listings = with_formatted_zipcode(listings)
-    located = locate_missing(listings, polygons, grid, limits)
-    return missing_coordinates(listings).join(located, COORDINATE, "left")
+    counts = coordinate_counts(with_formatted_zipcode(listings))
+    return _missing_of(counts).join(locate_missing(counts, polygons, grid, limits), COORDINATE, "left")
 
 
 def fill_profile(
@@ -96,12 +116,10 @@ def fill_profile(
     and the rest, which becomes ``located_rows`` rows: more than listings where ``shared_coordinates`` lie in several
     polygons.
     """
-    listings = with_formatted_zipcode(listings)
-    missing = listings.where(F.col("zipcode_formatted").isNull())
-    located = locate_missing(listings, polygons, grid, limits)
-    hits = located.groupBy(*COORDINATE).agg(F.count(F.lit(1)).alias("hits"))
-    # One row per coordinate from here on, also for those with a NULL in them, which join nothing.
-    places = missing.groupBy(*COORDINATE).agg(F.count(F.lit(1)).alias("n")).join(hits, COORDINATE, "left")
+    counts = coordinate_counts(with_formatted_zipcode(listings))
+    hits = locate_missing(counts, polygons, grid, limits).groupBy(*COORDINATE).agg(F.count(F.lit(1)).alias("hits"))
+    # One row per coordinate, also for those with a NULL in them, which join nothing.
+    places = counts.where("missing > 0").select(*COORDINATE, F.col("missing").alias("n")).join(hits, COORDINATE, "left")
     unplaced = F.col(COORDINATE[0]).isNull() | F.col(COORDINATE[1]).isNull()
     unlocated = ~unplaced & F.col("hits").isNull()
 

@@ -13,6 +13,7 @@ from lettora.functions import money
 from lettora.operators.ranking import rank_desc
 from lettora.params import Economics, StrategyLabels
 
+# This name and all column names below, equal to those users have today.
 KEY = "postalcode4"
 
 

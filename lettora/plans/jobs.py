@@ -2,29 +2,56 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from lettora.functions.geojson import unreadable_features
+from lettora.operators.arrays import explosion_report
 from lettora.operators.spatial import postcode_polygons
-from lettora.params import Economics, GridSpec, RawFiles, StrategyLabels, TableNames
+from lettora.params import Economics, RawFiles, SilverOptions, StrategyLabels, TableNames
+from lettora.plans.fill import fill_profile
 from lettora.plans.gold import gold_comparison, gold_long_term, gold_short_term
 from lettora.plans.silver import silver_listings, silver_rentals
 from lettora.sinks.tables import WriteMetrics, overwrite_table
-from lettora.sources.files import POSTCODES_SCHEMA, raw_path, read_csv, read_geojson, read_json_lines
+from lettora.sources.files import (
+    CORRUPT,
+    POSTCODES_SCHEMA,
+    RENTALS_SCHEMA,
+    raw_path,
+    read_csv,
+    read_geojson,
+    read_geojson_lines,
+    read_json_lines,
+)
+from lettora.sources.shared import cleaned
 
 
-def ingest_rentals(spark: SparkSession, path: str, table: str, schema: StructType | None = None) -> WriteMetrics:
+def ingest_rentals(
+    spark: SparkSession, path: str, table: str, schema: StructType | None = RENTALS_SCHEMA
+) -> WriteMetrics:
+    """``schema=None`` infers it, at the price of a second read. Give the schema of your file: fields it lacks are dropped."""
     return overwrite_table(read_json_lines(spark, path, schema), table)
 
 
 def ingest_listings(spark: SparkSession, path: str, table: str, schema: StructType | None = None) -> WriteMetrics:
-    return overwrite_table(read_csv(spark, path, schema), table)
+    """With a schema, rows with too few or too many fields keep their text in ``_corrupt_record`` and are counted."""
+    if schema is None:
+        return overwrite_table(read_csv(spark, path), table)
+    return overwrite_table(read_csv(spark, path, schema, CORRUPT), table, checks={"corrupt_rows": F.count(F.col(CORRUPT))})
 
 
 def ingest_postcodes(
-    spark: SparkSession, path: str, table: str, schema: StructType | None = POSTCODES_SCHEMA
+    spark: SparkSession, path: str, table: str, schema: StructType | None = POSTCODES_SCHEMA, lines: bool = False
 ) -> WriteMetrics:
-    return overwrite_table(read_geojson(spark, path, schema), table)
+    """All properties are kept. ``lines`` reads one feature per line. Features are counted, and those of unreadable shape."""
+    collections = read_geojson_lines(spark, path) if lines else read_geojson(spark, path, schema)
+    checks = {"features": F.sum(F.size("features"))}
+    if lines or schema is POSTCODES_SCHEMA:
+        checks["unreadable_features"] = F.sum(unreadable_features("features"))
+    return overwrite_table(collections, table, checks=checks)
 
 
 def raw_to_bronze(
@@ -32,7 +59,7 @@ def raw_to_bronze(
     files: RawFiles,
     tables: TableNames = TableNames(),
     listings_schema: StructType | None = None,
-    rentals_schema: StructType | None = None,
+    rentals_schema: StructType | None = RENTALS_SCHEMA,
 ) -> list[WriteMetrics]:
     return [
         ingest_rentals(
@@ -48,16 +75,28 @@ def raw_to_bronze(
 def bronze_to_silver(
     spark: SparkSession,
     tables: TableNames = TableNames(),
-    grid: GridSpec = GridSpec(),
-    dedupe: bool = False,
+    options: SilverOptions = SilverOptions(),
 ) -> list[WriteMetrics]:
+    """With ``options.report`` the metrics also say how listings were filled and rentals multiplied."""
+    o = options
     polygons = postcode_polygons(spark.table(tables.bronze_postcodes))
-    listings = silver_listings(spark.table(tables.bronze_listings), polygons, grid, dedupe=dedupe)
-    rentals = silver_rentals(spark.table(tables.bronze_rentals), dedupe=dedupe)
-    return [
-        overwrite_table(listings, tables.silver_listings, merge_schema=True),
-        overwrite_table(rentals, tables.silver_rentals, merge_schema=True),
-    ]
+    bronze = spark.table(tables.bronze_listings).drop(CORRUPT)
+    raw_rentals = spark.table(tables.bronze_rentals)
+    with cleaned(spark):
+        listings = silver_listings(
+            bronze, polygons, o.grid, o.limits, o.on_multiple, o.require_digits, o.dedupe, o.patterns
+        )
+        rentals = silver_rentals(raw_rentals, o.patterns, o.explode_mode, o.trim, o.dedupe)
+        metrics = [
+            overwrite_table(listings, tables.silver_listings, merge_schema=True),
+            overwrite_table(rentals, tables.silver_rentals, merge_schema=True),
+        ]
+        if o.report:
+            reports = [fill_profile(bronze, polygons, o.grid, o.limits), explosion_report(raw_rentals)]
+            metrics = [
+                replace(metric, checks=metric.checks | report.first().asDict()) for metric, report in zip(metrics, reports)
+            ]
+    return metrics
 
 
 def silver_to_gold(

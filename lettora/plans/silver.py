@@ -11,14 +11,14 @@ from lettora.operators.arrays import explode_arrays
 from lettora.operators.columns import names_of_type, trim_strings
 from lettora.operators.distinct import distinct_rows
 from lettora.params import GridSpec, SkewLimits, TextPatterns
-from lettora.plans.fill import COORDINATE, attach_postcodes, locate_missing, with_formatted_zipcode
+from lettora.plans.fill import COORDINATE, attach_postcodes, coordinate_counts, locate_missing, with_formatted_zipcode
 
 
-def valid_listings(listings: DataFrame) -> DataFrame:
+def valid_listings(listings: DataFrame, patterns: TextPatterns = TextPatterns()) -> DataFrame:
     """Numbers parsed and PC4 taken from ``final_zipcode``; rows without a PC4 or a price are dropped."""
     return listings.withColumns(
         {
-            "postalcode4": pc4(F.col("final_zipcode")),
+            "postalcode4": pc4(F.col("final_zipcode"), patterns.pc4),
             "price": to_double(F.col("price")),
             "review_scores_value": to_double(F.col("review_scores_value")),
             "bedrooms": to_double(F.col("bedrooms")),
@@ -34,16 +34,18 @@ def silver_listings(
     on_multiple: str = "all",
     require_digits: bool = False,
     dedupe: bool = False,
+    patterns: TextPatterns = TextPatterns(),
 ) -> DataFrame:
-    """Listings with a PC4, their own or that of the polygon they lie in."""
-    listings = with_formatted_zipcode(bronze, require_digits=require_digits)
-    located = locate_missing(listings, polygons, grid, limits, on_multiple)
+    """Listings with a PC4, their own or that of the polygon they lie in. Building this plan runs jobs, as the fill does."""
+    listings = with_formatted_zipcode(bronze, require_digits=require_digits, patterns=patterns)
+    counts = coordinate_counts(listings)
+    located = locate_missing(counts, polygons, grid, limits, on_multiple)
     # Rows that cannot come out valid need not travel through the join; the coordinates above come from all rows.
     placeable = F.col("zipcode_formatted").isNull() & F.col(COORDINATE[0]).isNotNull() & F.col(COORDINATE[1]).isNotNull()
     worth_joining = listings.where(
-        (has_pc4(F.col("zipcode_formatted")) | placeable) & to_double(F.col("price")).isNotNull()
+        (has_pc4(F.col("zipcode_formatted"), patterns.pc4) | placeable) & to_double(F.col("price")).isNotNull()
     )
-    silver = valid_listings(attach_postcodes(worth_joining, located, limits))
+    silver = valid_listings(attach_postcodes(worth_joining, located, limits, counts), patterns)
     return distinct_rows(silver) if dedupe else silver
 
 
@@ -58,7 +60,7 @@ def silver_rentals(
 
     ``trim`` trims the string columns and makes blanks NULL. ``explode_mode`` is that of ``explode_arrays``.
     """
-    listed = with_formatted_zipcode(bronze, "postalCode")
+    listed = with_formatted_zipcode(bronze, "postalCode", patterns=patterns)
     # Unless the filters read an array column, they go first: what they drop is never exploded.
     filter_first = not {"postalCode", "rent"} & set(names_of_type(bronze, ArrayType))
     if filter_first:

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -13,6 +13,7 @@ class WriteMetrics:
     table: str
     row_count: int
     column_count: int
+    checks: dict[str, int] = field(default_factory=dict)
 
 
 def overwrite_table(
@@ -21,14 +22,16 @@ def overwrite_table(
     merge_schema: bool = False,
     path: str | None = None,
     partition_by: list[str] | None = None,
+    checks: dict[str, Column] | None = None,
 ) -> WriteMetrics:
     """Replace the table ``name``; with ``merge_schema`` its columns may change, and the new schema wins.
 
     Rows are counted while they are written, so the plan runs once. A table the plan itself reads cannot be replaced;
-    Spark refuses that. ``path`` makes it an external table.
+    Spark refuses that. ``path`` makes it an external table. ``checks`` are aggregates over the rows written.
     """
     seen = Observation()
-    writer = df.observe(seen, F.count(F.lit(1)).alias("row_count")).write.mode("overwrite")
+    extra = [check.alias(name) for name, check in (checks or {}).items()]
+    writer = df.observe(seen, F.count(F.lit(1)).alias("row_count"), *extra).write.mode("overwrite")
     if merge_schema:
         writer = writer.option("mergeSchema", True)
     if path:
@@ -36,4 +39,5 @@ def overwrite_table(
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.saveAsTable(name)
-    return WriteMetrics(name, seen.get["row_count"], len(df.columns))
+    found = {name: seen.get[name] or 0 for name in checks or {}}
+    return WriteMetrics(name, seen.get["row_count"], len(df.columns), found)

@@ -3,40 +3,58 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import ArrayType, StringType, StructField, StructType
+from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, MapType, StringType, StructField, StructType
 
 LISTING_FIELDS = ["zipcode", "latitude", "longitude", "price", "review_scores_value", "bedrooms"]
 LISTINGS_SCHEMA = StructType([StructField(name, StringType()) for name in LISTING_FIELDS])
 
-# ``coordinates`` stays raw text, so Polygon and MultiPolygon features fit one schema.
-POSTCODES_SCHEMA = StructType(
+RENTAL_ARRAYS = ["_id", "crawledAt", "detailsCrawledAt", "firstSeenAt", "lastSeenAt"]
+RENTALS_SCHEMA = StructType(
+    [StructField(name, ArrayType(StringType())) for name in RENTAL_ARRAYS]
+    + [StructField(name, StringType()) for name in ("postalCode", "areaSqm", "rent")]
+)
+
+# ``coordinates`` stays raw text, so Polygon and MultiPolygon features fit one schema; properties keep whatever there is.
+FEATURE_SCHEMA = StructType(
     [
-        StructField(
-            "features",
-            ArrayType(
-                StructType(
-                    [
-                        StructField("properties", StructType([StructField("pc4_code", StringType())])),
-                        StructField(
-                            "geometry",
-                            StructType([StructField("type", StringType()), StructField("coordinates", StringType())]),
-                        ),
-                    ]
-                )
-            ),
-        )
+        StructField("type", StringType()),
+        StructField("id", StringType()),
+        StructField("properties", MapType(StringType(), StringType())),
+        StructField("geometry", StructType([StructField("type", StringType()), StructField("coordinates", StringType())])),
     ]
 )
+POSTCODES_SCHEMA = StructType(
+    [StructField("type", StringType()), StructField("name", StringType()), StructField("features", ArrayType(FEATURE_SCHEMA))]
+)
+
+CORRUPT = "_corrupt_record"
 
 
 def raw_path(base: str, file: str) -> str:
     return f"{base.rstrip('/')}/{file}"
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
-    """CSV with a header line, every column a string. Without ``schema`` the columns are those of the header."""
+def read_csv(spark: SparkSession, path: str, schema: StructType | None = None, corrupt: str | None = None) -> DataFrame:
+    """CSV with a header line. Columns are found by the names in the header; those not in ``schema`` are strings.
+
+    A name of ``schema`` that the header lacks raises, as does a further file with another header. ``corrupt`` names a
+    column for the text of rows with too few or too many fields; without it these lose fields, or have NULLs, silently.
+    """
     reader = spark.read.option("header", True)
-    return (reader.schema(schema) if schema else reader).csv(path)
+    if schema is None and corrupt is None:
+        return reader.csv(path)
+    header = reader.csv(path).columns
+    missing = [name for name in (schema.names if schema else []) if name not in header]
+    if missing:
+        raise ValueError(f"{path} has no column {', '.join(missing)}")
+    kinds = {field.name: field.dataType for field in schema} if schema else {}
+    fields = [StructField(name, kinds.get(name, StringType())) for name in header]
+    if corrupt:
+        fields.append(StructField(corrupt, StringType()))
+        # A reader that skips fields would not see that a row has another number of them.
+        reader = reader.option("columnNameOfCorruptRecord", corrupt).option("columnPruning", False)
+    return reader.option("enforceSchema", False).schema(StructType(fields)).csv(path)
 
 
 def read_json_lines(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
@@ -44,11 +62,20 @@ def read_json_lines(spark: SparkSession, path: str, schema: StructType | None =
     return (spark.read.schema(schema) if schema else spark.read).json(path)
 
 
-def read_geojson(spark: SparkSession, path: str, schema: StructType | None = POSTCODES_SCHEMA) -> DataFrame:
-    """Feature collections, one row per file; ``path`` may be a folder or pattern.
+def read_geojson(
+    spark: SparkSession, path: str, schema: StructType | None = POSTCODES_SCHEMA, mode: str = "FAILFAST"
+) -> DataFrame:
+    """Feature collections, one row per file; ``path`` may be a folder or pattern. A damaged file raises.
 
-    A collection is one JSON document and so is parsed by one task. Large area sets should come as several files.
-    ``schema=None`` infers the schema.
+    A collection is one JSON document and so is parsed by one task; large area sets should come as several files, or one
+    feature per line (``read_geojson_lines``). ``schema=None`` infers the schema.
     """
-    reader = spark.read.option("multiLine", True).option("recursiveFileLookup", True)
+    reader = spark.read.option("multiLine", True).option("recursiveFileLookup", True).option("mode", mode)
     return (reader.schema(schema) if schema else reader).json(path)
+
+
+def read_geojson_lines(spark: SparkSession, path: str, mode: str = "FAILFAST") -> DataFrame:
+    """One feature per line, of any number of lines and tasks; columns as from ``read_geojson``, a feature per row."""
+    features = spark.read.schema(FEATURE_SCHEMA).option("mode", mode).json(path)
+    none = F.lit(None).cast("string")
+    return features.select(none.alias("type"), none.alias("name"), F.array(F.struct(*FEATURE_SCHEMA.names)).alias("features"))

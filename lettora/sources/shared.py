@@ -4,11 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
 _LOCAL: dict[str, str] = {}
+_MADE: ContextVar[list[str] | None] = ContextVar("made", default=None)
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -28,7 +32,24 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    if (made := _MADE.get()) is not None:
+        made.append(path)
+    return path
+
+
+@contextmanager
+def cleaned(spark: SparkSession) -> Iterator[None]:
+    """Delete at the end what was written to the shared folder inside; for jobs whose results are written elsewhere."""
+    made: list[str] = []
+    token = _MADE.set(made)
+    try:
+        yield
+    finally:
+        _MADE.reset(token)
+        for path in made:
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

@@ -1,7 +1,7 @@
 """Raw inputs derived from the given tables, as column expressions that Spark and DuckDB both read.
 
 Three dirty inputs grow with the tables: ``listings`` (one per order), ``rentals`` (one per lineitem) and ``areas`` (one
-polygon for seven customers in eight). Customer ``c`` owns the unit square at column ``c % 100`` and row ``c / 100``;
+per customer, a polygon for seven in eight and a point for the others). Customer ``c`` owns the unit square at column ``c % 100`` and row ``c / 100``;
 an order lies somewhere in the square of its customer. Offsets have three decimals that never fall on a polygon edge.
 
 The inputs are what raw files and bronze tables would be, so they are written once per session and input folder, and
@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lettora.sources.shared import fresh_path
@@ -60,11 +60,11 @@ RENTAL_ARRAYS = {
 }
 SPARK_EMPTY, SQL_EMPTY = "slice(split('', ';'), 1, 0)", "[]::varchar[]"
 
-# Shape of the area of customer c, by c % 8; 7 has none.
+# Shape of the area of customer c, by c % 8; for 7 it is a point, which is no area.
 #   0, 4: diamond of radius 0.5   1, 5: the same with a diamond hole of radius 0.2
 #   2, 6: two boxes               3: diamond of radius 1.2, which reaches into the neighbouring squares
 AREA_KIND = "case c_custkey % 8 when 0 then 'diamond' when 4 then 'diamond' when 1 then 'ring' when 5 then 'ring' " \
-    "when 2 then 'boxes' when 6 then 'boxes' when 3 then 'wide' end"
+    "when 2 then 'boxes' when 6 then 'boxes' when 3 then 'wide' else 'point' end"
 AREAS = {
     "postcode": "cast(1000 + c_custkey % 9000 as varchar(10))",
     "kind": AREA_KIND,
@@ -116,7 +116,7 @@ def rentals(spark: SparkSession, folder: str, arrays: bool = True) -> DataFrame:
 
 
 def areas(spark: SparkSession, folder: str) -> DataFrame:
-    return _select(read(spark, folder, "customer"), AREAS).where("kind is not null")
+    return _select(read(spark, folder, "customer"), AREAS)
 
 
 def _ring(*corners: tuple[float, float]) -> str:
@@ -138,7 +138,7 @@ COORDINATES = (
     f"case kind when 'diamond' then concat('[', {_diamond(0.5)}, ']') "
     f"when 'ring' then concat('[', {_diamond(0.5)}, ', ', {_diamond(0.2)}, ']') "
     f"when 'boxes' then concat('[[', {_box(-0.45, -0.05, 0.45)}, '], [', {_box(0.05, 0.45, 0.45)}, ']]') "
-    f"when 'wide' then concat('[', {_diamond(1.2)}, ']') end"
+    f"when 'wide' then concat('[', {_diamond(1.2)}, ']') else concat('[', mid_x, ', ', mid_y, ']') end"
 )
 
 
@@ -147,7 +147,7 @@ def area_features(spark: SparkSession, folder: str) -> DataFrame:
     return areas(spark, folder).select(
         "owner",
         "postcode",
-        F.expr("if(kind = 'boxes', 'MultiPolygon', 'Polygon')").alias("type"),
+        F.expr("case kind when 'boxes' then 'MultiPolygon' when 'point' then 'Point' else 'Polygon' end").alias("type"),
         F.expr(COORDINATES).alias("coordinates"),
     )
 
@@ -171,15 +171,25 @@ def postcode_collections(spark: SparkSession, folder: str) -> DataFrame:
     return _stored(spark, folder, "postcodes", build)
 
 
-def geojson_files(spark: SparkSession, folder: str) -> str:
-    """Areas as pretty-printed GeoJSON files; MultiPolygons have a number for a postcode."""
-    feature = F.format_string(
-        '{"type": "Feature",\n "properties": {"pc4_code": %s},\n "geometry": {"type": "%s",\n "coordinates": %s}}',
+def _feature(gap: str) -> Column:
+    return F.format_string(
+        f'{{"type": "Feature",{gap} "properties": {{"pc4_code": %s}},{gap} "geometry": {{"type": "%s",{gap} "coordinates": %s}}}}',
         F.expr("if(type = 'MultiPolygon', postcode, concat('\"', postcode, '\"'))"),
         "type",
         "coordinates",
     )
 
+
+def geojson_line_files(spark: SparkSession, folder: str) -> str:
+    """The same areas as one feature per line."""
+    rows = area_features(spark, folder).select(_feature("").alias("value"))
+    return path_once(spark, folder, "geojson_lines", rows.write.text)
+
+
+def geojson_files(spark: SparkSession, folder: str) -> str:
+    """Areas as pretty-printed GeoJSON files; MultiPolygons have a number for a postcode."""
+    feature = _feature("\n")
+
     def write(path: str) -> None:
         collections = (
             area_features(spark, folder)
@@ -193,8 +203,10 @@ def geojson_files(spark: SparkSession, folder: str) -> str:
 
 
 def listings_csv(spark: SparkSession, folder: str) -> str:
-    rows = listings(spark, folder).drop("host_note")
-    return path_once(spark, folder, "listings_csv", lambda path: rows.write.option("header", True).csv(path))
+    """With the outer spaces of ``host_note`` as they are; the writer would trim them."""
+    writer = listings(spark, folder).write.option("header", True)
+    writer = writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+    return path_once(spark, folder, "listings_csv", writer.csv)
 
 
 def rentals_json(spark: SparkSession, folder: str) -> str:
@@ -213,7 +225,7 @@ SQL_RENTALS = f"select {_columns(RENTALS)} from lineitem"
 SQL_RENTALS_ARRAYS = (
     f"select {_columns(RENTALS | {n: t.format(empty=SQL_EMPTY) for n, t in RENTAL_ARRAYS.items()})} from lineitem"
 )
-SQL_AREAS = f"select * from (select {_columns(AREAS)} from customer) where kind is not null"
+SQL_AREAS = f"select {_columns(AREAS)} from customer"
 
 
 def sql_inside(x: str, y: str) -> str:

@@ -57,17 +57,17 @@ def _cents(column: str) -> str:
     return f"cast({column} as decimal(18,2))"
 
 
-def _gold(occupancy: str, days: int, months: int) -> str:
-    return f"""{WITH},
+def _gold(occupancy: str, days: int, months: int, before: str = WITH, listings: str = "silver_listings", rentals: str = "silver_rentals") -> str:
+    return f"""{before},
  short_sums as (select postalcode4, {_mean('price', 2)} as avg_nightly_price,
    {_mean('review_scores_value', 1)} as avg_review_score, {_mean('bedrooms', 1)} as avg_bedrooms,
-   count(*) as airbnb_listing_count from silver_listings group by postalcode4),
+   count(*) as airbnb_listing_count from {listings} group by postalcode4),
  short_revenue as (select *, cast(round({_cents('avg_nightly_price')} * {days} * {occupancy}, 2) as double)
    as est_annual_airbnb_revenue from short_sums),
  short_term as (select *, {_rank('est_annual_airbnb_revenue')} as airbnb_revenue_rank,
    cast({occupancy} as double) as occupancy_rate from short_revenue),
  long_sums as (select postalcode4, {_mean('monthly_rent', 2)} as avg_monthly_rent,
-   {_mean('area_sqm', 1)} as avg_area_sqm, count(*) as rental_listing_count from silver_rentals group by postalcode4),
+   {_mean('area_sqm', 1)} as avg_area_sqm, count(*) as rental_listing_count from {rentals} group by postalcode4),
  long_revenue as (select *, cast(round({_cents('avg_monthly_rent')} * {months}, 2) as double)
    as est_annual_rental_revenue from long_sums),
  long_term as (select *, {_rank('est_annual_rental_revenue')} as rental_revenue_rank from long_revenue),
@@ -84,16 +84,45 @@ def _gold(occupancy: str, days: int, months: int) -> str:
 
 GOLD = _gold("0.50", 365, 12)
 
-FILLED_FIRST = f"""{WITH},
+STRICT = f"""{WITH},
  strict as (select * replace (case when {_pc4('zipcode_formatted')} <> '' then zipcode_formatted end
    as zipcode_formatted) from formatted),
  strict_missing as (select distinct latitude, longitude from strict
    where zipcode_formatted is null and latitude is not null and longitude is not null),
  smallest as (select latitude, longitude, min(postcode) as postcode from pairs join strict_missing
-   using (latitude, longitude) group by 1, 2)
- select listing_id, postcode, coalesce(zipcode_formatted, postcode) as final_zipcode
+   using (latitude, longitude) group by 1, 2)"""
+FILLED_FIRST = f"""{STRICT} select listing_id, postcode, coalesce(zipcode_formatted, postcode) as final_zipcode
  from strict left join smallest using (latitude, longitude)"""
 
+# Raw listings went through a file, where a blank text is NULL.
+OPTIONS = _gold("0.50", 365, 12, f"""{STRICT},
+ strict_filled as (select strict.*, smallest.postcode, coalesce(zipcode_formatted, smallest.postcode) as final_zipcode
+   from strict left join smallest using (latitude, longitude)),
+ strict_listings as (select distinct * replace (cast(price as double) as price,
+     try_cast(review_scores_value as double) as review_scores_value, try_cast(bedrooms as double) as bedrooms),
+     {_pc4('final_zipcode')} as postalcode4
+   from strict_filled where {_pc4('final_zipcode')} <> '' and try_cast(price as double) is not null),
+ zipped as (select rental_arrays.* exclude ("crawledAt", "firstSeenAt"), "crawledAt"[i] as "crawledAt", "firstSeenAt"[i] as "firstSeenAt"
+   from rental_arrays, unnest(range(1, 1 + greatest(1, len("crawledAt"), coalesce(len("firstSeenAt"), 0)))) as u(i)),
+ zipped_rentals as (select distinct *, {_pc4('"postalCode"')} as postalcode4, {RENT} as monthly_rent, {AREA} as area_sqm
+   from zipped where {_pc4('"postalCode"')} <> '' and {RENT} > 0)""", "strict_listings", "zipped_rentals")
+
+# A price text that is no finite number, or larger than exact sums reach: such groups are averaged as doubles.
+_WILD = f"case when listing_id % 97 = 0 then 'NaN' when listing_id % 89 = 0 then 'Infinity' when listing_id % 83 = 0 then '{2**100}' else price end"
+_FITS = "bool_and(price < 1e22)"
+EXTREMES = f"""{WITH},
+ wild as (select *, {_pc4('zipcode')} as postalcode4, try_cast({_WILD} as double) as price_number from listings),
+ valid as (select * exclude (price, price_number), price_number as price from wild where postalcode4 <> '' and price_number is not null),
+ sums as (select postalcode4, case when {_FITS} then {_mean("case when price < 1e22 then price end", 2)} else avg(price) end as avg_nightly_price,
+   {_mean('try_cast(review_scores_value as double)', 1)} as avg_review_score, {_mean('try_cast(bedrooms as double)', 1)} as avg_bedrooms,
+   count(*) as airbnb_listing_count from valid group by postalcode4),
+ revenue as (select *, case when avg_nightly_price < 1e15 then cast(round(cast(case when avg_nightly_price < 1e15 then avg_nightly_price end
+   as decimal(18,2)) * 182.5, 2) as double) else avg_nightly_price * cast(182.5 as double) end as est_annual_airbnb_revenue from sums)
+ select * replace (case when not isnan(avg_nightly_price) then avg_nightly_price end as avg_nightly_price,
+   case when not isnan(est_annual_airbnb_revenue) then est_annual_airbnb_revenue end as est_annual_airbnb_revenue),
+   isnan(avg_nightly_price) as not_a_number, {_rank('est_annual_airbnb_revenue')} as airbnb_revenue_rank,
+   cast(0.5 as double) as occupancy_rate from revenue"""
+
 # Corners (dx, dy) around the middle of an area, by kind: ring number, members of the area, corner.
 _DIAMOND = [(0, -1), (1, 0), (0, 1), (-1, 0), (0, -1)]
 
@@ -154,13 +183,18 @@ ORACLE: dict[str, str] = {
         round(mid_x + cast(dx as double), 6) as x, round(mid_y + cast(dy as double), 6) as y
         from areas join {_corners()} using (kind)""",
     "geojson_inferred_schema": f"""{WITH} select postcode,
-        case when kind = 'boxes' then 'MultiPolygon' else 'Polygon' end as kind,
-        cast(case when kind in ('boxes', 'ring') then 10 else 5 end as integer) as positions from areas""",
+        case kind when 'boxes' then 'MultiPolygon' when 'point' then 'Point' else 'Polygon' end as kind,
+        cast(case when kind = 'point' then null when kind in ('boxes', 'ring') then 10 else 5 end as integer) as positions
+        from areas""",
+    "geojson_lines": f"""{WITH} select postcode, round(min(mid_y + cast(dy as double)), 6) as bottom,
+        round(max(mid_y + cast(dy as double)), 6) as top, round(min(mid_x + cast(dx as double)), 6) as left_side
+        from areas join {_corners()} using (kind) group by owner, postcode""",
     "contains_test": f"""{WITH} select owner, {sql_inside('mid_x', 'mid_y')} as centre_inside,
         {sql_inside('(mid_x + cast(0.26 as double))', '(mid_y - cast(0.13 as double))')} as off_centre_inside
         from areas""",
     "point_in_polygon": f"{WITH} select * from pairs",
     "point_in_polygon_shuffled": f"{WITH} select * from pairs",
+    "point_in_polygon_default_grid": f"{WITH} select * from pairs",
     "zipcode_fill": f"""{WITH} select listing_id, latitude, longitude, zipcode_formatted, postcode, final_zipcode
         from filled""",
     "zipcode_fill_first": FILLED_FIRST,
@@ -180,14 +214,17 @@ ORACLE: dict[str, str] = {
     "silver_listing_rows": f"{WITH} select * from silver_listings",
     "silver_listing_rows_deduped": f"""{WITH} select distinct latitude, longitude, zipcode,
         cast(bedrooms as double) as bedrooms, try_cast(review_scores_value as double) as review_scores_value,
-        cast(1 as double) as price, zipcode_formatted, postcode, final_zipcode, {_pc4('final_zipcode')} as postalcode4
-        from filled where {_pc4('final_zipcode')} <> ''""",
+        floor(cast(price as double) / 100000) as price, zipcode_formatted, postcode, final_zipcode,
+        {_pc4('final_zipcode')} as postalcode4
+        from filled where {_pc4('final_zipcode')} <> '' and try_cast(price as double) is not null""",
     "silver_rental_rows": f"{WITH} select * from silver_rentals",
     "gold_short_term_summary": f"{GOLD} select * from short_term",
+    "gold_short_term_extremes": EXTREMES,
     "gold_long_term_summary": f"{GOLD} select * from long_term",
     "gold_investment_comparison": f"{GOLD} select * from comparison",
     "gold_comparison_other_economics": f"{_gold('0.7', 360, 11)} select * from comparison",
     "raw_files_to_gold": f"{GOLD} select * from comparison",
+    "raw_files_to_gold_options": f"{OPTIONS} select * from comparison",
     "global_rank_two_step": """select *, rank() over (order by price desc nulls last) as price_rank from (
         select l_orderkey, l_linenumber, l_suppkey, case when l_linenumber = 7 then null
           when l_linenumber = 6 then cast(1000 as double) else l_extendedprice end as price from lineitem)""",
@@ -202,8 +239,10 @@ ORACLE: dict[str, str] = {
         count(*) filter (where latitude is null) as latitude_nulls,
         count(*) filter (where review_scores_value is null) as review_scores_value_nulls from listings""",
     "csv_roundtrip": f"""{WITH} select listing_id::varchar as listing_id,
-        {', '.join(f"nullif({c}, '') as {c}" for c in _TEXTS if c != 'host_note')} from listings""",
-    "json_roundtrip": f"{WITH} select * replace (cast(line_no as bigint) as line_no) from rentals",
+        {', '.join(f"nullif({c}, '') as {c}" for c in _TEXTS)} from listings""",
+    "csv_with_schema": f"""{WITH} select listing_id::varchar as listing_id,
+        {', '.join(f"nullif({c}, '') as {c}" for c in _TEXTS if c != 'host_note')}, false as corrupt from listings""",
+    "json_roundtrip": f"{WITH} select * replace (cast(line_no as bigint) as line_no) from rental_arrays",
     "table_overwrite": f"""{WITH} select order_id, line_no, rent, cast(1 as integer) as columns_before,
         cast(3 as integer) as columns_after, cast(count(*) over () as integer) as rows_written from rentals""",
 }

@@ -16,8 +16,8 @@ from lettora.operators.columns import drop_type, flatten_structs, null_strings_t
 from lettora.operators.distinct import distinct_keys, distinct_rows
 from lettora.operators.ranking import global_rank
 from lettora.operators.spatial import as_points, containing_polygons, postcode_polygons
-from lettora.params import Economics, GridSpec, RawFiles, SkewLimits, TableNames
-from lettora.plans import jobs
+from lettora.params import Economics, GridSpec, RawFiles, SilverOptions, SkewLimits, TableNames
+from lettora.plans import jobs, silver
 from lettora.plans.fill import (
     COORDINATE,
     fill_profile,
@@ -30,8 +30,8 @@ from lettora.plans.gold import gold_comparison, gold_long_term, gold_short_term
 from lettora.plans.quality import null_counts, profile
 from lettora.plans.silver import silver_listings, silver_rentals
 from lettora.sinks.tables import overwrite_table
-from lettora.sources.files import read_csv, read_geojson, read_json_lines
-from lettora.sources.shared import fresh_path
+from lettora.sources.files import CORRUPT, LISTINGS_SCHEMA, read_csv, read_geojson, read_geojson_lines, read_json_lines
+from lettora.sources.shared import fresh_path, written
 from parity import inputs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -182,6 +182,19 @@ def geojson_polygons(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def geojson_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Areas read as one feature per line: corners of the bounding box of each."""
+    areas = postcode_polygons(read_geojson_lines(spark, inputs.geojson_line_files(spark, folder)))
+    edges = areas.selectExpr("postcode", f"flatten({member_edges('members')}) as edges")
+    return edges.selectExpr(
+        "postcode",
+        "round(array_min(edges.ylo), 6) as bottom",
+        "round(array_max(edges.yhi), 6) as top",
+        "round(least(array_min(edges.xlo), array_min(edges.xhi)), 6) as left_side",
+    )
+
+
 @query
 def geojson_inferred_schema(spark: SparkSession, folder: str) -> DataFrame:
     """The same through an inferred schema, which leaves quotes to repair; also the repair on JSON text."""
@@ -233,6 +246,13 @@ def point_in_polygon_shuffled(spark: SparkSession, folder: str) -> DataFrame:
     ).select("latitude", "longitude", "postcode")
 
 
+@query
+def point_in_polygon_default_grid(spark: SparkSession, folder: str) -> DataFrame:
+    """The same with cells sized by each polygon."""
+    points = as_points(distinct_keys(inputs.listings(spark, folder), COORDINATE))
+    return containing_polygons(points, polygons(spark, folder)).select("latitude", "longitude", "postcode")
+
+
 @query
 def zipcode_fill(spark: SparkSession, folder: str) -> DataFrame:
     filled = fill_zipcodes(inputs.listings(spark, folder), polygons(spark, folder), GRID)
@@ -272,7 +292,9 @@ def silver_listing_rows(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def silver_listing_rows_deduped(spark: SparkSession, folder: str) -> DataFrame:
     # Without its id a listing can be an exact copy of another one.
-    listings = inputs.listings(spark, folder).drop("listing_id", "host_note", "price").withColumn("price", F.lit("1"))
+    listings = inputs.listings(spark, folder).drop("listing_id", "host_note")
+    coarse = F.expr("case when price = '$bad' then price else cast(cast(floor(cast(price as double) / 100000) as bigint) as string) end")
+    listings = listings.withColumn("price", coarse)
     return silver_listings(listings, polygons(spark, folder), GRID, dedupe=True)
 
 
@@ -286,6 +308,18 @@ def gold_short_term_summary(spark: SparkSession, folder: str) -> DataFrame:
     return gold_short_term(_silver_listings(spark, folder))
 
 
+@query
+def gold_short_term_extremes(spark: SparkSession, folder: str) -> DataFrame:
+    """Prices that are no finite number, or too large for an exact sum, count in averages and revenues."""
+    price = f"case when listing_id % 97 = 0 then 'NaN' when listing_id % 89 = 0 then 'Infinity' when listing_id % 83 = 0 then '{2**100}' else price end"
+    listings = inputs.listings(spark, folder).withColumn("price", F.expr(price)).withColumn("final_zipcode", F.col("zipcode"))
+    summary = gold_short_term(silver.valid_listings(listings))
+    # NaN is not equal to itself, so it is shown as a flag.
+    nan = F.isnan("avg_nightly_price")
+    shown = {n: F.when(~nan, F.col(n)) for n in ("avg_nightly_price", "est_annual_airbnb_revenue")}
+    return summary.withColumn("not_a_number", F.coalesce(nan, F.lit(False))).withColumns(shown)
+
+
 @query
 def gold_long_term_summary(spark: SparkSession, folder: str) -> DataFrame:
     return gold_long_term(silver_rentals(inputs.rentals(spark, folder)))
@@ -357,10 +391,20 @@ def csv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def json_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
-    kinds = {"order_id": LongType(), "line_no": LongType()}
-    names = ["order_id", "line_no", *[name for name in inputs.RENTALS if name not in kinds]]
-    schema = StructType([StructField(name, kinds.get(name, StringType())) for name in names])
-    return read_json_lines(spark, inputs.rentals_json(spark, folder), schema)
+    return read_json_lines(spark, inputs.rentals_json(spark, folder), _rentals_schema())
+
+
+def _rentals_schema() -> StructType:
+    kinds = {"order_id": LongType(), "line_no": LongType()} | {n: ArrayType(StringType()) for n in inputs.RENTAL_ARRAYS}
+    names = [*inputs.RENTALS, *inputs.RENTAL_ARRAYS]
+    return StructType([StructField(name, kinds.get(name, StringType())) for name in names])
+
+
+@query
+def csv_with_schema(spark: SparkSession, folder: str) -> DataFrame:
+    """A schema in another order than the file, which also has more columns: found by name. No row is corrupt."""
+    rows = read_csv(spark, inputs.listings_csv(spark, folder), LISTINGS_SCHEMA, CORRUPT)
+    return rows.select("listing_id", *LISTINGS_SCHEMA.names, F.col(CORRUPT).isNotNull().alias("corrupt"))
 
 
 @query
@@ -371,17 +415,31 @@ def table_overwrite(spark: SparkSession, folder: str) -> DataFrame:
     second = overwrite_table(
         rentals.select("order_id", "line_no", "rent"), name, merge_schema=True, path=fresh_path(spark, name)
     )
-    return spark.table(name).select(
+    rows = spark.table(name).select(
         "*",
         F.lit(first.column_count).alias("columns_before"),
         F.lit(second.column_count).alias("columns_after"),
         F.lit(second.row_count).alias("rows_written"),
     )
+    rows = written(rows, "overwritten")
+    spark.sql(f"drop table {name}")
+    return rows
 
 
 @query
 def raw_files_to_gold(spark: SparkSession, folder: str) -> DataFrame:
-    """All three jobs in order, from raw files to the comparison table."""
+    """All three jobs in order, from raw files, by given schemas, to the comparison table."""
+    return _all_jobs(spark, folder, SilverOptions(grid=GRID))
+
+
+@query
+def raw_files_to_gold_options(spark: SparkSession, folder: str) -> DataFrame:
+    """The same with other choices in the silver step."""
+    options = SilverOptions(on_multiple="first", require_digits=True, explode_mode="zip", trim=True, dedupe=True, report=True)
+    return _all_jobs(spark, folder, options)
+
+
+def _all_jobs(spark: SparkSession, folder: str, options: SilverOptions) -> DataFrame:
     paths = [read_from(spark, folder) for read_from in (inputs.listings_csv, inputs.rentals_json, inputs.geojson_files)]
     (listings_base, listings_file), (rentals_base, rentals_file), (areas_base, areas_file) = (
         path.rsplit("/", 1) for path in paths
@@ -390,7 +448,9 @@ def raw_files_to_gold(spark: SparkSession, folder: str) -> DataFrame:
     schema = _table_name("letting")
     spark.sql(f"create database {schema} location '{fresh_path(spark, schema)}'")
     tables = TableNames().under(None, schema, schema, schema)
-    jobs.raw_to_bronze(spark, files, tables)
-    jobs.bronze_to_silver(spark, tables, GRID)
+    jobs.raw_to_bronze(spark, files, tables, LISTINGS_SCHEMA, _rentals_schema())
+    jobs.bronze_to_silver(spark, tables, options)
     jobs.silver_to_gold(spark, tables)
-    return spark.table(tables.gold_comparison)
+    comparison = written(spark.table(tables.gold_comparison), "comparison")
+    spark.sql(f"drop database {schema} cascade")
+    return comparison

@@ -1,12 +1,23 @@
 import json
+import os
 
 import pytest
+from pyspark.sql.types import StructType
 
-from lettora.params import GridSpec, RawFiles, TableNames
+from lettora.params import GridSpec, RawFiles, SilverOptions, TableNames
 from lettora.plans import jobs
 from lettora.sinks.tables import overwrite_table
-from lettora.sources.files import LISTINGS_SCHEMA, raw_path, read_csv
-from lettora.sources.shared import fresh_path, shared_folder, written
+from lettora.sources.files import (
+    CORRUPT,
+    LISTINGS_SCHEMA,
+    RENTAL_ARRAYS,
+    RENTALS_SCHEMA,
+    raw_path,
+    read_csv,
+    read_geojson,
+    read_geojson_lines,
+)
+from lettora.sources.shared import cleaned, fresh_path, shared_folder, written
 
 
 @pytest.fixture
@@ -36,6 +47,65 @@ def test_csv_columns_are_strings(spark, tmp_path):
     assert (row.zipcode, row.price, row.review_scores_value) == ("1234AB", "100", None)
 
 
+def test_csv_columns_are_found_by_name(spark, tmp_path):
+    file = tmp_path / "a.csv"
+    file.write_text(
+        "id,price,zipcode,latitude,longitude,bedrooms,review_scores_value,note\n"
+        "7,100,9876ZY,51.5,5.5,2,9,x\n8,200,9876ZX,51.5,5.5,2,9,x,surplus\n9,300\n"
+    )
+    rows = read_csv(spark, str(file), LISTINGS_SCHEMA, CORRUPT).collect()
+    assert (rows[0].id, rows[0].zipcode, rows[0].latitude, rows[0].price, rows[0].note) == ("7", "9876ZY", "51.5", "100", "x")
+    assert [r[CORRUPT] for r in rows] == [None, "8,200,9876ZX,51.5,5.5,2,9,x,surplus", "9,300"]
+    file.write_text("id,price\n1,2\n")
+    with pytest.raises(ValueError, match="zipcode"):
+        read_csv(spark, str(file), LISTINGS_SCHEMA)
+
+
+def collection(ring, **properties):
+    shape = {"type": "Polygon", "coordinates": [ring]}
+    return {"type": "FeatureCollection", "name": "areas", "features": [{"type": "Feature", "properties": properties, "geometry": shape}]}
+
+
+RING = [[5.0, 51.0], [6.0, 51.0], [6.0, 51.8], [5.0, 51.8], [5.0, 51.0]]
+
+
+def test_geojson_keeps_all_properties_and_reports_damage(spark, tmp_path, database):
+    file = tmp_path / "areas.geojson"
+    text = json.dumps(collection(RING, pc4_code="9876", town="Xyz", size=3), indent=1)
+    file.write_text(text)
+    row = read_geojson(spark, str(file)).first()
+    assert row.name == "areas" and row.features[0].type == "Feature"
+    assert row.features[0].properties == {"pc4_code": "9876", "town": "Xyz", "size": "3"}
+    file.write_text(text[: len(text) // 2])
+    with pytest.raises(Exception, match="MALFORMED|FAILFAST|Malformed"):
+        read_geojson(spark, str(file)).collect()
+    broken = collection(RING, pc4_code="1")
+    broken["features"].append({"properties": {"pc4_code": "2"}, "geometry": {"type": "Polygon", "coordinates": "none"}})
+    file.write_text(json.dumps(broken))
+    assert jobs.ingest_postcodes(spark, str(file), f"{database}.p").checks == {"features": 2, "unreadable_features": 1}
+
+
+def test_geojson_lines(spark, tmp_path, database):
+    file = tmp_path / "areas.jsonl"
+    feature = collection(RING, pc4_code="9876", town="Xyz")["features"][0]
+    file.write_text("\n".join([json.dumps(feature)] * 3))
+    rows = read_geojson_lines(spark, str(file)).collect()
+    assert len(rows) == 3 and rows[0].features[0].properties["town"] == "Xyz"
+    assert jobs.ingest_postcodes(spark, str(file), f"{database}.p", lines=True).checks["features"] == 3
+    file.write_text(json.dumps(feature)[:50])
+    with pytest.raises(Exception, match="MALFORMED|FAILFAST|Malformed"):
+        read_geojson_lines(spark, str(file)).collect()
+
+
+def test_cleaned_deletes_what_was_written_inside(spark):
+    before = written(spark.range(3), "kept")
+    with cleaned(spark):
+        written(spark.range(3), "gone")
+        inside = fresh_path(spark, "gone")
+        spark.range(1).write.parquet(inside)
+    assert before.count() == 3 and not os.path.exists(inside)
+
+
 def test_overwrite_counts_and_replaces_schema(spark, database):
     name = f"{database}.t"
     first = overwrite_table(spark.range(10), name)
@@ -69,25 +139,31 @@ def test_all_jobs(spark, tmp_path, database):
     raw.mkdir()
     (raw / "airbnb.csv").write_text(
         "zipcode,latitude,longitude,price,review_scores_value,bedrooms\n"
-        "1234AB,52.15,4.85,100,9,1\n,52.15,4.85,200,8,2\n,60,4.85,300,8,2\n"
+        "9876ZY,51.4,5.5,100,9,1\n,51.4,5.5,200,8,2\n,60,5.5,300,8,2\n"
     )
     rentals = [
-        {"_id": ["a"], "postalCode": "1234AB", "rent": "€ 1200", "areaSqm": "50"},
-        {"_id": ["b", "c"], "postalCode": "5678CD", "rent": "€ 1500", "areaSqm": "60"},
+        {"_id": ["a"], "postalCode": "9876ZX", "rent": "€ 1300", "areaSqm": "45"},
+        {"_id": ["b", "c"], "postalCode": "4321QR", "rent": "€ 900", "areaSqm": "30"},
     ]
     (raw / "rentals.json").write_text("\n".join(map(json.dumps, rentals)))
-    ring = [[4.8, 52.1], [4.9, 52.1], [4.9, 52.2], [4.8, 52.2], [4.8, 52.1]]
-    feature = {"properties": {"pc4_code": "1234"}, "geometry": {"type": "Polygon", "coordinates": [ring]}}
-    (raw / "post_codes.geojson").write_text(json.dumps({"features": [feature]}, indent=1))
+    (raw / "post_codes.geojson").write_text(json.dumps(collection(RING, pc4_code="9876"), indent=1))
+    rentals_schema = StructType([f for f in RENTALS_SCHEMA if f.name not in RENTAL_ARRAYS[1:]])
 
     files = RawFiles(f"{raw}/", str(raw), str(raw))
     tables = TableNames().under(None, database, database, database)
     counts = lambda metrics: [(m.row_count, m.column_count) for m in metrics]
-    assert counts(jobs.raw_to_bronze(spark, files, tables)) == [(2, 4), (3, 6), (1, 1)]
-    assert counts(jobs.bronze_to_silver(spark, tables, GridSpec(0.05))) == [(2, 10), (3, 9)]
+    assert counts(jobs.raw_to_bronze(spark, files, tables, rentals_schema=rentals_schema)) == [(2, 4), (3, 6), (1, 3)]
+    assert counts(jobs.raw_to_bronze(spark, files, tables, LISTINGS_SCHEMA, None)) == [(2, 4), (3, 7), (1, 3)]
+    options = SilverOptions(grid=GridSpec(0.05), report=True)
+    made = set(os.listdir(shared_folder(spark)))
+    metrics = jobs.bronze_to_silver(spark, tables, options)
+    assert set(os.listdir(shared_folder(spark))) == made
+    assert counts(metrics) == [(2, 10), (3, 9)]
+    assert metrics[0].checks["missing_listings"] == 2 and metrics[0].checks["unlocated_listings"] == 1
+    assert metrics[1].checks == {"rows_in": 2, "rows_out": 3, "rows_lost": 0}
     assert counts(jobs.silver_to_gold(spark, tables)) == [(1, 8), (2, 6), (1, 18)]
     row = spark.table(tables.gold_comparison).first()
-    assert (row.postalcode4, row.avg_nightly_price, row.est_annual_airbnb_revenue) == ("1234", 150.0, 27375.0)
-    assert (row.est_annual_rental_revenue, row.revenue_airbnb_minus_rentals, row.revenue_ratio) == (14400.0, 12975.0, 1.9)
+    assert (row.postalcode4, row.avg_nightly_price, row.est_annual_airbnb_revenue) == ("9876", 150.0, 27375.0)
+    assert (row.est_annual_rental_revenue, row.revenue_airbnb_minus_rentals, row.revenue_ratio) == (15600.0, 11775.0, 1.75)
     # A second run replaces everything.
-    assert counts(jobs.bronze_to_silver(spark, tables, GridSpec(0.05))) == [(2, 10), (3, 9)]
+    assert counts(jobs.bronze_to_silver(spark, tables, options)) == [(2, 10), (3, 9)]

@@ -1,3 +1,4 @@
+import math
 from decimal import Decimal
 
 import pytest
@@ -28,9 +29,22 @@ def test_mean_does_not_depend_on_order(spark):
     assert means == {100.0}
 
 
-def test_mean_of_nothing_or_not_a_number(spark):
-    rows = spark.createDataFrame([(float("nan"),), (float("inf"),), (1e300,)], "v double")
-    assert rows.agg(money.mean(F.col("v"), 2).alias("m")).first().m is None
+@pytest.mark.parametrize(
+    "numbers, expected",
+    [([1.0, math.nan, 1e23], math.nan), ([1.0, math.inf], math.inf), ([1e30, 3e30], 2e30), ([], None), ([None], None)],
+)
+def test_mean_of_any_double(spark, numbers, expected):
+    found = spark.createDataFrame([(n,) for n in numbers], "v double").agg(money.mean(F.col("v"), 2).alias("m")).first().m
+    assert found == expected or math.isnan(expected) and math.isnan(found)
+
+
+def test_revenue_of_any_double(spark):
+    rows = spark.createDataFrame([(1e30, 2.0), (math.inf, 2.0), (math.nan, 2.0), (2.0, math.nan)], "a double, b double")
+    a, b = F.col("a"), F.col("b")
+    columns = money.short_term_revenue(a, Economics()), money.long_term_revenue(a, Economics()), money.difference(a, b), money.ratio(a, b)
+    out = [tuple(map(str, row)) for row in rows.select(*columns).collect()]
+    assert out[0] == (str(1e30 * 182.5), str(1e30 * 12.0), "1e+30", "5e+29")
+    assert out[1:] == [("inf",) * 4, ("nan",) * 4, ("365.0", "24.0", "nan", "nan")]
 
 
 @pytest.mark.parametrize(
