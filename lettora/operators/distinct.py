@@ -13,4 +13,5 @@ def distinct_rows(df: DataFrame) -> DataFrame:
 
 def distinct_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     """Distinct non-NULL key tuples. Only the keys are kept: which of several rows to keep is not defined."""
-    return df.select(*map(quoted, keys)).na.drop().distinct()
+    plain = df.select(*map(quoted, keys)).toDF(*(f"_{k}" for k in range(len(keys))))  # na.drop knows no quoted names
+    return plain.na.drop().distinct().toDF(*keys)

@@ -26,8 +26,11 @@ SALT, SALTS, SPREAD, PIECE = "_salt", "_salts", "_spread", "_piece"
 
 def rows_per_key(df: DataFrame, keys: list[str]) -> DataFrame:
     """Distinct non-NULL keys with their number of rows ``n``."""
-    keys = list(map(quoted, keys))
-    return df.select(*keys).na.drop().groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    return _with_keys(df, keys).groupBy(*map(quoted, keys)).agg(F.count(F.lit(1)).alias("n"))
+
+
+def _with_keys(df: DataFrame, keys: list[str]) -> DataFrame:
+    return df.where(reduce(lambda a, b: a & b, [F.col(quoted(key)).isNotNull() for key in keys]))
 
 
 def hot_keys(counted: DataFrame, keys: list[str], limits: SkewLimits = SkewLimits()) -> DataFrame:
@@ -67,7 +70,7 @@ def skew_join(
             left = left.join(pieces, on, "left").withColumn(PIECE, F.explode(every)).drop(SALTS)
             return skew_join(left, right, [*on, PIECE], how, limits).drop(PIECE)
     if how == "inner":
-        left = left.na.drop(subset=on)
+        left = _with_keys(left, on)
     hot = written(hot_keys(counted or rows_per_key(left, on), on, limits), "hot_keys")
     if how == "inner" and hot.isEmpty():
         return left.join(right, on, how)

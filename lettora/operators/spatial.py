@@ -70,8 +70,11 @@ def _edges(polygons: DataFrame, grid: GridSpec) -> DataFrame:
     width = f"array_max(transform(every, e -> {right_end('e')})) - array_min(transform(every, e -> {left_end('e')}))"
     height = "array_max(every.yhi) - array_min(every.ylo)"
     least = float(grid.cell or 0)
-    level = f"ceil(log2(greatest(extent / {int(grid.cells_across)}, {least!r}D)))"
-    sized = every.selectExpr("postcode", "boundary", f"greatest({width}, {height}) as extent").where("extent > 0")
+    # Few edges need few cells.
+    across = f"least({int(grid.cells_across)}, greatest(4, n_edges / 8))"
+    level = f"ceil(log2(greatest(extent / {across}, {least!r}D)))"
+    sized = every.selectExpr("postcode", "boundary", f"greatest({width}, {height}) as extent", "size(every) as n_edges")
+    sized = sized.where("extent > 0")
     numbered = sized.selectExpr("monotonically_increasing_id() as pid", "postcode", "boundary", f"cast({level} as int) as level")
     members = numbered.selectExpr("pid", "postcode", "level", "posexplode(boundary) as (member, edges)")
     # Written, as the numbers must not change between the uses below.

@@ -38,8 +38,8 @@ class TextPatterns:
 class GridSpec:
     """How the point-in-polygon join partitions the plane.
 
-    A polygon is cut into at most about ``cells_across`` cells along its extent; ``cell``, if given, is the least side of a
-    cell in coordinate units. The polygon side is broadcast only when its measured size is at most ``broadcast_bytes``;
+    A polygon is cut into about an eighth as many cells along its extent as it has edges, at least 4 and at most
+    ``cells_across``; ``cell``, if given, is the least side of a cell in coordinate units. The polygon side is broadcast only when its measured size is at most ``broadcast_bytes``;
     above that the join shuffles by cell.
     """
 

@@ -13,6 +13,8 @@ from lettora.operators.columns import (
     value_rows,
 )
 from lettora.operators.distinct import distinct_keys, distinct_rows
+from lettora.operators.skew import rows_per_key
+from lettora.plans.quality import null_counts, profile
 
 
 def rows(df):
@@ -70,13 +72,19 @@ def test_distinct(spark):
 
 
 def test_value_rows_and_preview(spark):
-    df = spark.createDataFrame([(1, "Yes"), (2, "No"), (3, "Yes"), (4, "No"), (5, "Yes")], "id int, response string")
-    assert value_rows(df, "response", "Yes").count() == 3
-    assert [r.id for r in preview(df, 2, ["id"]).collect()] == [1, 2]
-    assert preview(df, 2).count() == 2
+    df = spark.createDataFrame([(4, "red"), (8, "blue"), (6, None), (2, "red")], "size int, colour string")
+    assert value_rows(df, "colour", "red").count() == 2
+    assert [r.size for r in preview(df, 3, ["size"]).collect()] == [2, 4, 6]
+    assert preview(df, 3).count() == 3
 
 
 def test_null_safe_names(spark):
     df = spark.createDataFrame([(" x ",)], ["a.b"])
     assert trim_strings(df).first()[0] == "x"
     assert value_rows(df, "a.b", " x ").select(F.count(F.lit(1))).first()[0] == 1
+    empty = spark.createDataFrame([(None,), ("x",), ("x",)], "`a.b` string")
+    assert sorted(r[0] for r in null_strings_to(empty).collect()) == ["Unknown", "x", "x"]
+    assert distinct_keys(empty, ["a.b"]).count() == 1
+    assert [r.n for r in rows_per_key(empty, ["a.b"]).collect()] == [2]
+    assert null_counts(empty, ["a.b"]).first()["a.b_nulls"] == 1
+    assert profile(empty, distinct={"values": ["a.b"]}).first()["values"] == 1

@@ -199,3 +199,19 @@ def test_profile(listings):
 def test_fill_plan_has_no_python_and_no_pairing_of_everything(listings, areas, plan_text):
     plan = plan_text(silver_listings(listings, areas, GRID))
     assert not any(word in plan for word in ("CartesianProduct", "NestedLoop", "Python", "Pandas"))
+
+
+def test_silver_listings_read_bronze_twice(spark, listings, areas, tmp_path):
+    """Once for the coordinate counts, once for the result; the polygons are parsed once."""
+    listings.write.parquet(str(tmp_path / "bronze"))
+    reads = spark.sparkContext.accumulator(0)
+    bronze = spark.read.parquet(str(tmp_path / "bronze"))
+    n_rows = bronze.count()
+
+    def counted(batches):
+        for batch in batches:
+            reads.add(batch.num_rows)
+            yield batch
+
+    silver_listings(bronze.mapInArrow(counted, bronze.schema), areas, GRID).collect()
+    assert reads.value == 2 * n_rows
