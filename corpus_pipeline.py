@@ -15,7 +15,7 @@ from lettora.llm.mixing import mix, words_taken
 from lettora.llm.quality_rules import keep_good
 from lettora.llm.simhash import one_of_each
 from lettora.llm.tables import table
-from lettora.sources.shared import written
+from lettora.sources.shared import cleaned, fresh_path
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -57,6 +57,9 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), f"stage-{name.replace(' ', '-')}")
-    return STAGES[-1][1](spark, docs, sf_dir)
+    for name, stage in STAGES:
+        path = fresh_path(spark, f"stage-{name.replace(' ', '-')}")
+        with cleaned(spark):  # what a stage itself has put into the shared folder; its result stays
+            stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
+    return docs

@@ -346,8 +346,10 @@ def fitted_field(documents: DataFrame, spec: CrfSpec = CrfSpec()) -> Field | Non
     """Fitted on about ``fit_documents`` documents, chosen by hash; None if they hold no entity."""
     every = max(1, documents.count() // spec.fit_documents)
     chosen = documents.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(every)) == 0).select(F.col("text").cast("string"))
+    # Copies without a doc_id share a hash; once is enough of them.
+    sampled = map_batches(chosen, _sample_rows, _SAMPLE, spec).distinct()
     graphs = []
-    for words, features, chain, skip, outer, labels in sorted(map(tuple, map_batches(chosen, _sample_rows, _SAMPLE, spec).collect())):
+    for words, features, chain, skip, outer, labels in sorted(map(tuple, sampled.collect())):
         pairs = lambda flat: np.array(flat, np.int64).reshape(-1, 2)
         graph = Graph(pairs(words).tolist(), np.reshape(features, (-1, N_FEATURES)), pairs(chain), pairs(skip), np.array(outer))
         graphs.append((graph, np.array(labels)))

@@ -152,10 +152,10 @@ def fitted_space(documents: DataFrame, labels: DataFrame, spec: KnnSpec = KnnSpe
     # At most fit_rows rows of three numbers each: safe to send to all tasks.
     chosen = F.broadcast(marks.orderBy("order", "quality").limit(spec.fit_rows))
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("raw"))
-    # A label of a doc_id that many rows repeat stays one vote per row, up to the same bound.
-    rows = texts.join(chosen, "doc_id").select("quality", "order", "raw").orderBy("order", "quality", F.xxhash64("raw"))
-    terms = map_batches(rows.limit(spec.fit_rows), _term_rows, _TERMS, spec.bins).collect()
-    terms.sort(key=lambda r: (r.order, r.quality, r.bins))
+    # Texts are reduced to terms where they lie. Rows that repeat a doc_id vote each, up to the same bound.
+    rows = texts.join(chosen, "doc_id").select("quality", "order", "raw")
+    terms = map_batches(rows, _term_rows, _TERMS, spec.bins).orderBy("order", "quality", "bins", "counts")
+    terms = terms.limit(spec.fit_rows).collect()
     return fit_space([dict(zip(r.bins, r.counts)) for r in terms], np.array([r.quality for r in terms]), spec)
 
 

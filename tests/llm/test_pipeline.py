@@ -7,6 +7,7 @@ import corpus_pipeline
 from lettora.llm.line_dedup import LineSpec
 from lettora.llm.quality_rules import RuleLimits, quality_verdicts
 from lettora.llm.tables import table
+from lettora.sources.shared import written
 from .test_decontamination import plain_leaks
 from .test_line_dedup import plain as plain_lines
 from .test_mixing import check as check_mix
@@ -24,7 +25,7 @@ def test_stages(spark):
     steps = dict(corpus_pipeline.STAGES)
     out = [docs]
     for name, stage in corpus_pipeline.STAGES:
-        out.append(corpus_pipeline.written(stage(spark, out[-1], FOLDER), "test-stage"))
+        out.append(written(stage(spark, out[-1], FOLDER), "test-stage"))
         if len(out) <= len(steps):
             assert out[-1].schema.simpleString() == docs.schema.simpleString()
     raw, good, cut, one, clean, mixed = out
@@ -53,7 +54,7 @@ def test_stages_take_odd_documents(spark, shape, tmp_path):
         odd = spark.createDataFrame([(None, None, None, None, None), (3, "", None, "src1", 0)], docs.schema)
         docs = docs.where("doc_id < 60").union(odd).union(docs.where("doc_id < 5"))
     for _, stage in corpus_pipeline.STAGES:
-        docs = corpus_pipeline.written(stage(spark, docs, FOLDER), "test-stage")
+        docs = written(stage(spark, docs, FOLDER), "test-stage")
     assert (docs.count() == 0) == (shape == "empty")
 
 
