@@ -103,8 +103,10 @@ def statistics(raw: bytes | None, window: int) -> tuple[int, ...]:
 
 
 def _statistic_rows(batch: pa.RecordBatch, window: int) -> Iterator[tuple]:
-    found = np.array([statistics(raw.as_py(), window) for raw in batch.column(batch.num_columns - 1)], np.int64)
-    yield *batch.columns[:-1], *found.reshape(-1, len(COUNTS + EXTRA)).T
+    carried = "row" in batch.schema.names
+    texts = batch.column("row").field("text").cast(pa.binary()) if carried else batch.column("raw")
+    found = np.array([statistics(raw.as_py(), window) for raw in texts], np.int64)
+    yield *batch.columns[: 1 + carried], *found.reshape(-1, len(COUNTS + EXTRA)).T
 
 
 def rule_statistics(documents: DataFrame, limits: RuleLimits = RuleLimits(), carry: bool = False) -> DataFrame:
@@ -112,9 +114,10 @@ def rule_statistics(documents: DataFrame, limits: RuleLimits = RuleLimits(), car
 
     With ``carry`` the whole input row is in ``row``, a struct, so that no column name clashes.
     """
-    kept = [F.col("doc_id").cast("long").alias("doc_id")] + [F.struct("*").alias("row")] * carry
-    slim = documents.select(*kept, F.col("text").cast("binary").alias("raw"))
-    schema = StructType(slim.schema.fields[:-1])
+    # The text travels once: inside the row, or alone.
+    text = F.struct("*").alias("row") if carry else F.col("text").cast("binary").alias("raw")
+    slim = documents.select(F.col("doc_id").cast("long").alias("doc_id"), text)
+    schema = StructType(slim.schema.fields[: 1 + carry])
     for name in COUNTS + EXTRA:
         schema.add(name, LongType())
     counted = map_batches(slim, _statistic_rows, schema, limits.window_words)
