@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StructType
 
 from lettora.llm.tables import map_batches
+from lettora.operators.columns import quoted
 from lettora.operators.skew import SALTS, hot_keys
 from lettora.params import SkewLimits
 from lettora.sources.shared import written
@@ -194,13 +195,15 @@ def _cut_rows(batch: pa.RecordBatch, min_chars: int) -> Iterator[tuple]:
 
 
 def dedup_lines(documents: DataFrame, spec: LineSpec = LineSpec()) -> DataFrame:
-    """``row`` (the input row as a struct), ``text`` without shared lines, ``n_lines`` before, ``n_dropped``."""
+    """``row`` (the other columns as a struct), ``text`` without shared lines, ``n_lines`` before, ``n_dropped``."""
     lines = written(line_hashes(documents, spec.min_chars), "lines")
     identity = F.struct("doc_id", "text_hash").alias("identity")
     both = F.unhex(F.concat(*(F.lpad(F.hex(h), 16, "0") for h in ("h1", "h2"))))
     gone = shared_lines(lines, spec).groupBy(identity).agg(F.collect_set(both).alias("gone"))
-    rows = documents.select(F.struct("*").alias("row"), F.struct(*_identity(documents)).alias("identity"))
-    joined = rows.join(gone, "identity", "left").select("row", F.col("row.text").cast("binary").alias("raw"), "gone")
+    others = F.struct(*(documents[quoted(name)] for name in documents.columns if name != "text")).alias("row")
+    raw = F.col("text").cast("binary").alias("raw")
+    rows = documents.select(others, raw, F.struct(*_identity(documents)).alias("identity"))
+    joined = rows.join(gone, "identity", "left").select("row", "raw", "gone")
     schema = StructType(joined.schema.fields[:1]).add("raw", BinaryType())
     schema.add("n_lines", LongType()).add("n_dropped", LongType())
     cut = map_batches(joined, _cut_rows, schema, spec.min_chars)
@@ -211,4 +214,5 @@ def drop_shared_lines(documents: DataFrame, spec: LineSpec = LineSpec()) -> Data
     """``documents`` with shared lines cut from ``text``; ``n_chars``, where there is one, follows."""
     cut = dedup_lines(documents, spec)
     new = {"text": F.col("text"), "n_chars": F.length("text").cast("long")}
-    return cut.select([new.get(name, F.col("row").getField(name)).alias(name) for name in documents.columns])
+    columns = [new[name] if name in new else F.col("row").getField(name) for name in documents.columns]
+    return cut.select([column.alias(name) for column, name in zip(columns, documents.columns)])

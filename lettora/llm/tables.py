@@ -12,6 +12,10 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+#: Rows of an Arrow batch that are worked on, and returned, at a time: this bounds a worker's memory.
+PIECE_ROWS = 1000
+
+
 def _typed(column: Iterable, kind: pa.DataType) -> pa.Array:
     if isinstance(column, pa.Array):
         return column if column.type == kind else column.cast(kind)
@@ -25,8 +29,9 @@ def map_batches(df: DataFrame, rows: Callable[..., Iterable[Iterable]], schema:
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for columns in rows(batch, *args):
+        pieces = (batch.slice(at, PIECE_ROWS) for batch in batches for at in range(0, batch.num_rows, PIECE_ROWS))
+        for piece in pieces:
+            for columns in rows(piece, *args):
                 arrays = [_typed(c, kind) for c, kind in zip(columns, arrow.types, strict=True)]
                 yield pa.RecordBatch.from_arrays(arrays, schema=arrow)
 
