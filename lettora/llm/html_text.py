@@ -17,6 +17,7 @@ are read one by one. Pages of any length are read whole; an empty table gives an
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html import unescape
 from math import e, log
@@ -71,10 +72,10 @@ class Node:
         self.best, self.content = self, False
 
 
-def _is_noise(tag: str, attributes: str, inside: set[str]) -> bool:
+def _is_noise(tag: str, attributes: str, in_article: bool) -> bool:
     if tag in ("html", "body", "article", "main"):
         return tag == "article" and _noise_words(attributes)
-    if tag in NOISE_TAGS or tag == "header" and not inside & {"article", "main"}:
+    if tag in NOISE_TAGS or tag == "header" and not in_article:
         return True
     return _noise_words(attributes)
 
@@ -90,7 +91,9 @@ def parse(html: str) -> tuple[list[Node], list[tuple[Node, list[str]]]]:
     """Nodes in page order, and runs of text between block borders with the node they are in."""
     root = Node("html", None, False)
     nodes, stack, runs = [root], [root], [(root, [])]
-    link_depth, low, at = 0, html.lower(), 0
+    opened: Counter[str] = Counter()  # tags on the stack
+    # The one letter that lower() makes longer would shift all places behind it.
+    link_depth, low, at = 0, html.replace("\u0130", "i").lower(), 0
 
     def border() -> None:
         if runs[-1][1]:
@@ -100,10 +103,18 @@ def parse(html: str) -> tuple[list[Node], list[tuple[Node, list[str]]]]:
 
     def cut(depth: int) -> None:
         nonlocal link_depth
+        opened.subtract(node.tag for node in stack[depth:])
         del stack[depth:]
         link_depth = 0 if link_depth > depth else link_depth
         border()
 
+    def last_open(tags: set[str], stops: frozenset[str] | set[str] = frozenset()) -> int:
+        """Depth of the innermost of ``tags``, or 0 if there is none above an element of ``stops``."""
+        depth = len(stack) - 1
+        while depth > 0 and stack[depth].tag not in tags:
+            depth = 0 if stack[depth].tag in stops else depth - 1
+        return depth
+
     def text(piece: str) -> None:
         if piece:
             piece = unescape(piece) if "&" in piece else piece
@@ -129,11 +140,8 @@ def parse(html: str) -> tuple[list[Node], list[tuple[Node, list[str]]]]:
             if tag == "a":
                 link_depth = 0
             elif tag in BLOCKS or tag in NOISE_TAGS:
-                depth = len(stack) - 1
-                while depth > 0 and stack[depth].tag != tag:
-                    depth -= 1
-                if depth > 0:
-                    cut(depth)
+                if opened[tag]:
+                    cut(last_open({tag}))
                 else:
                     border()
             continue
@@ -153,21 +161,14 @@ def parse(html: str) -> tuple[list[Node], list[tuple[Node, list[str]]]]:
             stack[-1].tags += tag == "hr"
         elif tag in BLOCKS or tag in NOISE_TAGS and tag not in VOID:
             attributes = found[3] if found[2] else found[6]
-            inside = {node.tag for node in stack[-24:]}
-            if tag in BLOCKS and "p" in inside:
-                depth = max(d for d in range(len(stack)) if stack[d].tag == "p")
-                cut(depth)
+            if tag in BLOCKS and opened["p"]:
+                cut(last_open({"p"}))
             if tag in CLOSES:
                 closed, stops = CLOSES[tag]
-                depth = len(stack) - 1
-                lowest = 0
-                while depth > 0 and stack[depth].tag not in stops:
-                    if stack[depth].tag in closed:
-                        lowest = depth
-                    depth -= 1
-                if lowest:
-                    cut(lowest)
-            node = Node(tag, stack[-1], _is_noise(tag, attributes, inside))
+                while any(opened[t] for t in closed) and (depth := last_open(closed, stops)):
+                    cut(depth)
+            node = Node(tag, stack[-1], _is_noise(tag, attributes, opened["article"] + opened["main"] > 0))
+            opened[tag] += 1
             nodes.append(node)
             stack.append(node)
             border()

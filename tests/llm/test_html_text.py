@@ -47,6 +47,9 @@ def test_given_pages(spark):
         (f"<ul><li>{LONG}<li>{LONG}<ul><li>{LONG}</ul></ul>", "\n".join([LONG] * 3)),
         ("<p title='a>b' class=x>q</p><p>1 < 2 and 3 > 2</p><p", "q\n1 < 2 and 3 > 2\n<p"),
         (f"<div>{'<div>' * 3000}<p>{LONG}</p>{'</div>' * 2000}", LONG),
+        (f"<article>{'<div>' * 40}<header><h1>Head</h1></header><p>{LONG}</p>{'</div>' * 40}</article>", f"Head\n{LONG}"),
+        ("<p>\u0130\u0130\u0130\u0130\u0130\u0130 a<script>x</script>b</p><p>c</p>", "\u0130\u0130\u0130\u0130\u0130\u0130 ab\nc"),
+        ("<p>a" + "</div></li>" * 50_000 + "</p>" + "<div>" * 50_000 + "</p></li>" * 50_000, "a"),
         ("<p>" + "word " * 400_000 + "</p>", "word " * 399_999 + "word"),
     ],
 )
