@@ -84,7 +84,7 @@ def base_spans(text: str) -> list[Span]:
     found: list[Span] = [(start, 0, end) for start, end in emails(text)]
     if _DIGITS.search(text):
         for m in _IP.finditer(text):
-            if all(len(part) < 20 and int(part) <= 255 or not part.strip("0") for part in m[0].split(".")):
+            if all(int(part.lstrip("0")[:4] or "0") <= 255 for part in m[0].split(".")):
                 found.append((m.start(), 1, m.end()))
         for m in _CARD.finditer(text):
             if m.end() - m.start() >= 14 and 14 <= len(digits := _NO_DIGITS.sub("", m[0])) <= 19 and luhn(digits):

@@ -53,7 +53,7 @@ def test_query(spark):
 
 
 PIECES = ["a.b@c.de", "@", "x@", "é@f.g", "1.2.3.4", ".5.256.7", "0004.1.1.1", "4242 4242 4242 4242", "4242-4242-4242-4241", "-", " ", "\n",
-          "+1 (555) 010-2345", "+49.30.1234567", "+", "12", "a", "+1+2", "+12345678901234567", "..", "x_y%z@q-r.s.t.", "é", "٣", ")", "1234567"]
+          "+1 (555) 010-2345", "+49.30.1234567", "+", "12", "a", "+1+2", "+12345678901234567", "..", "x_y%z@q-r.s.t.", "é", "٣", ")", "1234567", "0" * 25 + "7.8.9.1"]
 
 
 def test_patterns():
