@@ -148,14 +148,20 @@ def links(nodes: DataFrame, radius: int = RADIUS, tile_rows: int = TILE_ROWS) ->
     rows = F.greatest(_at(per_count, count), F.lit(1))
     position = _at(offsets[:-1], count) + F.pmod(F.xxhash64("bits"), rows)
     dealt = nodes.select("bits", count.alias("c"), F.floor(position / tile_rows).alias("tile"))
-    tiles = written(dealt.groupBy("tile").agg(F.collect_list("bits").alias("bits"), F.max("c").alias("c")), "tiles")
+    counts = F.min("c").alias("low"), F.max("c").alias("high")
+    tiles = written(dealt.groupBy("tile").agg(F.collect_list("bits").alias("bits"), *counts), "tiles")
+    # The first and the last tile that may hold a count within the radius of a count.
+    first = [offsets[max(0, c - radius)] // tile_rows for c in range(65)]
     last = [max(0, offsets[min(64, c + radius) + 1] - 1) // tile_rows for c in range(65)]
-    partner = F.explode(F.sequence(F.col("tile"), F.greatest("tile", _at(last, F.col("c")))))
-    left = tiles.select("tile", partner.alias("other"), F.col("bits").alias("first"))
+    onward = F.explode(F.sequence(F.col("tile"), F.greatest("tile", _at(last, F.col("high")))))
+    back = F.explode(F.sequence(F.least("tile", _at(first, F.col("low"))), F.col("tile")))
+    left = tiles.select("tile", onward.alias("other"), F.col("bits").alias("first"))
+    right = tiles.select(back.alias("tile"), F.col("tile").alias("other"), F.col("bits").alias("second"))
+    # Both sides are sent by pair, so the pairs of one tile are as many tasks as they need.
     n_tiles = offsets[-1] // tile_rows + 1
-    left = left.repartition(min(n_tiles * (n_tiles + 1) // 2, 20_000), "tile", "other")
-    right = tiles.select(F.col("tile").alias("other"), F.col("bits").alias("second"))
-    pairs = left.join(right, "other").select("tile", "other", "first", "second")
+    tasks = min(n_tiles * (n_tiles + 1) // 2, 20_000)
+    left, right = (side.repartition(tasks, "tile", "other") for side in (left, right))
+    pairs = left.join(right.hint("merge"), ["tile", "other"])
     return map_batches(pairs, _link_rows, schema, radius)
 
 
