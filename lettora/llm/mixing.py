@@ -3,7 +3,7 @@
 1. Targets: sources in code point order (NULL last) weigh ``weights`` in turn and share the total number of words; a
    target stops at ``max_repeats`` times its source, the excess going to the others by weight until none is above.
 2. Packing: the words of a source, document after document, form blocks of ``block_words`` (the last may be shorter).
-   Offsets come from two sums, over buckets of documents and inside a bucket, so a large source is many tasks.
+   Offsets are sums over runs of buckets of documents, inside a run and inside a bucket, so a large source is many tasks.
 3. Drawing: every slot of an output shard draws its source from a hash of its number, which makes the counts of a shard
    multinomial. Where a source drew more slots than its target allows, its last slots go to sources that drew too few,
    so the totals are met to a block.
@@ -29,6 +29,8 @@ from lettora.operators.skew import skew_join
 from lettora.sources.shared import written
 
 WORD = r"[^\x20\x09-\x0D]+"
+#: Rows of a source that are summed in one window; sums of these runs are summed in a second one.
+RUN_ROWS = 4096
 #: Cells of the interval lookup; more only makes its small table longer.
 CELLS = 4096
 
@@ -63,6 +65,20 @@ def _sum_before(column: str, over) -> Column:
     return F.coalesce(F.sum(column).over(over), F.lit(0))
 
 
+def _with_sum_before(rows: DataFrame, index: str, value: str) -> DataFrame:
+    """``rows`` (``sid``, distinct ``index`` from 0) with ``before``, the sum of ``value`` over smaller ``index`` of the ``sid``.
+
+    Two sums, over runs of indexes and inside a run, so that no window holds a whole source.
+    """
+    rows = rows.withColumn("run", F.floor(F.col(index) / RUN_ROWS))
+    runs = rows.groupBy("sid", "run").agg(F.sum(value).alias("of_run"))
+    earlier = Window.partitionBy("sid").orderBy("run").rowsBetween(Window.unboundedPreceding, -1)
+    runs = runs.select("sid", "run", _sum_before("of_run", earlier).alias("before_run"))
+    inside = Window.partitionBy("sid", "run").orderBy(index).rowsBetween(Window.unboundedPreceding, -1)
+    joined = rows.withColumn("before", _sum_before(value, inside)).join(runs, ["sid", "run"])
+    return joined.withColumn("before", F.col("before") + F.col("before_run")).drop("run", "before_run")
+
+
 def with_targets(sizes: DataFrame, spec: MixSpec = MixSpec()) -> DataFrame:
     """``source``, ``source_size`` -> also ``sid`` (0, 1, ...), ``weight`` and ``target``.
 
@@ -100,9 +116,7 @@ def _placed(counted: DataFrame, sources: DataFrame, spec: MixSpec) -> DataFrame:
     n_rows = sources.select(F.struct("source").alias("key"), F.col("n_documents").alias("n"))
     rows = skew_join(keyed, keys, ["key"], counted=n_rows).drop("key")
     rows = rows.withColumn("bucket", F.pmod("tie", "buckets")).drop("buckets")
-    sums = rows.groupBy("sid", "bucket").agg(F.sum("size").alias("words"))
-    earlier = Window.partitionBy("sid").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    sums = sums.select("sid", "bucket", _sum_before("words", earlier).alias("before"))
+    sums = _with_sum_before(rows.groupBy("sid", "bucket").agg(F.sum("size").alias("words")), "bucket", "words").drop("words")
     inside = Window.partitionBy("sid", "bucket").orderBy("doc_id", "tie", "size")
     inside = inside.rowsBetween(Window.unboundedPreceding, -1)
     rows = rows.withColumn("within", _sum_before("size", inside)).join(sums, ["sid", "bucket"])
@@ -145,8 +159,7 @@ def _slots(sources: DataFrame, n_slots: int, spec: MixSpec) -> DataFrame:
     )
     shards = _within(draw, "drawn", _intervals(sources, "quota"), n_slots).groupBy("shard", "sid")
     shards = written(shards.agg(F.count(F.lit(1)).alias("n")), "mix_shards")
-    earlier = Window.partitionBy("sid").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    counted = shards.withColumn("before", _sum_before("n", earlier))
+    counted = _with_sum_before(shards, "shard", "n")
     # A few rows here become all slots: deal them to as many tasks as the slots need.
     counted = counted.repartition(n_slots // spec.slots_per_task + 1, "shard", "sid")
     numbered = counted.select("shard", "sid", F.explode(F.sequence(F.col("before"), F.expr("before + n - 1"))).alias("j"))

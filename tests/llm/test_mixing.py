@@ -53,8 +53,9 @@ def test_query(spark):
     assert sorted(first) == sorted(op3_mix_sources(spark, FOLDER).repartition(3).collect())
 
 
-@pytest.mark.parametrize("spec", [MixSpec(), MixSpec(block_words=3, shard_slots=8, bucket_rows=5)])
-def test_odd_rows_and_a_hot_source(spark, spec):
+@pytest.mark.parametrize("spec, run_rows", [(MixSpec(), 4096), (MixSpec(block_words=3, shard_slots=8, bucket_rows=5), 3)])
+def test_odd_rows_and_a_hot_source(spark, spec, run_rows, monkeypatch):
+    monkeypatch.setattr("lettora.llm.mixing.RUN_ROWS", run_rows)
     rng = random.Random(6)
     text = lambda n: " ".join(f"w{rng.randint(0, 99)}" for _ in range(n))
     docs = [(i, "hot" if i % 3 == 0 else f"s{rng.randint(0, 9)}", text(rng.randint(0, 60))) for i in range(150)]
