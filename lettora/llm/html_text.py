@@ -3,11 +3,11 @@
 A page is read into a tree of its block elements; inline tags are transparent, links are counted. For every node the
 density is its characters per tag, weighed down by its share of link characters. The node whose children's densities
 have the largest sum is the heart of the article; the smallest density on its way up to the body is the threshold, and
-every node that reaches it adds the best subtree below it.
+every node that reaches it adds the best subtree below it. An ``h1`` without links is always added.
 
 Elements that never are main text (menus, footers, scripts, forms, ...), by tag or by class, id or role, are left out
-beforehand, unless they hold the page's ``article`` or ``main``. Where exactly one such element has text, the search is
-limited to it.
+beforehand, unless they hold the page's ``article`` or ``main``. Where exactly one such element has text, all of it is
+main text, whatever its density.
 
 Defined cases: a NULL or empty html, or a page without main text, gives an empty text. Unclosed and misnested tags are
 closed as a browser would; a tag without end is text up to the last ``>``. Rows that repeat a ``page_id``, or have none,
@@ -242,6 +242,17 @@ def mark_content(nodes: list[Node]) -> None:
     page_links = _summed(nodes)
     scope = _scope(nodes)
     kept = [node for node in nodes if not node.noise]
+    if scope is nodes[0]:
+        _mark_dense(kept, scope, page_links)
+    else:
+        scope.content = True
+    for node in kept:
+        if node.parent is not None and node.parent.content:
+            node.content = True
+
+
+def _mark_dense(kept: list[Node], scope: Node, page_links: float) -> None:
+    """Mark the subtrees that the density chooses, and titles beside them."""
     children: dict[Node, list[Node]] = {node: [] for node in kept}
     for node in kept:
         node.density = density(node.chars, node.tags, node.link_chars, node.link_tags, page_links)
@@ -263,7 +274,7 @@ def mark_content(nodes: list[Node]) -> None:
     if not scope.best.total:
         scope.content = True
     for node in kept:
-        if node.parent is not None and node.parent.content:
+        if node.tag == "h1" and not node.link_chars:
             node.content = True
 
 

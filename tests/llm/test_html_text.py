@@ -57,6 +57,21 @@ def test_pages(page, expected):
     assert main_text(page) == expected
 
 
+@pytest.mark.parametrize(
+    "page, expected",
+    [
+        (f"<article><h1>A title of the page</h1><div><p>{LONG * 3}</p><p>{LONG * 3}</p></div></article>", f"A title of the page\n{LONG * 3}\n{LONG * 3}"),
+        (f"<article><h1>Head</h1><section><p>{LONG * 4}</p><p>{LONG * 4}</p></section><section><h2>Two</h2><p>{LONG}</p></section></article>",
+         f"Head\n{LONG * 4}\n{LONG * 4}\nTwo\n{LONG}"),
+        (f"<main>Bare.<div><p>{LONG}</p><p>{LONG}</p></div><ul><li>One<li><a href=x>Two</a></ul></main>", f"Bare.\n{LONG}\n{LONG}\nOne\nTwo"),
+        (f"<main><article><p>{LONG}</p></article><article><p>Short.</p></article></main><div>{LONG}</div>", f"{LONG}\nShort."),
+        (f"<h1>Head</h1><div><p>{LONG}</p><p>{LONG}</p></div>", f"Head\n{LONG}\n{LONG}"),
+    ],
+)
+def test_nothing_but_noise_is_dropped(page, expected):
+    assert main_text(page) == expected
+
+
 def test_density():
     assert density(0, 3, 0, 0, 0.1) == 0
     assert density(500, 5, 0, 0, 0.1) > density(500, 5, 100, 2, 0.1) > density(500, 5, 480, 5, 0.1) >= 0
