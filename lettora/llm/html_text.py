@@ -6,7 +6,8 @@ have the largest sum is the heart of the article; the smallest density on its wa
 every node that reaches it adds the best subtree below it. An ``h1`` without links is always added.
 
 Elements that never are main text (menus, footers, scripts, forms, ...), by tag or by class, id or role, are left out
-beforehand, unless they hold the page's ``article`` or ``main``. Where exactly one such element has text, all of it is
+beforehand, unless they hold the page's ``article`` or ``main``, or are noise by name only and hold most of the text or
+the title and most of the paragraphs. Where exactly one such element has text, all of it is
 main text, whatever its density.
 
 Defined cases: a NULL or empty html, or a page without main text, gives an empty text. Unclosed and misnested tags are
@@ -33,7 +34,7 @@ _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*+>|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>",
     re.S,
 )
-_NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+_NAMES = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form "
@@ -49,6 +50,15 @@ NOISE_WORDS = frozenset(
     "rail widget widgets nav navbar navigation menu breadcrumb breadcrumbs pagination pager header masthead topbar footer "
     "copyright share sharing social related recommended teaser login signup form search complementary contentinfo".split()
 )
+#: Behind these in a name, a word tells what else the page has: ``content-with-sidebar``, ``no-banner``.
+ASIDE_WORDS = frozenset("with without has no".split())
+#: Words for what is no part of the text however long it is; the others may name the text itself, or what is around it.
+APART_WORDS = frozenset(
+    "ad ads advert adverts advertisement advertising sponsor sponsored cookie cookies consent gdpr comment comments disqus "
+    "respond replies reply newsletter popup modal copyright login signup".split()
+)
+#: In an article these may name a section (``related-work``); there they are noise only around links.
+SECTION_WORDS = frozenset("related recommended search".split())
 #: What an opening tag closes, and where the search for it stops.
 CLOSES = {
     "li": ({"li"}, {"ul", "ol", "menu"}),
@@ -61,30 +71,41 @@ CLOSES = {
 
 
 class Node:
-    """A block element. ``chars``, ``tags``, ``link_chars`` and ``link_tags`` cover its whole subtree once summed."""
+    """A block element. ``chars``, ``tags``, ``link_chars`` and ``link_tags`` cover its whole subtree once summed.
+
+    ``words`` are those of its names that make it noise; empty if its tag does.
+    """
 
-    __slots__ = ("tag", "parent", "noise", "chars", "tags", "link_chars", "link_tags", "density", "total", "best", "content")
+    __slots__ = ("tag", "parent", "noise", "words", "chars", "tags", "link_chars", "link_tags", "density", "total", "best", "content")
 
-    def __init__(self, tag: str, parent: Node | None, noise: bool):
-        self.tag, self.parent, self.noise = tag, parent, noise
+    def __init__(self, tag: str, parent: Node | None, noise: bool, words: frozenset[str] = frozenset()):
+        self.tag, self.parent, self.noise, self.words = tag, parent, noise, words
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.total = 0.0
         self.best, self.content = self, False
 
 
-def _is_noise(tag: str, attributes: str, in_article: bool) -> bool:
-    if tag in ("html", "body", "article", "main"):
-        return tag == "article" and _noise_words(attributes)
+def _noise(tag: str, attributes: str, in_article: bool) -> tuple[bool, frozenset[str]]:
+    """Whether an element is noise, and the words of its names that say so, if its tag does not."""
+    if tag in ("html", "body", "main"):
+        return False, frozenset()
     if tag in NOISE_TAGS or tag == "header" and not in_article:
-        return True
-    return _noise_words(attributes)
+        return True, frozenset()
+    words = _noise_words(attributes, in_article)
+    return bool(words), words
 
 
-def _noise_words(attributes: str) -> bool:
-    for found in _NAMES.findall(attributes):
-        if not NOISE_WORDS.isdisjoint(re.split(r"[^a-z]+", "".join(found).lower())):
-            return True
-    return False
+def _noise_words(attributes: str, in_article: bool) -> frozenset[str]:
+    found = set()
+    for kind, *value in _NAMES.findall(attributes):
+        for name in "".join(value).lower().split():
+            for word in re.split(r"[^a-z]+", name):
+                if word in ASIDE_WORDS:
+                    break
+                if word in NOISE_WORDS and not (in_article and word == "header"):
+                    # A role says what an element is, not what a section is about.
+                    found |= {word, "role"} if kind.lower() == "role" else {word}
+    return frozenset(found)
 
 
 def parse(html: str) -> tuple[list[Node], list[tuple[Node, list[str]]]]:
@@ -167,7 +188,7 @@ def parse(html: str) -> tuple[list[Node], list[tuple[Node, list[str]]]]:
                 closed, stops = CLOSES[tag]
                 while any(opened[t] for t in closed) and (depth := last_open(closed, stops)):
                     cut(depth)
-            node = Node(tag, stack[-1], _is_noise(tag, attributes, opened["article"] + opened["main"] > 0))
+            node = Node(tag, stack[-1], *_noise(tag, attributes, opened["article"] + opened["main"] > 0))
             opened[tag] += 1
             nodes.append(node)
             stack.append(node)
@@ -211,10 +232,54 @@ def _settle_noise(nodes: list[Node]) -> None:
     if all(inside[node] for node in nodes if node.tag in named):
         for node in _holders(nodes, named):
             node.noise = False
+    if any(node.noise and node.words for node in nodes):
+        _settle_names(nodes)
     for node in nodes[1:]:
         node.noise = node.noise or node.parent.noise
 
 
+def _settle_names(nodes: list[Node]) -> None:
+    """An element is no noise by its names if it holds most of the text, or the title and most of the paragraphs.
+
+    Most of the article or main around it, that is, where the title is enough; of the page, if no such element has text.
+    """
+    # Below every node, without noise by tag: characters outside links, those in links, those in paragraphs, titles.
+    below: dict[Node, list[int]] = {}
+    around: dict[Node, Node | None] = {nodes[0]: None}
+    in_paragraph: set[Node] = set()
+    inside = {nodes[0]: False}
+    for node in nodes:
+        plain = node.chars - node.link_chars
+        if node.parent is not None:
+            up = node.parent
+            around[node] = up if up.tag in ("article", "main") and not inside[up] else around[up]
+            inside[node] = node.noise or inside[up]
+            if up in in_paragraph:
+                in_paragraph.add(node)
+        if node.tag == "p":
+            in_paragraph.add(node)
+        below[node] = [plain, node.link_chars, plain * (node in in_paragraph), int(node.tag == "h1")]
+    for node in reversed(nodes[1:]):
+        if not node.noise or node.words:
+            below[node.parent] = [a + b for a, b in zip(below[node.parent], below[node])]
+    named = any(node.tag in ("article", "main") and not inside[node] and sum(below[node][:2]) for node in nodes)
+    for node in nodes:
+        if not node.noise or not node.words:
+            continue
+        plain, links, paragraphs, titles = below[node]
+        whole = around[node]
+        if whole is not None and node.words <= SECTION_WORDS and links < plain:
+            node.noise = False
+        elif whole is not None or not named:
+            all_plain, _, all_paragraphs, all_titles = below[whole or nodes[0]]
+            # The text of a page can be in a column that is named for comments, but hardly next to other text.
+            apart = node.words & APART_WORDS
+            share = 0.9 if apart else 0.5
+            title_alone = whole is not None and not apart
+            titled = titles and titles == all_titles and (title_alone or 2 * paragraphs >= all_paragraphs)
+            node.noise = not (plain > share * all_plain or titled)
+
+
 def _summed(nodes: list[Node]) -> float:
     """Sum the counts towards the root, noise apart; the share of link characters of the whole page."""
     link_chars = sum(node.link_chars for node in nodes)

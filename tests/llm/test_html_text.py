@@ -72,6 +72,32 @@ def test_nothing_but_noise_is_dropped(page, expected):
     assert main_text(page) == expected
 
 
+TEXT = f"<h1>Head</h1><p>{LONG}</p><p>{LONG}</p>"
+READ = f"Head\n{LONG}\n{LONG}"
+
+
+@pytest.mark.parametrize(
+    "page, expected",
+    [
+        (f"<nav>{MENU}</nav><div class='content-with-sidebar'>{TEXT}</div><div class=sidebar><p>{LONG}</p></div>", READ),
+        (f"<div id='page' class='no-banner has-menu'><div class=menu>{MENU}</div>{TEXT}</div>", READ),
+        (f"<div id='page-widget'><div class='banner'>{TEXT}</div><div class=ad>{LONG}</div></div>", READ),
+        (f"<div class=comments>{TEXT}</div>", READ),
+        (f"<div id=text>{TEXT}</div><div class=comments><p>{LONG * 3}</p></div>", READ),
+        (f"<article><div class='article-header'><h1>Head</h1></div><p>{LONG}</p><p>{LONG}</p></article>", READ),
+        (f"<article><div class='masthead banner'><h1>Head</h1></div><p>{LONG}</p><p>{LONG}</p><div class=promo>{LONG}</div></article>",
+         READ),
+        (f"<article>{TEXT}<section class='related-work'><h2 class='section-header'>Two</h2><p>{LONG}</p></section>"
+         f"<div class='search-results'><p>{LONG}</p></div></article>", f"{READ}\nTwo\n{LONG}\n{LONG}"),
+        (f"<article>{TEXT}<div class='related'>{MENU}</div><div role=search><p>{LONG}</p></div></article>", READ),
+        (f"<article><div class='post-navigation'>{TEXT}</div><div class=comments><p>{LONG * 2}</p></div></article>", READ),
+        (f"<article>{TEXT}</article><div class='widget'><p>{LONG * 9}</p></div>", READ),
+    ],
+)
+def test_names_of_noise(page, expected):
+    assert main_text(page) == expected
+
+
 def test_density():
     assert density(0, 3, 0, 0, 0.1) == 0
     assert density(500, 5, 0, 0, 0.1) > density(500, 5, 100, 2, 0.1) > density(500, 5, 480, 5, 0.1) >= 0
