@@ -7,13 +7,14 @@ address, or the same last seven digits). Loopy message passing lets an entity th
 in a form that no pattern matches. Each word is linked to the next similar one, so a word that occurs n times has n - 1
 links, not n * n.
 
-The field is fitted here, by pseudolikelihood, on pattern matches of a bounded hashed sample of documents
-(``CrfSpec.fit_documents``, and of each at most ``fit_words`` words); patterns are never inputs of a word's features.
+The field is fitted here, by pseudolikelihood, on pattern matches. The patterns run over all whole texts first; one half of
+``CrfSpec.fit_documents`` is a hashed sample of the documents with a match, as many are taken of those without. Of each at
+most ``fit_words`` words count, around matches and by hash. Patterns are never inputs of a word's features.
 Words inside a pattern's match are fixed to its kind, so base spans stay as they are.
 
 Defined cases: a NULL or empty text has no spans. Rows that repeat a ``doc_id``, or have none, are read one by one.
 Texts and runs of any length take time in proportion to their length. An empty table gives an empty result; without
-any match in the sample nothing is added.
+any match in the table nothing is added.
 """
 
 from __future__ import annotations
@@ -22,14 +23,17 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from hashlib import sha256
+from heapq import nsmallest
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DoubleType, LongType, StringType, StructType
+from pyspark.sql.types import ArrayType, BooleanType, DoubleType, LongType, StringType, StructType
 
 from lettora.llm.tables import map_batches
+from lettora.sources.shared import written
 
 KINDS = ("email", "ip", "card", "phone")
 Span = tuple[int, int, int]  # start, kind, end
@@ -98,7 +102,7 @@ def base_spans(text: str) -> list[Span]:
 # --- the graph of a document ------------------------------------------------------------------------------------------
 
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
-_CANDIDATE = re.compile(r"[^\x20\x09-\x0D]*[0-9@][^\x20\x09-\x0D]*+")
+_MARK = re.compile("[0-9@]")
 _EDGES = ".,;:!?\"'()[]{}<>|*#$%&="
 _BOUNDS = (1, 4, 7, 10, 14, 20)
 N_FEATURES = 21
@@ -109,7 +113,7 @@ N_LABELS = len(KINDS) + 1
 def candidates(text: str) -> list[tuple[int, int]]:
     """Words with a digit or an at sign, found from those characters, in one pass."""
     out, done = [], 0
-    for m in re.finditer("[0-9@]", text):
+    for m in _MARK.finditer(text):
         if m.start() < done:
             continue
         start = m.start()
@@ -327,34 +331,84 @@ for _name in ("chain", "skip", "outer", "labels"):
     _SAMPLE.add(_name, ArrayType(LongType()))
 
 
-def _sample_rows(batch: pa.RecordBatch, spec: CrfSpec) -> Iterator[tuple]:
+def fit_words_of(text: str, words: list[tuple[int, int]], base: list[Span], limit: int) -> list[int]:
+    """Indexes of at most ``limit`` words: those of spans, by hash, with a neighbour on each side, then any by hash."""
+    chosen: set[int] = set()
+    for start, _, end in nsmallest(limit, base, key=lambda span: (crc32(repr(span).encode()), span)):
+        first = last = _first_after(words, start)
+        while last < len(words) and words[last][0] < end:
+            last += 1
+        around = chosen.union(range(max(first - 1, 0), min(last + 1, len(words))))
+        if len(around) > limit:
+            break
+        chosen = around
+    rest = (i for i in range(len(words)) if i not in chosen)
+    by_hash = nsmallest(limit - len(chosen), rest, key=lambda i: (crc32(f"{i} {text[slice(*words[i])]}".encode()), i))
+    return sorted(chosen.union(by_hash))
+
+
+def _part(graph: Graph, chosen: list[int]) -> Graph:
+    """The graph of some of its words; a neighbour left out counts as one that is no candidate."""
+    place = np.full(len(graph.words), -1)
+    place[chosen] = np.arange(len(chosen))
+    links = [place[pairs] for pairs in (graph.chain, graph.skip)]
+    chain, skip = (pairs[(pairs >= 0).all(axis=1)] for pairs in links)
+    outer = np.full(len(chosen), 2)
+    np.subtract.at(outer, chain.ravel(), 1)
+    return Graph([graph.words[i] for i in chosen], graph.features[chosen], chain, skip, outer)
+
+
+_MATCHED = StructType().add("key", LongType()).add("matched", BooleanType())
+
+
+def _matched_rows(batch: pa.RecordBatch) -> Iterator[tuple]:
+    rows = []
+    for key, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+        text = text.as_py() or ""
+        if _MARK.search(text):
+            rows.append((key, bool(base_spans(text))))
+    if rows:
+        yield zip(*rows)
+
+
+def _sample_rows(batch: pa.RecordBatch, last: dict[bool, int], spec: CrfSpec) -> Iterator[tuple]:
     rows = []
-    for text in batch.column(0):
+    for key, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+        if key > max(last.values()):
+            continue
         text = text.as_py() or ""
-        words = candidates(text)[: spec.fit_words]
-        if not words:
+        if not _MARK.search(text):
+            continue
+        base = base_spans(text)
+        if key > last.get(bool(base), key - 1):
             continue
-        text = text[: words[-1][1]]
-        graph, flat = graph_of(text, spec), lambda a: np.asarray(a).ravel().tolist()
-        labels = labels_of(graph.words, base_spans(text))
+        whole, flat = graph_of(text, spec), lambda a: np.asarray(a).ravel().tolist()
+        graph = _part(whole, fit_words_of(text, whole.words, base, spec.fit_words))
+        labels = labels_of(graph.words, base)
         rows.append([flat(a) for a in (graph.words, graph.features, graph.chain, graph.skip, graph.outer, labels)])
     if rows:
         yield zip(*rows)
 
 
 def fitted_field(documents: DataFrame, spec: CrfSpec = CrfSpec()) -> Field | None:
-    """Fitted on about ``fit_documents`` documents, chosen by hash; None if they hold no entity."""
-    every = max(1, documents.count() // spec.fit_documents)
-    chosen = documents.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(every)) == 0).select(F.col("text").cast("string"))
+    """Fitted on at most ``fit_documents`` documents, chosen by hash; None if no document of all has an entity."""
+    keyed = documents.select(F.xxhash64("doc_id", "text").alias("key"), F.col("text").cast("string").alias("text"))
     # Copies without a doc_id share a hash; once is enough of them.
-    sampled = map_batches(chosen, _sample_rows, _SAMPLE, spec).distinct()
+    matched = written(map_batches(keyed, _matched_rows, _MATCHED).distinct(), "matched")
+    last: dict[bool, int] = {}
+    wanted = spec.fit_documents // 2
+    for kind in (True, False):
+        keys = [row.key for row in matched.where(F.col("matched") == kind).orderBy("key").limit(wanted).collect()]
+        if kind and not keys:
+            return None
+        if keys:
+            last[kind], wanted = keys[-1], len(keys)
+    sampled = map_batches(keyed, _sample_rows, _SAMPLE, last, spec).distinct()
     graphs = []
     for words, features, chain, skip, outer, labels in sorted(map(tuple, sampled.collect())):
         pairs = lambda flat: np.array(flat, np.int64).reshape(-1, 2)
         graph = Graph(pairs(words).tolist(), np.reshape(features, (-1, N_FEATURES)), pairs(chain), pairs(skip), np.array(outer))
         graphs.append((graph, np.array(labels)))
-    if all((labels == NONE).all() for _, labels in graphs):
-        return None
     return fit_field(graphs, spec)
 
 

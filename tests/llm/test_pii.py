@@ -8,7 +8,7 @@ import re
 import numpy as np
 import pytest
 
-from lettora.llm.pii import CrfSpec, Graph, KINDS, N_FEATURES, N_LABELS, NONE, added_spans, base_spans, fit_field, graph_of
+from lettora.llm.pii import CrfSpec, Graph, KINDS, N_FEATURES, N_LABELS, NONE, added_spans, base_spans, fit_field, fit_words_of, graph_of
 from lettora.llm.pii import labels_of, marginals, personal_data
 from lettora.llm.queries import op10_pii
 
@@ -122,6 +122,23 @@ def test_odd_rows(spark):
     assert [r.n_added for r in personal_data(df.where("text = ''")).collect()] == [0]
 
 
+def test_rare_and_late_entities_are_found_in_a_large_table(spark):
+    numbers = " ".join(f"{i} of {i + 1} parts" for i in range(100))
+    rows = [(i, f"row {i} of many, number {i * 7919}") for i in range(9000)]
+    rows += [(10_000 + i, f"{numbers} call +1 (636) 555-{7000 + i} now, later 636-555-{7000 + i}.") for i in range(3)]
+    found = personal_data(spark.createDataFrame(rows, "doc_id long, text string")).where("n_added > 0").collect()
+    texts = dict(rows)
+    added = {r.doc_id: texts[r.doc_id][slice(*map(int, r.spans.split(",")[-1].split(":")[1:]))] for r in found}
+    assert added == {10_000 + i: f"636-555-{7000 + i}" for i in range(3)}
+
+
+def test_words_to_fit_on_are_around_spans_and_bounded():
+    text = "7 " * 500 + "x call +1 (636) 555-7248 now" + " 8" * 500
+    graph, base = graph_of(text, CrfSpec()), base_spans(text)
+    chosen = fit_words_of(text, graph.words, base, 64)
+    assert len(chosen) == 64 and {500, 501, 502} <= set(chosen) and min(chosen) < 400 and max(chosen) > 600
+
+
 def test_graph_links_next_occurrence_only():
     graph = graph_of("a1234567 " + "1234567 " * 50, CrfSpec())
     assert isinstance(graph, Graph) and len(graph.skip) == 49 and graph.features.shape == (51, N_FEATURES)
