@@ -2,8 +2,8 @@
 
 Patterns find email addresses, IP addresses, card and phone numbers. The field labels the words of a document that could
 belong to such an entity (those with a digit or an at sign; all other words are "none"). Its factors are features of the
-word, transitions between neighbouring words, and skip links between distant words that are the same or similar (the same
-address, or the same last seven digits). Loopy message passing lets an entity that a pattern found explain its repetition
+word, transitions between neighbouring words, and skip links between distant words that are the same or similar: the same
+address, or words of two numbers with the same last seven digits, be they written in one word or in groups. Loopy message passing lets an entity that a pattern found explain its repetition
 in a form that no pattern matches. Each word is linked to the next similar one, so a word that occurs n times has n - 1
 links, not n * n.
 
@@ -20,7 +20,7 @@ any match in the table nothing is added.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from hashlib import sha256
 from heapq import nsmallest
@@ -61,6 +61,8 @@ _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGITS = re.compile(r"[0-9]")
 _NO_DIGITS = re.compile(r"[^0-9]+")
+_GROUP = re.compile("[0-9]+")
+_WINDOW = 20  # digits of a number that are compared
 
 
 def emails(text: str) -> Iterator[tuple[int, int]]:
@@ -148,13 +150,78 @@ def word_features(word: str, before: bool, after: bool) -> list[int]:
     return [0, 1 + bucket, *(8 + k for k, holds in enumerate(tests) if holds)]
 
 
-def link_key(word: str, digits_needed: int) -> str | None:
-    """Words with the same key are taken for the same thing."""
+def link_key(word: str, piece: str) -> str | None:
+    """Words with the same key are taken for the same address. ``piece`` is the part that may be a number, see ``_pieces``."""
     inner = word.strip(_EDGES)
     if "@" in inner.strip("@"):
         return inner.lower()
-    digits = _NO_DIGITS.sub("", inner)
-    return digits[-digits_needed:] if len(digits) >= digits_needed and not any(c.isalpha() for c in inner) else None
+    groups = [group.lstrip("0") or "0" for group in _GROUP.findall(piece)] if len(piece) < 64 else []
+    return ".".join(groups) if len(groups) == 4 and all(len(g) < 4 and int(g) < 256 for g in groups) else None
+
+
+def _pieces(text: str, words: list[tuple[int, int]], base: Sequence[Span]) -> list[tuple[str, int]]:
+    """Of each word what may belong to a number, and which of the base spans (joined where they overlap) that is, or -1."""
+    spans: list[list[int]] = []
+    for start, kind, end in base:
+        if kind != 0 and spans and start < spans[-1][1]:
+            spans[-1][1] = max(spans[-1][1], end)
+        elif kind != 0:
+            spans.append([start, end])
+    out, at = [], 0
+    for start, end in words:
+        while at < len(spans) and spans[at][1] <= start:
+            at += 1
+        if at < len(spans) and spans[at][0] < end:
+            out.append((text[max(start, spans[at][0]) : min(end, spans[at][1])], at))
+        else:
+            inner = text[start:end].strip(_EDGES)
+            out.append(("" if "@" in inner or any(c.isalpha() for c in inner) else inner, -1))
+    return out
+
+
+def number_links(pieces: list[tuple[str, int]], joined: list[bool], needed: int) -> set[tuple[int, int]]:
+    """Links between the words of two numbers, each time to the last one with the same ``needed`` digits at its end.
+
+    A number ends with a base span, with a run of neighbouring digit words, with a word that has digits enough, or where
+    a run has the last digits of a base span. Words further to the left are linked as far as the digits agree, but for
+    zeros in front. Every word is looked at over at most ``_WINDOW`` digits, so time is linear.
+    """
+    digits = [_NO_DIGITS.sub("", piece)[-_WINDOW:] for piece, _ in pieces]
+    first, tails = [], []  # of each word: where its run begins, the run's last digits up to it
+    for i, (_, span) in enumerate(pieces):
+        on = i > 0 and span == pieces[i - 1][1] and (span >= 0 or joined[i - 1] and digits[i - 1] and digits[i])
+        first.append(first[-1] if on else i)
+        tails.append((tails[-1] + digits[i])[-_WINDOW:] if on else digits[i])
+    ends = [i + 1 == len(first) or first[i + 1] == i + 1 for i in range(len(first))]
+    known = {tail[-needed:] for (_, span), end, tail in zip(pieces, ends, tails) if end and span >= 0}
+
+    def words(i: int, after: int, same: int) -> list[tuple[int, int, int]]:
+        """Words of the number that ends with word ``i``, and which digits from its end they are."""
+        out, size, j = [], 0, i
+        while j > after and j >= first[i] and size < _WINDOW:
+            if size >= needed and size + len(digits[j].lstrip("0")) > same:
+                break
+            out.append((j, size, size + len(digits[j])))
+            size, j = size + len(digits[j]), j - 1
+        return out
+
+    links: set[tuple[int, int]] = set()
+    last: dict[str, int] = {}
+    for i, (_, span) in enumerate(pieces):
+        key = tails[i][-needed:]
+        if len(key) < needed or not (ends[i] or len(digits[i]) >= needed or span < 0 and key in known):
+            continue
+        if key in last:
+            k = last[key]
+            if words(i, -1, 0)[-1][0] <= k:
+                continue  # both would share a word
+            same = 0
+            while same < min(len(tails[i]), len(tails[k])) and tails[i][-1 - same] == tails[k][-1 - same]:
+                same += 1
+            right = words(i, k, same)
+            links |= {(a, b) for a, p, q in words(k, -1, same) for b, r, t in right if max(p, r) < min(q, t)}
+        last[key] = i
+    return links
 
 
 @dataclass
@@ -168,25 +235,26 @@ class Graph:
     outer: np.ndarray
 
 
-def graph_of(text: str, spec: CrfSpec) -> Graph:
+def graph_of(text: str, spec: CrfSpec, base: Sequence[Span] = ()) -> Graph:
     words = candidates(text)
+    pieces = _pieces(text, words, base)
     joined = [not text[a[1] : b[0]].strip() for a, b in zip(words, words[1:])]
     features = np.zeros((len(words), N_FEATURES))
     last: dict[str, int] = {}
-    skip = []
+    skip = number_links(pieces, joined, spec.linked_digits)
     for i, (start, end) in enumerate(words):
         word = text[start:end]
         before, after = i > 0 and joined[i - 1], i < len(joined) and joined[i]
         features[i, word_features(word, before, after)] = 1
-        if key := link_key(word, spec.linked_digits):
-            if key in last and last[key] < i:
-                skip.append((last[key], i))
+        if key := link_key(word, pieces[i][0]):
+            if key in last:
+                skip.add((last[key], i))
             last[key] = i
     chain = [(i, i + 1) for i, near in enumerate(joined) if near]
     outer = np.full(len(words), 2)
     np.subtract.at(outer, np.array(chain, np.int64).ravel(), 1)
     pairs = lambda links: np.array(links, np.int64).reshape(-1, 2)
-    return Graph(words, features, pairs(chain), pairs(skip), outer)
+    return Graph(words, features, pairs(chain), pairs(sorted(skip)), outer)
 
 
 def labels_of(words: list[tuple[int, int]], spans: list[Span]) -> np.ndarray:
@@ -292,12 +360,14 @@ def fit_field(graphs: list[tuple[Graph, np.ndarray]], spec: CrfSpec) -> Field:
 
 
 def _entity(text: str, kind: int) -> bool:
-    return "@" in text.strip("@") if kind == 0 else len(_DIGITS.findall(text)) >= 7
+    if kind == 0:
+        return "@" in text.strip("@")
+    return len(_DIGITS.findall(text)) >= 7 or kind == 1 and len(_GROUP.findall(text)) == 4
 
 
 def added_spans(text: str, base: list[Span], field: Field, spec: CrfSpec) -> list[Span]:
     """Runs of words, with a skip link among them, that the field gives a kind, apart from base spans."""
-    graph = graph_of(text, spec)
+    graph = graph_of(text, spec, base)
     fixed = labels_of(graph.words, base)
     if not len(graph.skip) or (fixed != NONE).all() or (fixed == NONE).all():
         return []  # no word can owe its label to another one
@@ -382,7 +452,7 @@ def _sample_rows(batch: pa.RecordBatch, last: dict[bool, int], spec: CrfSpec) ->
         base = base_spans(text)
         if key > last.get(bool(base), key - 1):
             continue
-        whole, flat = graph_of(text, spec), lambda a: np.asarray(a).ravel().tolist()
+        whole, flat = graph_of(text, spec, base), lambda a: np.asarray(a).ravel().tolist()
         graph = _part(whole, fit_words_of(text, whole.words, base, spec.fit_words))
         labels = labels_of(graph.words, base)
         rows.append([flat(a) for a in (graph.words, graph.features, graph.chain, graph.skip, graph.outer, labels)])

@@ -96,6 +96,25 @@ def test_links_add_repetitions_and_nothing_else():
     assert added("") == added("1 2 3") == []
 
 
+@pytest.mark.parametrize(
+    "text, expected",
+    [
+        ("call +1 636 555 7248 now, later 636 555 7248.", [("phone", "636 555 7248")]),
+        ("call +1 636 555 7248 now, later 636-555-7248.", [("phone", "636-555-7248")]),
+        ("call +16365557248 now, later 636 555 7248 it is, or 555 7248", [("phone", "636 555 7248"), ("phone", "555 7248")]),
+        ("call +49 30 1234 5678 now, later 030 1234 5678 or 0049 30 1234 5678",
+         [("phone", "030 1234 5678"), ("phone", "0049 30 1234 5678")]),
+        ("card 4242 4242 4242 4242 and again 4242/4242/4242/4242 here", [("card", "4242/4242/4242/4242")]),
+        ("card 4012 8888 8888 1881 and again 4012/8888/8888/1881 here", [("card", "4012/8888/8888/1881")]),
+        ("from 10.0.0.1 that is 10-0-0-1 here", [("ip", "10-0-0-1")]),
+        ("call +1 636 555 7248 now, later 636 555 7249 or 1 636 555 9999 or 10-0-0-1", []),
+        ("call +1 636 555 7248 or 636 555 7248 not 1 636 555 9999", [("phone", "636 555 7248")]),
+    ],
+)
+def test_numbers_in_groups_are_linked(text, expected):
+    assert [(KINDS[k], text[a:b]) for a, k, b in added_spans(text, base_spans(text), example_field(), CrfSpec())] == expected
+
+
 def test_message_passing_is_exact_on_trees():
     rng = np.random.default_rng(1)
     unary = rng.normal(size=(5, N_LABELS))
