@@ -232,7 +232,7 @@ def fit_rules(statistics_: DataFrame, labels: DataFrame, spec: ForestSpec = Fore
     usable = statistics_.where("not base_failed").select(*columns).join(marks.where("quality in (0, 1)"), "doc_id")
     usable = written(usable, "labelled")
     sample = usable.orderBy(F.xxhash64("doc_id"), *columns, "quality").limit(spec.fit_rows).toPandas()
-    if sample["quality"].nunique() < 2:
+    if not len(sample):
         return None, 1.1
     forest = fit_forest(features(sample[COUNTS + EXTRA].to_numpy()), spec)
     bin_of = F.least(F.floor(F.col("anomaly") * spec.bins), F.lit(spec.bins - 1)).cast("int")
@@ -240,7 +240,8 @@ def fit_rules(statistics_: DataFrame, labels: DataFrame, spec: ForestSpec = Fore
     table = np.zeros((2, spec.bins), np.int64)
     for label, at, count in counted:
         table[label, at] = count
-    return forest, best_threshold(table, spec)
+    # The sample may miss the rarer label; the table has every labelled row.
+    return (forest, best_threshold(table, spec)) if table.any(axis=1).all() else (None, 1.1)
 
 
 def quality_verdicts(

@@ -5,6 +5,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from lettora.llm.quality_rules import (
     COUNTS,
@@ -77,6 +78,22 @@ def test_odd_rows(spark):
     assert all(r.kept == (not r.base_failed) for r in unlabelled)
 
 
+def test_labels_that_the_sample_misses_count(spark):
+    rng = random.Random(5)
+    words = ["".join(rng.choices("aeioulnrst", k=rng.randint(2, 9))) for _ in range(400)]
+    rows = [(i, " ".join(rng.choices(words, k=99)).capitalize()) for i in range(400)]
+    rows += [(1000 + i, " ".join(f"{rng.randint(0, 10**6)}$$$***" for _ in range(80))) for i in range(2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i < 1000)) for i, _ in rows], "doc_id long, quality int")
+    spec = ForestSpec(fit_rows=64, max_clean_loss=0.01)
+    hashed = docs.orderBy(F.xxhash64("doc_id")).limit(spec.fit_rows).collect()
+    assert all(r.doc_id < 1000 for r in hashed)  # the sample has good rows only
+    kept = {r.doc_id: r.kept for r in quality_verdicts(docs, labels, spec=spec).collect()}
+    assert not kept[1000] and not kept[1001] and sum(kept.values()) >= 396
+    good = quality_verdicts(docs, labels.where("quality = 1"), spec=spec).collect()
+    assert all(r.kept and r.anomaly == 0 for r in good)
+
+
 def test_forest_isolates_outliers_and_copes_with_constants():
     rng = np.random.default_rng(1)
     points = rng.normal(size=(500, 3))
