@@ -17,6 +17,7 @@ from lettora.llm.quality_rules import COUNTS, quality_verdicts
 from lettora.llm.secret_scan import KEYWORDS, secret_digest
 from lettora.llm.simhash import simhash_components
 from lettora.llm.tables import table
+from lettora.llm.token_alignment import token_alignment
 from lettora.llm.warc import archive_round_trip
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -111,6 +112,11 @@ def op4_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secret_digest(table(spark, folder, "documents"))
 
 
+@query
+def op11_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return token_alignment(table(spark, folder, "documents"))
+
+
 @query
 def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
     return personal_data(table(spark, folder, "documents"))
