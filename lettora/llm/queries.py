@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lettora.llm.conversation_repair import repaired_conversations
 from lettora.llm.decontamination import benchmark_leaks
 from lettora.llm.html_text import extract_text
 from lettora.llm.line_dedup import dedup_lines
@@ -14,6 +15,7 @@ from lettora.llm.mixing import mix, words_taken
 from lettora.llm.pii import personal_data
 from lettora.llm.quality_knn import quality_scores
 from lettora.llm.quality_rules import COUNTS, quality_verdicts
+from lettora.llm.repeat_removal import repeat_digest
 from lettora.llm.secret_scan import KEYWORDS, secret_digest
 from lettora.llm.simhash import simhash_components
 from lettora.llm.tables import table
@@ -117,6 +119,16 @@ def op11_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
     return token_alignment(table(spark, folder, "documents"))
 
 
+@query
+def op12_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return repaired_conversations(table(spark, folder, "conversations"))
+
+
+@query
+def op13_repeat_removal(spark: SparkSession, folder: str) -> DataFrame:
+    return repeat_digest(table(spark, folder, "documents"))
+
+
 @query
 def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
     return personal_data(table(spark, folder, "documents"))
