@@ -81,13 +81,14 @@ def fill_zipcodes(
     limits: SkewLimits | None = SkewLimits(),
     on_multiple: str = "all",
     require_digits: bool = False,
+    patterns: TextPatterns = TextPatterns(),
 ) -> DataFrame:
     """All listings with zipcode_formatted, postcode and final_zipcode; coordinates first.
 
     Building this plan runs jobs (coordinate counts, cover, hot keys); the listings are read once by them and once by the
     result. A coordinate in k polygons multiplies its listings by k, also those that had a zipcode of their own.
     """
-    listings = with_formatted_zipcode(listings, require_digits=require_digits)
+    listings = with_formatted_zipcode(listings, require_digits=require_digits, patterns=patterns)
     counts = coordinate_counts(listings)
     located = locate_missing(counts, polygons, grid, limits, on_multiple)
     return attach_postcodes(listings, located, limits, counts)
@@ -98,9 +99,11 @@ def unmatched_coordinates(
     polygons: DataFrame,
     grid: GridSpec = GridSpec(),
     limits: SkewLimits | None = SkewLimits(),
+    require_digits: bool = False,
+    patterns: TextPatterns = TextPatterns(),
 ) -> DataFrame:
     """Distinct missing coordinates with their postcode, NULL where no polygon holds them."""
-    counts = coordinate_counts(with_formatted_zipcode(listings))
+    counts = coordinate_counts(with_formatted_zipcode(listings, require_digits=require_digits, patterns=patterns))
     return _missing_of(counts).join(locate_missing(counts, polygons, grid, limits), COORDINATE, "left")
 
 
@@ -109,15 +112,23 @@ def fill_profile(
     polygons: DataFrame,
     grid: GridSpec = GridSpec(),
     limits: SkewLimits | None = SkewLimits(),
+    on_multiple: str = "all",
+    require_digits: bool = False,
+    patterns: TextPatterns = TextPatterns(),
 ) -> DataFrame:
-    """What the fill does to listings without a usable zipcode, as one row of counts.
+    """What the fill with these choices does to listings, see ``profile_of_fill``. It counts and locates on its own."""
+    counts = coordinate_counts(with_formatted_zipcode(listings, require_digits=require_digits, patterns=patterns))
+    return profile_of_fill(counts, locate_missing(counts, polygons, grid, limits, on_multiple))
+
+
+def profile_of_fill(counts: DataFrame, located: DataFrame) -> DataFrame:
+    """What a fill does to listings without a usable zipcode, as one row of counts, from the tables it works with.
 
     ``missing_listings`` of them fall into ``unplaced_listings`` (no coordinate), ``unlocated_listings`` (in no polygon)
     and the rest, which becomes ``located_rows`` rows: more than listings where ``shared_coordinates`` lie in several
     polygons.
     """
-    counts = coordinate_counts(with_formatted_zipcode(listings))
-    hits = locate_missing(counts, polygons, grid, limits).groupBy(*COORDINATE).agg(F.count(F.lit(1)).alias("hits"))
+    hits = located.groupBy(*COORDINATE).agg(F.count(F.lit(1)).alias("hits"))
     # One row per coordinate, also for those with a NULL in them, which join nothing.
     places = counts.where("missing > 0").select(*COORDINATE, F.col("missing").alias("n")).join(hits, COORDINATE, "left")
     unplaced = F.col(COORDINATE[0]).isNull() | F.col(COORDINATE[1]).isNull()

@@ -4,22 +4,20 @@ from __future__ import annotations
 
 from dataclasses import replace
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from lettora.functions.geojson import unreadable_features
-from lettora.operators.arrays import explosion_report
+from lettora.operators.arrays import EXPLOSION
 from lettora.operators.spatial import postcode_polygons
 from lettora.params import Economics, RawFiles, SilverOptions, StrategyLabels, TableNames
-from lettora.plans.fill import fill_profile
 from lettora.plans.gold import gold_comparison, gold_long_term, gold_short_term
-from lettora.plans.silver import silver_listings, silver_rentals
+from lettora.plans.silver import silver_listings, silver_listings_and_profile, silver_rentals
 from lettora.sinks.tables import WriteMetrics, overwrite_table
 from lettora.sources.files import (
     CORRUPT,
     POSTCODES_SCHEMA,
-    RENTALS_SCHEMA,
     raw_path,
     read_csv,
     read_geojson,
@@ -27,19 +25,22 @@ from lettora.sources.files import (
     read_json_lines,
 )
 from lettora.sources.shared import cleaned
+from lettora.sources.variants import read_json_any
 
 
-def ingest_rentals(
-    spark: SparkSession, path: str, table: str, schema: StructType | None = RENTALS_SCHEMA
-) -> WriteMetrics:
-    """``schema=None`` infers it, at the price of a second read. Give the schema of your file: fields it lacks are dropped."""
-    return overwrite_table(read_json_lines(spark, path, schema), table)
+def ingest_rentals(spark: SparkSession, path: str, table: str, schema: StructType | None = None) -> WriteMetrics:
+    """All fields of all lines; lines that cannot be read keep their text in ``_corrupt_record`` and are counted.
+
+    Fields are typed by what they hold (``read_json_any``). A schema saves that pass, and drops the fields it lacks; lines
+    with a value of another type then count as corrupt too.
+    """
+    with cleaned(spark):
+        rentals = read_json_any(spark, path) if schema is None else read_json_lines(spark, path, schema, CORRUPT)
+        return overwrite_table(rentals, table, checks={"corrupt_rows": F.count(F.col(CORRUPT))})
 
 
 def ingest_listings(spark: SparkSession, path: str, table: str, schema: StructType | None = None) -> WriteMetrics:
-    """With a schema, rows with too few or too many fields keep their text in ``_corrupt_record`` and are counted."""
-    if schema is None:
-        return overwrite_table(read_csv(spark, path), table)
+    """Rows with too few or too many fields keep their text in ``_corrupt_record`` and are counted."""
     return overwrite_table(read_csv(spark, path, schema, CORRUPT), table, checks={"corrupt_rows": F.count(F.col(CORRUPT))})
 
 
@@ -59,7 +60,7 @@ def raw_to_bronze(
     files: RawFiles,
     tables: TableNames = TableNames(),
     listings_schema: StructType | None = None,
-    rentals_schema: StructType | None = RENTALS_SCHEMA,
+    rentals_schema: StructType | None = None,
 ) -> list[WriteMetrics]:
     return [
         ingest_rentals(
@@ -77,25 +78,29 @@ def bronze_to_silver(
     tables: TableNames = TableNames(),
     options: SilverOptions = SilverOptions(),
 ) -> list[WriteMetrics]:
-    """With ``options.report`` the metrics also say how listings were filled and rentals multiplied."""
+    """With ``options.report`` the metrics also say how listings were filled and rentals multiplied.
+
+    These counts come from the run itself: the fill's own tables, and the rows seen right before arrays are exploded.
+    """
     o = options
     polygons = postcode_polygons(spark.table(tables.bronze_postcodes))
     bronze = spark.table(tables.bronze_listings).drop(CORRUPT)
-    raw_rentals = spark.table(tables.bronze_rentals)
+    raw_rentals = spark.table(tables.bronze_rentals).drop(CORRUPT)
+    seen = Observation() if o.report else None
     with cleaned(spark):
-        listings = silver_listings(
-            bronze, polygons, o.grid, o.limits, o.on_multiple, o.require_digits, o.dedupe, o.patterns
-        )
-        rentals = silver_rentals(raw_rentals, o.patterns, o.explode_mode, o.trim, o.dedupe)
+        choices = o.grid, o.limits, o.on_multiple, o.require_digits, o.dedupe, o.patterns
+        if o.report:
+            listings, profile = silver_listings_and_profile(bronze, polygons, *choices)
+        else:
+            listings = silver_listings(bronze, polygons, *choices)
+        rentals = silver_rentals(raw_rentals, o.patterns, o.explode_mode, o.trim, o.dedupe, seen)
         metrics = [
             overwrite_table(listings, tables.silver_listings, merge_schema=True),
             overwrite_table(rentals, tables.silver_rentals, merge_schema=True),
         ]
-        if o.report:
-            reports = [fill_profile(bronze, polygons, o.grid, o.limits), explosion_report(raw_rentals)]
-            metrics = [
-                replace(metric, checks=metric.checks | report.first().asDict()) for metric, report in zip(metrics, reports)
-            ]
+        if seen:
+            reports = [profile.first().asDict(), {name: seen.get[name] or 0 for name in EXPLOSION}]
+            metrics = [replace(metric, checks=metric.checks | report) for metric, report in zip(metrics, reports)]
     return metrics
 
 

@@ -57,9 +57,20 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | None = None, c
     return reader.option("enforceSchema", False).schema(StructType(fields)).csv(path)
 
 
-def read_json_lines(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
-    """One JSON object per line; splittable. Without ``schema`` it is inferred, which reads the file twice."""
-    return (spark.read.schema(schema) if schema else spark.read).json(path)
+def read_json_lines(
+    spark: SparkSession, path: str, schema: StructType | None = None, corrupt: str | None = None
+) -> DataFrame:
+    """One JSON object per line; splittable. Without ``schema`` it is inferred, which reads the file twice.
+
+    ``corrupt`` (with a schema) names a column for the text of lines that are damaged or hold a value of another type;
+    without it these have NULLs, silently. ``variants.read_json_any`` needs no schema and loses nothing.
+    """
+    if schema is None:
+        return spark.read.json(path)
+    if corrupt is None:
+        return spark.read.schema(schema).json(path)
+    fields = StructType([*schema.fields, StructField(corrupt, StringType())])
+    return spark.read.schema(fields).option("columnNameOfCorruptRecord", corrupt).json(path)
 
 
 def read_geojson(

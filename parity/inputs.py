@@ -213,6 +213,35 @@ def rentals_json(spark: SparkSession, folder: str) -> str:
     return path_once(spark, folder, "rentals_json", lambda path: rentals(spark, folder).write.json(path))
 
 
+# What a rental line of any shape has: an id that is an array or plain text, fields that not every line has, numbers that
+# are text elsewhere, and, for one order in fifty, a second line that is damaged.
+ANY_FIELDS = {
+    "order_id": "l_orderkey",
+    "line_no": "l_linenumber",
+    "postalCode": RENTALS["postalCode"],
+    "rent": RENTALS["rent"],
+    "areaSqm": RENTALS["areaSqm"],
+    "_id": "case when l_orderkey % 4 = 0 then concat('\"r', cast(l_orderkey as varchar(20)), '\"') else concat('[\"r', "
+    "cast(l_orderkey as varchar(20)), '\", \"s', cast(l_linenumber as varchar(20)), '\"]') end",
+    "tags": "case l_orderkey % 5 when 0 then '[\"quiet\", \"top floor\"]' when 1 then '[\"garden\"]' end",
+    "floor": "case when l_linenumber = 3 then '\"ground\"' else cast(l_linenumber as varchar(20)) end",
+    "city name": "concat('Town ', cast(l_partkey % 7 as varchar(20)))",
+}
+DAMAGED = "l_orderkey % 50 = 7 and l_linenumber = 1"
+
+
+def rentals_any_json(spark: SparkSession, folder: str) -> str:
+    """Rental lines of any shape as JSON lines."""
+    fields = _select(read(spark, folder, "lineitem"), ANY_FIELDS | {"damaged": DAMAGED})
+    raw = ("_id", "tags", "floor")
+    plain = F.to_json(F.struct(*(name for name in ANY_FIELDS if name not in raw)))
+    others = [F.concat(F.lit(f', "{name}": '), F.col(name)) for name in raw]
+    whole = F.concat(F.expr(r"substring(plain, 1, length(plain) - 1)"), *(F.coalesce(part, F.lit("")) for part in others), F.lit("}"))
+    lines = fields.withColumn("plain", plain).withColumn("value", whole)
+    cut = F.filter(F.array("value", F.when(F.col("damaged"), F.expr("substring(value, 1, 30)"))), F.isnotnull)
+    return path_once(spark, folder, "rentals_any_json", lines.select(F.explode(cut).alias("value")).write.text)
+
+
 # --- the same inputs as SQL -------------------------------------------------------------------------------------------
 
 
@@ -225,6 +254,12 @@ SQL_RENTALS = f"select {_columns(RENTALS)} from lineitem"
 SQL_RENTALS_ARRAYS = (
     f"select {_columns(RENTALS | {n: t.format(empty=SQL_EMPTY) for n, t in RENTAL_ARRAYS.items()})} from lineitem"
 )
+# With ``_id`` and ``tags`` as lists.
+SQL_ANY_RENTALS = (
+    "select * replace (case when _id like '[%' then from_json(_id, '[\"VARCHAR\"]') else [replace(_id, '\"', '')] end as _id, "
+    "from_json(tags, '[\"VARCHAR\"]') as tags, replace(floor, '\"', '') as floor) "
+    f"from (select {_columns(ANY_FIELDS)} from lineitem)"
+)
 SQL_AREAS = f"select {_columns(AREAS)} from customer"
 
 

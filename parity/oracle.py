@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from parity.inputs import SQL_AREAS, SQL_LISTINGS, SQL_RENTALS, SQL_RENTALS_ARRAYS, sql_inside
+from parity.inputs import DAMAGED, SQL_ANY_RENTALS, SQL_AREAS, SQL_LISTINGS, SQL_RENTALS, SQL_RENTALS_ARRAYS, sql_inside
 
 
 def _formatted(code: str) -> str:
@@ -107,6 +107,36 @@ OPTIONS = _gold("0.50", 365, 12, f"""{STRICT},
  zipped_rentals as (select distinct *, {_pc4('"postalCode"')} as postalcode4, {RENT} as monthly_rent, {AREA} as area_sqm
    from zipped where {_pc4('"postalCode"')} <> '' and {RENT} > 0)""", "strict_listings", "zipped_rentals")
 
+RUN_REPORT = f"""{OPTIONS},
+ needy as (select * from strict where zipcode_formatted is null),
+ places as (select latitude, longitude, count(*) as n, any_value(smallest.postcode) as postcode
+   from needy left join smallest using (latitude, longitude)
+   where latitude is not null and longitude is not null group by 1, 2),
+ valid as (select greatest(1, len("crawledAt"), coalesce(len("firstSeenAt"), 0)) as n from rental_arrays
+   where {_pc4('"postalCode"')} <> '' and {RENT} > 0)
+ select (select count(*) from needy) as missing_listings,
+   (select count(*) from needy where latitude is null or longitude is null) as unplaced_listings,
+   count(*) as missing_coordinates, count(*) filter (where postcode is null) as unlocated_coordinates,
+   cast(0 as bigint) as shared_coordinates, cast(sum(case when postcode is null then n else 0 end) as bigint) as unlocated_listings,
+   cast(sum(case when postcode is not null then n else 0 end) as bigint) as located_rows,
+   (select count(*) from valid) as rows_in, (select cast(sum(n) as bigint) from valid) as rows_out, cast(0 as bigint) as rows_lost,
+   (select count(*) from strict_listings) as silver_listings, (select count(*) from zipped_rentals) as silver_rentals
+ from places"""
+
+ANY_RENTALS = f"""with any_rentals as ({SQL_ANY_RENTALS})"""
+_ANY_NAMES = '"postalCode", rent, "areaSqm", floor, "city name"'
+ANY_FIELDS = f"""{ANY_RENTALS} select order_id, cast(line_no as bigint) as line_no, {_ANY_NAMES}, _id, tags,
+   cast(null as integer) as corrupt_length from any_rentals
+ union all select null, null, null, null, null, null, null, null, null, 30 from lineitem where {DAMAGED}"""
+DEFAULT_INGEST = f"""{ANY_RENTALS}, exploded as (select order_id, line_no, {_ANY_NAMES}, i.v as _id, t.v as tags
+   from any_rentals, unnest(_id) as i(v), unnest(tags) as t(v))
+ select order_id, cast(line_no as bigint) as line_no, {_ANY_NAMES}, _id, tags, {_formatted('"postalCode"')} as zipcode_formatted,
+   {_pc4('"postalCode"')} as postalcode4, {RENT} as monthly_rent, {UTILITIES} as utilities_included, {AREA} as area_sqm,
+   (select cast(count(*) as integer) from lineitem where {DAMAGED}) as bad_lines, cast(0 as integer) as bad_rows,
+   (select cast(count(*) + count(*) filter (where {DAMAGED}) as integer) from lineitem) as n_rentals,
+   (select cast(count(*) as integer) from orders) as n_listings
+ from exploded where {_pc4('"postalCode"')} <> '' and {RENT} > 0"""
+
 # A price text that is no finite number, or larger than exact sums reach: such groups are averaged as doubles.
 _WILD = f"case when listing_id % 97 = 0 then 'NaN' when listing_id % 89 = 0 then 'Infinity' when listing_id % 83 = 0 then '{2**100}' else price end"
 _FITS = "bool_and(price < 1e22)"
@@ -225,6 +255,10 @@ ORACLE: dict[str, str] = {
     "gold_comparison_other_economics": f"{_gold('0.7', 360, 11)} select * from comparison",
     "raw_files_to_gold": f"{GOLD} select * from comparison",
     "raw_files_to_gold_options": f"{OPTIONS} select * from comparison",
+    "rentals_any_fields": ANY_FIELDS,
+    "jobs_default_ingest": DEFAULT_INGEST,
+    "exploded_in_pieces": f"""{WITH} select order_id, line_no, "crawledAt", "firstSeenAt" from exploded""",
+    "run_report": RUN_REPORT,
     "global_rank_two_step": """select *, rank() over (order by price desc nulls last) as price_rank from (
         select l_orderkey, l_linenumber, l_suppkey, case when l_linenumber = 7 then null
           when l_linenumber = 6 then cast(1000 as double) else l_extendedprice end as price from lineitem)""",

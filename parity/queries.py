@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,9 +30,10 @@ from lettora.plans.fill import (
 from lettora.plans.gold import gold_comparison, gold_long_term, gold_short_term
 from lettora.plans.quality import null_counts, profile
 from lettora.plans.silver import silver_listings, silver_rentals
-from lettora.sinks.tables import overwrite_table
+from lettora.sinks.tables import WriteMetrics, overwrite_table
 from lettora.sources.files import CORRUPT, LISTINGS_SCHEMA, read_csv, read_geojson, read_geojson_lines, read_json_lines
 from lettora.sources.shared import fresh_path, written
+from lettora.sources.variants import read_json_any
 from parity import inputs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -426,31 +428,82 @@ def table_overwrite(spark: SparkSession, folder: str) -> DataFrame:
     return rows
 
 
+@query
+def rentals_any_fields(spark: SparkSession, folder: str) -> DataFrame:
+    """Rental lines without a schema: plain ids become arrays, no field and no line is lost, damaged lines keep their text."""
+    rows = read_json_any(spark, inputs.rentals_any_json(spark, folder))
+    return rows.select("*", F.length(CORRUPT).alias("corrupt_length")).drop(CORRUPT)
+
+
+@query
+def jobs_default_ingest(spark: SparkSession, folder: str) -> DataFrame:
+    """Ingest and silver step with no schema given: silver rentals, and what the metrics say of lines and rows."""
+    paths = [read_from(spark, folder) for read_from in (inputs.listings_csv, inputs.rentals_any_json, inputs.geojson_files)]
+    with _database(spark) as tables:
+        ingested = jobs.raw_to_bronze(spark, _raw_files(*paths), tables)
+        jobs.bronze_to_silver(spark, tables, SilverOptions(grid=GRID))
+        checks = [F.lit(metric.checks["corrupt_rows"]).alias(name) for metric, name in zip(ingested, ("bad_lines", "bad_rows"))]
+        counts = [F.lit(metric.row_count).alias(name) for metric, name in zip(ingested, ("n_rentals", "n_listings"))]
+        return written(spark.table(tables.silver_rentals).select("*", *checks, *counts), "silver")
+
+
+@query
+def exploded_in_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    """``explode_chain`` where nearly every row is more than one task may make: decoded from numbers, in many tasks."""
+    rentals = inputs.rentals(spark, folder).select("order_id", "line_no", "crawledAt", "firstSeenAt")
+    return explode_arrays(rentals, rows_per_task=1)
+
+
+@query
+def run_report(spark: SparkSession, folder: str) -> DataFrame:
+    """What the metrics of ``raw_files_to_gold_options`` say of that run, as one row."""
+    with _database(spark) as tables:
+        silver = _all_jobs(spark, folder, REPORTED, tables)
+    listings, rentals = silver
+    values = listings.checks | rentals.checks | {"silver_listings": listings.row_count, "silver_rentals": rentals.row_count}
+    return spark.range(1).select(*(F.lit(value).cast("long").alias(name) for name, value in values.items()))
+
+
 @query
 def raw_files_to_gold(spark: SparkSession, folder: str) -> DataFrame:
     """All three jobs in order, from raw files, by given schemas, to the comparison table."""
-    return _all_jobs(spark, folder, SilverOptions(grid=GRID))
+    return _comparison(spark, folder, SilverOptions(grid=GRID))
+
+
+#: Other choices in the silver step.
+REPORTED = SilverOptions(on_multiple="first", require_digits=True, explode_mode="zip", trim=True, dedupe=True, report=True)
 
 
 @query
 def raw_files_to_gold_options(spark: SparkSession, folder: str) -> DataFrame:
     """The same with other choices in the silver step."""
-    options = SilverOptions(on_multiple="first", require_digits=True, explode_mode="zip", trim=True, dedupe=True, report=True)
-    return _all_jobs(spark, folder, options)
+    return _comparison(spark, folder, REPORTED)
 
 
-def _all_jobs(spark: SparkSession, folder: str, options: SilverOptions) -> DataFrame:
-    paths = [read_from(spark, folder) for read_from in (inputs.listings_csv, inputs.rentals_json, inputs.geojson_files)]
-    (listings_base, listings_file), (rentals_base, rentals_file), (areas_base, areas_file) = (
-        path.rsplit("/", 1) for path in paths
-    )
-    files = RawFiles(f"{listings_base}/", rentals_base, areas_base, listings_file, rentals_file, areas_file)
+def _raw_files(*paths: str) -> RawFiles:
+    (listings_base, listings_file), (rentals_base, rentals_file), (areas_base, areas_file) = (path.rsplit("/", 1) for path in paths)
+    return RawFiles(f"{listings_base}/", rentals_base, areas_base, listings_file, rentals_file, areas_file)
+
+
+@contextmanager
+def _database(spark: SparkSession) -> Iterator[TableNames]:
     schema = _table_name("letting")
     spark.sql(f"create database {schema} location '{fresh_path(spark, schema)}'")
-    tables = TableNames().under(None, schema, schema, schema)
-    jobs.raw_to_bronze(spark, files, tables, LISTINGS_SCHEMA, _rentals_schema())
-    jobs.bronze_to_silver(spark, tables, options)
+    try:
+        yield TableNames().under(None, schema, schema, schema)
+    finally:
+        spark.sql(f"drop database {schema} cascade")
+
+
+def _all_jobs(spark: SparkSession, folder: str, options: SilverOptions, tables: TableNames) -> list[WriteMetrics]:
+    paths = [read_from(spark, folder) for read_from in (inputs.listings_csv, inputs.rentals_json, inputs.geojson_files)]
+    jobs.raw_to_bronze(spark, _raw_files(*paths), tables, LISTINGS_SCHEMA, _rentals_schema())
+    silver = jobs.bronze_to_silver(spark, tables, options)
     jobs.silver_to_gold(spark, tables)
-    comparison = written(spark.table(tables.gold_comparison), "comparison")
-    spark.sql(f"drop database {schema} cascade")
-    return comparison
+    return silver
+
+
+def _comparison(spark: SparkSession, folder: str, options: SilverOptions) -> DataFrame:
+    with _database(spark) as tables:
+        _all_jobs(spark, folder, options, tables)
+        return written(spark.table(tables.gold_comparison), "comparison")

@@ -88,3 +88,31 @@ def test_null_safe_names(spark):
     assert [r.n for r in rows_per_key(empty, ["a.b"]).collect()] == [2]
     assert null_counts(empty, ["a.b"]).first()["a.b_nulls"] == 1
     assert profile(empty, distinct={"values": ["a.b"]}).first()["values"] == 1
+
+
+@pytest.mark.parametrize("rows_per_task", [1, 2, 5, 10**6, None])
+def test_large_products_are_decoded_from_numbers(spark, rows_per_task):
+    rows = [(1, ["a", "b"], [1, 2, 3], [[1], [2, 3]]), (2, ["c"], [], [[]]), (3, None, [1], [[]]), (4, ["d", None], [None], [None, [9]]), (5, ["e"], [7], [[1]])]
+    df = spark.createDataFrame(rows, "id int, `a b` array<string>, n array<int>, deep array<array<int>>")
+    expected = [(i, a, n) for i, first, second, third in rows for a in first or () for n in second or () for _ in third or ()]
+    assert len(expected) == 17
+    assert sorted(tuple(r) for r in explode_arrays(df, rows_per_task=rows_per_task).fillna({"a b": "", "n": 0}).collect()) == sorted(
+        (i, a or "", n or 0) for i, a, n in expected
+    )
+
+
+def test_one_row_of_large_arrays_is_many_tasks(spark):
+    from pyspark.sql import functions as F
+
+    df = spark.range(1).selectExpr("id", "sequence(1, 100) as a", "sequence(1, 100) as b", "sequence(1, 100) as c")
+    rows = explode_arrays(df, rows_per_task=5000).select("a", "b", "c", F.spark_partition_id().alias("task"))
+    seen = rows.agg(F.count_distinct("a", "b", "c").alias("n"), F.count_distinct("task").alias("tasks")).first()
+    assert seen.n == 10**6 and seen.tasks >= 50
+    largest = rows.groupBy("task").count().agg(F.max("count")).first()[0]
+    assert largest <= 10**6 / 20
+
+
+def test_a_product_beyond_all_tables_raises(spark):
+    df = spark.range(1).select(*(F.expr("sequence(1, 3000000)").alias(name) for name in "abc"))
+    with pytest.raises(Exception, match="2\\^63"):
+        explode_arrays(df).first()
