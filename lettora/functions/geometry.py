@@ -63,18 +63,41 @@ def inside(x: str, y: str, edges: str) -> str:
     return f"aggregate({edges}, 0L, (n, e) -> n + {weight}, n -> n < {ON_EDGE}L and n % 2 = 1)"
 
 
-def inside_cell(x: str, y: str, right: str, top: str, edges: str, odd: str) -> str:
-    """The same from the edges that meet a cell, and from whether its corner (right, top) is inside (``odd``).
+def _legs(x: str, y: str, right: str, top: str) -> str:
+    """How often the way from (x, y) right to (right, y) and up to (right, top) crosses the edge ``e``, up to parity.
 
-    The way from the point to (right, y) and on to the corner crosses an edge where one of the tests changes. The tests at
-    (right, y) have one form for both legs, so that rounding cannot count an edge on one leg and miss it on the other.
+    It crosses where one of the tests changes. The tests at (right, y) have one form for both legs, so that rounding cannot
+    count an edge on one leg and miss it on the other.
     """
-    legs = f"if({_right_of(x, y)} <> {_right_of(right, y)}, 1L, 0L) + if({_above(right, y)} <> {_above(right, top)}, 1L, 0L)"
-    weight = f"case when {_on_edge(x, y)} then {ON_EDGE}L else {legs} end"
+    return f"if({_right_of(x, y)} <> {_right_of(right, y)}, 1L, 0L) + if({_above(right, y)} <> {_above(right, top)}, 1L, 0L)"
+
+
+def inside_cell(x: str, y: str, right: str, top: str, edges: str, odd: str) -> str:
+    """The same from the edges that meet a cell, and from whether its corner (right, top) is inside (``odd``)."""
+    weight = f"case when {_on_edge(x, y)} then {ON_EDGE}L else {_legs(x, y, right, top)} end"
     start = f"if({odd}, 1L, 0L)"
     return f"aggregate({edges}, {start}, (n, e) -> n + {weight}, n -> n < {ON_EDGE}L and n % 2 = 1)"
 
 
+def odd_in_cell(x: str, y: str, right: str, top: str, edges: str, odd: str) -> str:
+    """Whether an odd number of edges lies to the right of (x, y), a corner inside the cell; on an edge or not."""
+    return f"aggregate({edges}, if({odd}, 1L, 0L), (n, e) -> n + {_legs(x, y, right, top)}, n -> n % 2 = 1)"
+
+
+def odd_from_all(x: str, y: str, edges: str) -> str:
+    """The same from all edges of a member."""
+    return f"aggregate({edges}, 0L, (n, e) -> n + if({_right_of(x, y)}, 1L, 0L), n -> n % 2 = 1)"
+
+
+def meets_box(left: str, bottom: str, right: str, top: str, size: str) -> str:
+    """The edge ``e`` meets a closed box of side ``size``, or comes as near to it as rounding can tell."""
+    corners = [side(x, y) for x in (left, right) for y in (bottom, top)]
+    # Boxes beside the line of the edge do not meet it; the margin is far above any rounding.
+    margin = f"1e-9D * (abs(e.xhi - e.xlo) + abs(e.yhi - e.ylo)) * (abs(e.xlo) + abs(e.ylo) + abs(e.xhi) + abs(e.yhi) + {size})"
+    beside = f"{left_end('e')} <= {right} and {right_end('e')} >= {left} and e.ylo <= {top} and e.yhi >= {bottom}"
+    return f"({beside} and greatest({', '.join(corners)}) >= -({margin}) and least({', '.join(corners)}) <= {margin})"
+
+
 def crossings_left(first: str, last: str, top: str) -> str:
     """The number of the first cell whose right border, at height ``top``, the edge ``e`` is not to the right of.
 

@@ -1,24 +1,41 @@
 """Point-in-polygon join as an equi-join on grid cells.
 
-Every polygon is cut along a grid of its own level: squares with a power of two as side, at most ``cells_across`` of them
-along its extent, however large it is. A cell keeps the edges that meet it and one bit: whether its upper right corner is
-inside. Whether a point is inside follows from that bit and the edges crossed on the way from the point right to the
-border of the cell and up to the corner, all of which meet the cell. A cell without edges is inside or outside as a whole;
-outside ones are not stored. So an edge is stored about as often as there are cells it passes through.
-
-A point has one cell per level in use; a polygon has one level. Each (point, polygon) pair therefore arises once. Sides
-being powers of two, cell numbers and cell borders are exact, and no rounding can part a point from an edge it needs.
-
-Building a join runs jobs: the cover is written once, to be measured, and hot cells are counted.
+Every polygon is cut along a grid of its own level: squares with a power of two as side, a few of them along its extent,
+however large it is. A cell keeps the edges that meet it and one bit: whether its upper right corner is inside. Whether a
+point is inside follows from that bit and the edges crossed on the way from the point right to the border of the cell and
+up to the corner, all of which meet the cell. A cell without edges is inside or outside as a whole; outside ones are not
+stored. A cell with many edges is cut into four of the next level, and these again, so however long a border is, a point
+is tested against a bounded number of its edges (unless more than that meet in one place). The corner bits of the four
+follow from that of the cell and its edges, so cutting is work inside a row.
+
+A point has one cell per level in use, and the cells of a polygon do not overlap. Each (point, polygon) pair therefore
+arises once. Sides being powers of two, cell numbers and cell borders are exact, and no rounding can part a point from an
+edge it needs.
+
+Polygons of few edges, which is nearly all, are cut inside their row: no shuffle, no edge table. Only where there are
+larger ones, these go edge by edge through a shuffle, so that no task holds more than a cell of them.
+
+Building a join runs jobs: the cover is written, to be measured, round by round, and hot cells are counted.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from lettora.functions.geojson import coordinates_text, polygon_members
-from lettora.functions.geometry import crossings_left, inside_cell, left_end, member_edges, right_end, side
+from lettora.functions.geometry import (
+    crossings_left,
+    inside_cell,
+    left_end,
+    meets_box,
+    member_edges,
+    odd_from_all,
+    odd_in_cell,
+    right_end,
+)
 from lettora.functions.text import to_double
 from lettora.operators.columns import quoted
 from lettora.operators.skew import skew_join
@@ -59,8 +76,8 @@ def as_points(df: DataFrame, longitude: str = "longitude", latitude: str = "lati
     return points.where(finite[0] & finite[1])
 
 
-def _edges(polygons: DataFrame, grid: GridSpec) -> DataFrame:
-    """(pid, postcode, side, member, e): an edge per row; ``pid`` tells polygons apart, ``side`` is that of their cells."""
+def _sized(polygons: DataFrame, grid: GridSpec) -> DataFrame:
+    """(postcode, boundary, level, n_edges): finite edges per member, and the level of the first cells."""
     numbers = "array(e.xlo, e.ylo, e.xhi, e.yhi)"
     finite = f"forall({numbers}, v -> v is not null and abs(v) < double('infinity'))"
     boundary = polygons.selectExpr(
@@ -69,34 +86,55 @@ def _edges(polygons: DataFrame, grid: GridSpec) -> DataFrame:
     every = boundary.selectExpr("postcode", "boundary", "flatten(boundary) as every")
     width = f"array_max(transform(every, e -> {right_end('e')})) - array_min(transform(every, e -> {left_end('e')}))"
     height = "array_max(every.yhi) - array_min(every.ylo)"
-    least = float(grid.cell or 0)
-    # Few edges need few cells.
-    across = f"least({int(grid.cells_across)}, greatest(4, n_edges / 8))"
-    level = f"ceil(log2(greatest(extent / {across}, {least!r}D)))"
-    sized = every.selectExpr("postcode", "boundary", f"greatest({width}, {height}) as extent", "size(every) as n_edges")
-    sized = sized.where("extent > 0")
-    numbered = sized.selectExpr("monotonically_increasing_id() as pid", "postcode", "boundary", f"cast({level} as int) as level")
-    members = numbered.selectExpr("pid", "postcode", "level", "posexplode(boundary) as (member, edges)")
-    # Written, as the numbers must not change between the uses below.
-    stored = written(members.selectExpr("pid", "postcode", "level", "member", "explode(edges) as e"), "edges")
-    return stored.withColumn("side", F.expr("pow(2D, level)"))
+    across = f"if(size(every) > {int(grid.edges_in_row)}, {int(grid.cells_across_large)}, {int(grid.cells_across)})"
+    sized = every.selectExpr(
+        "postcode", "boundary", "every", f"greatest({width}, {height}) as extent", "size(every) as n_edges", f"{across} as across"
+    )
+    level = f"cast(ceil(log2(greatest(extent / across, {float(grid.cell or 0)!r}D))) as int)"
+    return sized.where("extent > 0").selectExpr("postcode", "boundary", "every", f"{level} as level", "n_edges")
 
 
-def cover(polygons: DataFrame, grid: GridSpec = GridSpec()) -> DataFrame:
-    """(postcode, members) -> at most one row per polygon and cell: (level, cell_x, cell_y, postcode, whole, rims).
+def _as_cell(keys: list[str], rims: DataFrame) -> DataFrame:
+    """Rows with ``all_rims`` as cells. A cell that no member touches is outside and goes."""
+    whole = "exists(rims, r -> r.odd and size(r.edges) = 0)"
+    kept = rims.selectExpr(*keys, "filter(all_rims, r -> r.odd or size(r.edges) > 0) as rims").where("size(rims) > 0")
+    return kept.selectExpr(*keys, f"{whole} as whole", f"if({whole}, slice(rims, 1, 0), rims) as rims")
 
-    ``whole`` says that the cell lies inside without a test. Otherwise ``rims`` holds, per polygon member whose edges meet
-    the cell, those edges and whether the upper right corner is inside (``odd``).
-    """
-    edges = _edges(polygons, grid)
-    x_from, x_to = f"floor({left_end('e')} / side)", f"floor({right_end('e')} / side)"
+
+def _box(size: str) -> list[str]:
+    return [f"cell_x * {size}", f"cell_y * {size}", f"(cell_x + 1) * {size}", f"(cell_y + 1) * {size}"]
+
+
+_KEYS = ["level", "cell_x", "cell_y", "postcode"]
+
+
+def _cut_in_row(sized: DataFrame) -> DataFrame:
+    """The first cells of polygons, each cut in its row."""
+    ends = sized.withColumn("side", F.expr("pow(2D, level)")).selectExpr(
+        "*",
+        *(f"array_min(transform(every, e -> {low})) as low_{axis}" for axis, low in (("x", left_end("e")), ("y", "e.ylo"))),
+        *(f"array_max(transform(every, e -> {high})) as high_{axis}" for axis, high in (("x", right_end("e")), ("y", "e.yhi"))),
+    )
     # A cell is closed: what lies on its upper or right border meets it as well.
+    rows = ends.selectExpr("*", "explode(sequence(ceil(low_y / side) - 1, floor(high_y / side))) as cell_y")
+    cells = rows.selectExpr("*", "explode(sequence(ceil(low_x / side) - 1, floor(high_x / side))) as cell_x")
+    box = _box("side")
+    odd = odd_from_all(box[2], box[3], "edges")
+    rim = f"named_struct('odd', {odd}, 'edges', filter(edges, e -> {meets_box(*box, 'side')}))"
+    return _as_cell(_KEYS, cells.selectExpr(*_KEYS, f"transform(boundary, edges -> {rim}) as all_rims"))
+
+
+def _cut_by_edges(sized: DataFrame) -> DataFrame:
+    """The first cells of large polygons, cut edge by edge in many tasks."""
+    numbered = sized.selectExpr("monotonically_increasing_id() as pid", "postcode", "boundary", "level")
+    members = numbered.selectExpr("pid", "postcode", "level", "posexplode(boundary) as (member, edges)")
+    # Written, as the numbers must not change between the uses below.
+    stored = written(members.selectExpr("pid", "postcode", "level", "member", "explode(edges) as e"), "edges")
+    edges = stored.withColumn("side", F.expr("pow(2D, level)"))
+    x_from, x_to = f"floor({left_end('e')} / side)", f"floor({right_end('e')} / side)"
     rows = edges.selectExpr("*", "explode(sequence(ceil(e.ylo / side) - 1, floor(e.yhi / side))) as cell_y")
     met = rows.selectExpr("*", f"explode(sequence(ceil({left_end('e')} / side) - 1, {x_to})) as cell_x")
-    corners = [side(f"(cell_x + {i}) * side", f"(cell_y + {j}) * side") for i in (0, 1) for j in (0, 1)]
-    # Cells beside the line of the edge do not meet it; the margin is far above any rounding.
-    margin = "1e-9D * (abs(e.xhi - e.xlo) + abs(e.yhi - e.ylo)) * (abs(e.xlo) + abs(e.ylo) + abs(e.xhi) + abs(e.yhi) + side)"
-    met = met.where(f"greatest({', '.join(corners)}) >= -{margin} and least({', '.join(corners)}) <= {margin}")
+    met = met.where(meets_box(*_box("side"), "side"))
     # Upper borders that an edge crosses, and how many corners on them lie to its left.
     lines = edges.selectExpr("*", "explode(sequence(ceil(e.ylo / side) - 1, ceil(e.yhi / side) - 2)) as cell_y").where(
         "ceil(e.yhi / side) - 1 > ceil(e.ylo / side) - 1"
@@ -117,19 +155,75 @@ def cover(polygons: DataFrame, grid: GridSpec = GridSpec()) -> DataFrame:
     # Dealt by cell, both aggregations work in place.
     dealt = both.repartition("pid", "cell_x", "cell_y")
     rims = dealt.groupBy(*keys, "member").agg(F.max("odd").alias("odd"), F.collect_list("e").alias("edges"))
-    cells = rims.groupBy(*keys).agg(F.collect_list(F.struct("odd", "edges")).alias("rims"))
-    whole = "exists(rims, r -> r.odd and size(r.edges) = 0)"
-    return cells.selectExpr(*keys[2:], "postcode", f"{whole} as whole", f"if({whole}, slice(rims, 1, 0), rims) as rims")
+    return _as_cell(_KEYS, rims.groupBy(*keys).agg(F.collect_list(F.struct("odd", "edges")).alias("all_rims")))
+
+
+def _cut_in_four(cells: DataFrame) -> DataFrame:
+    """Cells of the next level; their corner bits follow from that of the cell they are part of."""
+    quarters = "explode(array(struct(0L as i, 0L as j), struct(0L as i, 1L as j), struct(1L as i, 0L as j), struct(1L as i, 1L as j)))"
+    parts = cells.selectExpr("postcode", "level", "cell_x as old_x", "cell_y as old_y", "rims as old_rims", f"{quarters} as q")
+    parts = parts.selectExpr(
+        "postcode",
+        "level - 1 as level",
+        "2 * old_x + q.i as cell_x",
+        "2 * old_y + q.j as cell_y",
+        "old_rims",
+        "(old_x + 1) * pow(2D, level) as right",
+        "(old_y + 1) * pow(2D, level) as top",
+        "pow(2D, level - 1) as side",
+    )
+    box = _box("side")
+    odd = odd_in_cell(box[2], box[3], "right", "top", "r.edges", "r.odd")
+    rim = f"named_struct('odd', {odd}, 'edges', filter(r.edges, e -> {meets_box(*box, 'side')}))"
+    return _as_cell(_KEYS, parts.selectExpr(*_KEYS, f"transform(old_rims, r -> {rim}) as all_rims"))
+
+
+EDGES_IN_CELL = "aggregate(rims, 0, (n, rim) -> n + size(rim.edges))"
 
 
 def measured_cover(polygons: DataFrame, grid: GridSpec = GridSpec()) -> tuple[DataFrame, int]:
-    """A cover and its estimated size in memory. It is written to the shared folder, so it is computed once."""
-    edges = F.expr("aggregate(rims, 0, (n, rim) -> n + size(rim.edges))")
-    size = Observation()
-    measured = cover(polygons, grid).observe(size, F.count(F.lit(1)).alias("rows"), F.sum(edges).alias("edges"))
-    # Cut in many tasks, stored in few files.
-    cells = written(measured.hint("rebalance"), "cover")
-    return cells, size.get["rows"] * ROW_BYTES + (size.get["edges"] or 0) * EDGE_BYTES
+    """A cover and its estimated size in memory. It is written to the shared folder, so it is computed once.
+
+    (postcode, members) -> at most one row per polygon and cell: (level, cell_x, cell_y, postcode, whole, rims). ``whole``
+    says that the cell lies inside without a test. Otherwise ``rims`` holds, per polygon member whose edges meet the cell,
+    those edges and whether the upper right corner is inside (``odd``).
+    """
+    sizes = Observation()
+    sized = _sized(polygons, grid)
+    seen = sized.observe(sizes, F.count_if(F.col("n_edges") > grid.edges_in_row).alias("large"))
+    small = seen.where(F.col("n_edges") <= grid.edges_in_row)
+    parts, cost = _divided(_cut_in_row(small), grid)
+    if sizes.get["large"]:
+        large, more = _divided(_cut_by_edges(sized.where(F.col("n_edges") > grid.edges_in_row)), grid)
+        parts, cost = parts + large, cost + more
+    return reduce(DataFrame.union, parts), cost
+
+
+def _divided(cells: DataFrame, grid: GridSpec) -> tuple[list[DataFrame], int]:
+    """Written tables of cells of few edges, and their estimated size."""
+    # A cell that would become smaller than it may be stays as it is.
+    crowded = F.expr(f"{EDGES_IN_CELL} > {int(grid.edges_per_cell)} and pow(2D, level - 1) >= {float(grid.cell or 0)!r}D")
+    parts, cost = [], 0
+    for split in range(grid.most_splits + 1):
+        size = Observation()
+        edges = F.expr(EDGES_IN_CELL)
+        last = split == grid.most_splits
+        stays = F.lit(True) if last else ~crowded
+        counts = [F.count_if(stays).alias("rows"), F.sum(F.when(stays, edges)).alias("edges"), F.count_if(~stays).alias("crowded")]
+        # Cut in many tasks, stored in few files.
+        stored = written(cells.observe(size, *counts).hint("rebalance"), "cover")
+        cost += size.get["rows"] * ROW_BYTES + (size.get["edges"] or 0) * EDGE_BYTES
+        if not size.get["crowded"]:
+            parts.append(stored)
+            break
+        parts.append(stored.where(~crowded))
+        # Few rows, costly to cut: dealt by their number, not by their bytes.
+        cells = _cut_in_four(stored.where(crowded).repartition(_tasks(stored)))
+    return parts, cost
+
+
+def cover(polygons: DataFrame, grid: GridSpec = GridSpec()) -> DataFrame:
+    return measured_cover(polygons, grid)[0]
 
 
 def containing_polygons(

@@ -38,14 +38,20 @@ class TextPatterns:
 class GridSpec:
     """How the point-in-polygon join partitions the plane.
 
-    A polygon is cut into about an eighth as many cells along its extent as it has edges, at least 4 and at most
-    ``cells_across``; ``cell``, if given, is the least side of a cell in coordinate units. The polygon side is broadcast only when its measured size is at most ``broadcast_bytes``;
-    above that the join shuffles by cell.
+    A polygon is cut into about ``cells_across`` cells along its extent, and a cell with more than ``edges_per_cell`` edges
+    into four, again and again (``most_splits`` times at most: more edges than that can meet in one point). ``cell``, if
+    given, is the least side of a cell in coordinate units. Polygons of up to ``edges_in_row`` edges are cut where they
+    are, larger ones edge by edge in many tasks, into ``cells_across_large`` cells to begin with. The polygon side is
+    broadcast only when its measured size is at most ``broadcast_bytes``; above that the join shuffles by cell.
     """
 
     cell: float | None = None
     broadcast_bytes: int = 64 * 1024 * 1024
-    cells_across: int = 16
+    cells_across: int = 4
+    edges_per_cell: int = 64
+    edges_in_row: int = 1000
+    cells_across_large: int = 16
+    most_splits: int = 24
 
 
 @dataclass(frozen=True)

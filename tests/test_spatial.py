@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lettora.functions import geojson
 from lettora.functions.geometry import inside_any, member_edges
-from lettora.operators.spatial import as_points, containing_polygons, cover, postcode_polygons
+from lettora.operators.spatial import EDGES_IN_CELL, as_points, containing_polygons, cover, postcode_polygons
 from lettora.params import GridSpec, SkewLimits
 from lettora.sources.files import POSTCODES_SCHEMA
 
@@ -87,9 +87,16 @@ def random_polygon(rng):
     return [[star(cx, cy, 1, 4)]]
 
 
-@pytest.mark.parametrize("cell", [None, 0.25, 0.7, 3.0, 50.0])
-@pytest.mark.parametrize("broadcast_bytes", [0, 1 << 30])
-def test_grid_join_equals_brute_force(spark, cell, broadcast_bytes):
+@pytest.mark.parametrize(
+    "grid",
+    [
+        *({"cell": cell, "broadcast_bytes": size} for cell in (None, 0.25, 0.7, 3.0, 50.0) for size in (0, 1 << 30)),
+        # Cut in four until two edges are left, or a corner is as small as can be; with the first cells cut by edges too.
+        *({"edges_per_cell": 2, "most_splits": 6, "edges_in_row": edges} for edges in (0, 12, 1000)),
+        {"edges_per_cell": 1, "most_splits": 3, "cells_across": 1},
+    ],
+)
+def test_grid_join_equals_brute_force(spark, grid):
     rng = random.Random(7)
     polygons = [(f"p{i}", random_polygon(rng)) for i in range(25)]
     points = [(i, rng.randint(-48, 48) / 4, rng.randint(-48, 48) / 4) for i in range(400)]
@@ -97,7 +104,7 @@ def test_grid_join_equals_brute_force(spark, cell, broadcast_bytes):
     joined = containing_polygons(
         spark.createDataFrame(points, "i int, x double, y double"),
         spark.createDataFrame(polygons, f"postcode string, members {MEMBERS}"),
-        GridSpec(cell, broadcast_bytes),
+        GridSpec(**grid),
         SkewLimits(rows_per_task=3),
     )
     assert sorted((row.i, row.postcode) for row in joined.collect()) == expected
@@ -130,6 +137,45 @@ def test_edges_are_stored_about_once(spark, across):
     assert stored_edges(spark, [[ring]], GridSpec(cells_across=across)) <= 3 * len(ring) + 8 * across
 
 
+def coast(n):
+    """A ring of about ``n`` edges that runs to and fro, by steps as long as its edges."""
+    import math
+
+    rng, radius, ring = random.Random(n), 1.0, []
+    for k in range(n):
+        radius += 12 / n * rng.uniform(-1, 1) + 0.01 * (1 - radius)
+        ring.append([radius * math.cos(2 * math.pi * k / n), radius * math.sin(2 * math.pi * k / n)])
+    return [ring]
+
+
+def test_edges_in_a_cell_do_not_grow_with_the_polygon(spark):
+    most, stored = {}, {}
+    for n in (5_000, 20_000, 80_000):
+        polygons = spark.createDataFrame([("a", [coast(n)])], f"postcode string, members {MEMBERS}")
+        cells = cover(polygons).selectExpr(f"{EDGES_IN_CELL} as n", "whole")
+        most[n], stored[n] = cells.selectExpr("max(n)", "sum(n)").first()
+    assert max(most.values()) <= GridSpec().edges_per_cell
+    assert max(stored[n] / n for n in stored) < 4
+
+
+def test_divided_cells_equal_brute_force(spark):
+    rng = random.Random(2)
+    ring = coast(3000)[0]
+    points = [(i, rng.uniform(-1.3, 1.3), rng.uniform(-1.3, 1.3)) for i in range(150)] + [(900 + i, *ring[i]) for i in range(20)]
+    polygons = spark.createDataFrame([("a", [[ring]])], f"postcode string, members {MEMBERS}")
+    found = containing_polygons(spark.createDataFrame(points, "i int, x double, y double"), polygons)
+    assert sorted(r.i for r in found.collect()) == [i for i, x, y in points if exact_inside(x, y, [[ring]])]
+
+
+def test_many_edges_in_one_point_end(spark):
+    """More edges than a cell may have meet in a corner: cutting stops."""
+    spokes = [p for k in range(100) for p in ([0.5, 0.5], [k / 100, 1.0], [(k + 0.5) / 100, 1.0])] + [[0.5, 0.5]]
+    polygons = spark.createDataFrame([("a", [[spokes]])], f"postcode string, members {MEMBERS}")
+    points = [(i, (i + 0.25) / 200, 0.99) for i in range(200)]
+    found = containing_polygons(spark.createDataFrame(points, "i int, x double, y double"), polygons, GridSpec(most_splits=4))
+    assert sorted(r.i for r in found.collect()) == [i for i, x, y in points if exact_inside(x, y, [[spokes]])]
+
+
 def test_large_and_small_polygons_have_bounded_covers(spark):
     square = lambda x, y, size: [[[x + a * size, y + b * size] for a, b in SQUARE]]
     small = [(f"s{i}", [square(i % 40, i // 40, 0.01)]) for i in range(1000)]
