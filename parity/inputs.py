@@ -60,6 +60,14 @@ RENTAL_ARRAYS = {
 }
 SPARK_EMPTY, SQL_EMPTY = "slice(split('', ';'), 1, 0)", "[]::varchar[]"
 
+# Prices of all magnitudes, a group of one kind each, and groups of all kinds.
+TINY = {
+    "postalcode4": "cast(1000 + case when o_orderkey % 3 = 0 then 7 else o_orderkey % 7 end + 10 * (o_custkey % 40) as varchar(10))",
+    "price": "case o_orderkey % 7 when 0 then '0.0049999999' when 1 then '0.005' when 2 then '123456789012.5' "
+    "when 3 then concat(cast(o_custkey as varchar(20)), '.0050000001') when 4 then '0.00000000000123' "
+    "when 5 then concat('0.00499999999', cast(o_custkey % 10 as varchar(1))) else '0.015' end",
+}
+
 # Shape of the area of customer c, by c % 8; for 7 it is a point, which is no area.
 #   0, 4: diamond of radius 0.5   1, 5: the same with a diamond hole of radius 0.2
 #   2, 6: two boxes               3: diamond of radius 1.2, which reaches into the neighbouring squares

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from parity.inputs import DAMAGED, SQL_ANY_RENTALS, SQL_AREAS, SQL_LISTINGS, SQL_RENTALS, SQL_RENTALS_ARRAYS, sql_inside
+from parity.inputs import DAMAGED, TINY, SQL_ANY_RENTALS, SQL_AREAS, SQL_LISTINGS, SQL_RENTALS, SQL_RENTALS_ARRAYS, sql_inside
 
 
 def _formatted(code: str) -> str:
@@ -255,6 +255,13 @@ ORACLE: dict[str, str] = {
     "gold_comparison_other_economics": f"{_gold('0.7', 360, 11)} select * from comparison",
     "raw_files_to_gold": f"{GOLD} select * from comparison",
     "raw_files_to_gold_options": f"{OPTIONS} select * from comparison",
+    # In whole 10^-14ths, rounded half up to hundredths: 10^12 of them.
+    "gold_exact_tiny": f"""with tiny as (select {TINY['postalcode4']} as postalcode4, {TINY['price']} as price from orders),
+        units as (select postalcode4, cast(split_part(price, '.', 1) as hugeint) * 100000000000000
+          + cast(rpad(split_part(price, '.', 2), 14, '0') as hugeint) as u from tiny),
+        sums as (select postalcode4, cast(sum(u) as hugeint) as u, count(*) as n from units group by 1)
+        select postalcode4, cast((2 * u + n * cast(1000000000000 as hugeint)) // (2 * n * cast(1000000000000 as hugeint)) as double)
+          / 100 as avg_nightly_price, n as airbnb_listing_count from sums""",
     "rentals_any_fields": ANY_FIELDS,
     "jobs_default_ingest": DEFAULT_INGEST,
     "exploded_in_pieces": f"""{WITH} select order_id, line_no, "crawledAt", "firstSeenAt" from exploded""",

@@ -322,6 +322,17 @@ def gold_short_term_extremes(spark: SparkSession, folder: str) -> DataFrame:
     return summary.withColumn("not_a_number", F.coalesce(nan, F.lit(False))).withColumns(shown)
 
 
+@query
+def gold_exact_tiny(spark: SparkSession, folder: str) -> DataFrame:
+    """Prices just below and above a rounding tie, among prices of other magnitudes: averaged to the last digit."""
+    listings = inputs.read(spark, folder, "orders").select(
+        F.expr(inputs.TINY["postalcode4"]).alias("postalcode4"),
+        F.expr(inputs.TINY["price"]).cast("double").alias("price"),
+        *(F.lit(None).cast("double").alias(name) for name in ("review_scores_value", "bedrooms")),
+    )
+    return gold_short_term(listings).select("postalcode4", "avg_nightly_price", "airbnb_listing_count")
+
+
 @query
 def gold_long_term_summary(spark: SparkSession, folder: str) -> DataFrame:
     return gold_long_term(silver_rentals(inputs.rentals(spark, folder)))

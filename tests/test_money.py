@@ -1,4 +1,5 @@
 import math
+import random
 from decimal import Decimal
 
 import pytest
@@ -15,6 +16,31 @@ def test_mean_rounds_half_up_and_skips_null(spark):
     assert rows.agg(money.mean(F.col("v"), 1).alias("m")).first().m == 0.3
 
 
+def exact_mean(numbers, digits):
+    """Of the decimals that the numbers are written as, half away from zero."""
+    from fractions import Fraction
+
+    total = sum((Fraction(repr(number)) for number in numbers), Fraction(0)) / len(numbers)
+    scaled = abs(total) * 10**digits
+    return math.copysign(float(Fraction(math.floor(scaled + Fraction(1, 2)), 10**digits)), total)
+
+
+def test_mean_is_exact(spark):
+    rng = random.Random(8)
+    groups = [[0.0049999999], [0.0049999999, 0.0050000001], [0.005], [-0.005], [1e21, -1e21, 0.005], [0.0], [-0.0, 0.0]]
+    groups += [[123456789012.5, 0.0049999999, 1e-12, -123456789012.5], [1e-20, 0.005], [-1e-20, 0.005], [-1e-20, -0.005], [1e-15, 0.01, 0.0]]
+    for _ in range(150):
+        size = rng.randint(1, 7)
+        # Up to 15 digits: beyond that, Java may write a double with a digit more than it needs.
+        groups.append([float(f"{rng.choice([-1, 1, 1]) * rng.randrange(10 ** rng.randint(1, 15))}e{rng.randint(-22, 0)}") for _ in range(size)])
+        groups.append([rng.choice([0.005, 0.015, 0.025, -0.005, 0.0049999999999, 1e-19, 3e-12]) for _ in range(size)])
+    rows = [(g, float(v)) for g, group in enumerate(groups) for v in group]
+    df = spark.createDataFrame(rows, "g int, v double")
+    found = {r.g: (r.two, r.one, r.none) for r in df.groupBy("g").agg(*(money.mean(F.col("v"), d).alias(n) for d, n in ((2, "two"), (1, "one"), (0, "none")))).collect()}
+    for g, group in enumerate(groups):
+        assert found[g] == tuple(exact_mean(group, d) for d in (2, 1, 0)), group
+
+
 def test_mean_does_not_depend_on_order(spark):
     numbers = [0.1 * i for i in range(1, 2000)]
     means = {
