@@ -25,6 +25,7 @@ from lettora.sources.files import (
     read_json_lines,
 )
 from lettora.sources.shared import cleaned
+from lettora.sources.splits import read_csv_records, read_geojson_split
 from lettora.sources.variants import read_json_any
 
 
@@ -39,18 +40,35 @@ def ingest_rentals(spark: SparkSession, path: str, table: str, schema: StructTyp
         return overwrite_table(rentals, table, checks={"corrupt_rows": F.count(F.col(CORRUPT))})
 
 
-def ingest_listings(spark: SparkSession, path: str, table: str, schema: StructType | None = None) -> WriteMetrics:
-    """Rows with too few or too many fields keep their text in ``_corrupt_record`` and are counted."""
-    return overwrite_table(read_csv(spark, path, schema, CORRUPT), table, checks={"corrupt_rows": F.count(F.col(CORRUPT))})
+def ingest_listings(
+    spark: SparkSession, path: str, table: str, schema: StructType | None = None, line_breaks: bool = False
+) -> WriteMetrics:
+    """Rows with too few or too many fields keep their text in ``_corrupt_record`` and are counted.
+
+    ``line_breaks`` says that quoted texts may hold some (``read_csv_records``, which reads the file twice).
+    """
+    listings = (read_csv_records if line_breaks else read_csv)(spark, path, schema, CORRUPT)
+    return overwrite_table(listings, table, checks={"corrupt_rows": F.count(F.col(CORRUPT))})
 
 
 def ingest_postcodes(
-    spark: SparkSession, path: str, table: str, schema: StructType | None = POSTCODES_SCHEMA, lines: bool = False
+    spark: SparkSession,
+    path: str,
+    table: str,
+    schema: StructType | None = POSTCODES_SCHEMA,
+    lines: bool = False,
+    split: bool = False,
 ) -> WriteMetrics:
-    """All properties are kept. ``lines`` reads one feature per line. Features are counted, and those of unreadable shape."""
-    collections = read_geojson_lines(spark, path) if lines else read_geojson(spark, path, schema)
+    """All properties are kept. Features are counted, and those of unreadable shape.
+
+    ``lines`` reads one feature per line; ``split`` reads a large collection by byte ranges in many tasks.
+    """
+    if lines or split:
+        collections = (read_geojson_lines if lines else read_geojson_split)(spark, path)
+    else:
+        collections = read_geojson(spark, path, schema)
     checks = {"features": F.sum(F.size("features"))}
-    if lines or schema is POSTCODES_SCHEMA:
+    if lines or split or schema is POSTCODES_SCHEMA:
         checks["unreadable_features"] = F.sum(unreadable_features("features"))
     return overwrite_table(collections, table, checks=checks)
 

@@ -217,6 +217,24 @@ def listings_csv(spark: SparkSession, folder: str) -> str:
     return path_once(spark, folder, "listings_csv", writer.csv)
 
 
+def listings_csv_with_breaks(spark: SparkSession, folder: str) -> str:
+    """``host_note`` with line breaks and quotes, as listing files have them; texts are quoted, quotes doubled."""
+    note = F.expr("case listing_id % 4 when 0 then concat(host_note, '\n', '\"cosy\", 2 rooms') when 1 then '\n\n' else host_note end")
+    rows = listings(spark, folder).withColumn("host_note", note)
+    writer = rows.write.option("header", True).option("escape", '"').option("quoteAll", True)
+    writer = writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+    return path_once(spark, folder, "listings_breaks_csv", writer.csv)
+
+
+def geojson_file(spark: SparkSession, folder: str) -> str:
+    """All areas as one collection in one file."""
+    rows = area_features(spark, folder).select("owner", F.concat(F.lit(", "), _feature("\n")).alias("value"))
+    head, first, end = '{"type": "FeatureCollection", "features": [', '{"type": "note", "text": "} not [an area"}', "]}"
+    ends = spark.createDataFrame([(-1, head + first), (2**62, end)], "owner long, value string")
+    whole = rows.withColumn("owner", F.col("owner").cast("long")).union(ends).coalesce(1).sortWithinPartitions("owner").select("value")
+    return path_once(spark, folder, "geojson_file", whole.write.text)
+
+
 def rentals_json(spark: SparkSession, folder: str) -> str:
     return path_once(spark, folder, "rentals_json", lambda path: rentals(spark, folder).write.json(path))
 

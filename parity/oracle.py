@@ -212,6 +212,12 @@ ORACLE: dict[str, str] = {
     "geojson_polygons": f"""{WITH} select postcode, members, cast(5 as integer) as ring_size,
         round(mid_x + cast(dx as double), 6) as x, round(mid_y + cast(dy as double), 6) as y
         from areas join {_corners()} using (kind)""",
+    "geojson_one_file": f"""{WITH} select postcode, members, cast(5 as integer) as ring_size,
+        round(mid_x + cast(dx as double), 6) as x, round(mid_y + cast(dy as double), 6) as y
+        from areas join {_corners()} using (kind)""",
+    "csv_line_breaks": f"""{WITH} select listing_id::varchar as listing_id, nullif(zipcode, '') as zipcode, price,
+        case listing_id % 4 when 0 then host_note || chr(10) || '"cosy", 2 rooms' when 1 then chr(10) || chr(10)
+          else host_note end as host_note, false as corrupt from listings""",
     "geojson_inferred_schema": f"""{WITH} select postcode,
         case kind when 'boxes' then 'MultiPolygon' when 'point' then 'Point' else 'Polygon' end as kind,
         cast(case when kind = 'point' then null when kind in ('boxes', 'ring') then 10 else 5 end as integer) as positions

@@ -33,6 +33,7 @@ from lettora.plans.silver import silver_listings, silver_rentals
 from lettora.sinks.tables import WriteMetrics, overwrite_table
 from lettora.sources.files import CORRUPT, LISTINGS_SCHEMA, read_csv, read_geojson, read_geojson_lines, read_json_lines
 from lettora.sources.shared import fresh_path, written
+from lettora.sources.splits import read_csv_records, read_geojson_split
 from lettora.sources.variants import read_json_any
 from parity import inputs
 
@@ -184,6 +185,30 @@ def geojson_polygons(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def geojson_one_file(spark: SparkSession, folder: str) -> DataFrame:
+    """``geojson_polygons`` from one file of all areas, read in byte ranges."""
+    with _small_ranges(spark):
+        areas = postcode_polygons(read_geojson_split(spark, inputs.geojson_file(spark, folder)))
+        rings = areas.select("postcode", F.size("members").alias("members"), F.explode(F.flatten("members")).alias("ring"))
+        positions = rings.select("postcode", "members", F.size("ring").alias("ring_size"), F.explode("ring").alias("at"))
+        at = [F.round(F.col("at")[axis], 6).alias(name) for axis, name in enumerate(("x", "y"))]
+        return written(positions.select("postcode", "members", "ring_size", *at), "positions")
+
+
+@contextmanager
+def _small_ranges(spark: SparkSession) -> Iterator[None]:
+    """Byte ranges of 64 kB, so that files of the smallest tables have several."""
+    names = {"spark.sql.files.maxPartitionBytes": 65536, "spark.sql.files.openCostInBytes": 1}
+    for name, value in names.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name in names:
+            spark.conf.unset(name)
+
+
 @query
 def geojson_lines(spark: SparkSession, folder: str) -> DataFrame:
     """Areas read as one feature per line: corners of the bounding box of each."""
@@ -402,6 +427,14 @@ def csv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     return read_csv(spark, inputs.listings_csv(spark, folder))
 
 
+@query
+def csv_line_breaks(spark: SparkSession, folder: str) -> DataFrame:
+    """Listings with line breaks and quotes in a text, read in byte ranges. No record is corrupt."""
+    with _small_ranges(spark):
+        rows = read_csv_records(spark, inputs.listings_csv_with_breaks(spark, folder), LISTINGS_SCHEMA, CORRUPT)
+        return written(rows.select("listing_id", "zipcode", "price", "host_note", F.col(CORRUPT).isNotNull().alias("corrupt")), "breaks")
+
+
 @query
 def json_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     return read_json_lines(spark, inputs.rentals_json(spark, folder), _rentals_schema())
