@@ -1,14 +1,15 @@
 """Main text of web pages by composite text density.
 
-A page is read into a tree of its block elements; inline tags are transparent, links are counted. For every node the
-density is its characters per tag, weighed down by its share of link characters. The node whose children's densities
-have the largest sum is the heart of the article; the smallest density on its way up to the body is the threshold, and
-every node that reaches it adds the best subtree below it. An ``h1`` without links is always added.
+A page is read into a tree of its block elements; inline tags are transparent, links are counted. For every node of every
+page the density is its characters per tag, weighed down by its share of link characters. The node whose children's
+densities have the largest sum is the heart of the page, and is returned with its sum. If it is part of an ``article`` or
+``main``, or if the page has only one such element with text, all of that is main text: nothing of an article is cut by
+its own density. Else the smallest density on its way up to the body is the threshold, every node that reaches it adds
+the best subtree below it, and an ``h1`` without links is added.
 
 Elements that never are main text (menus, footers, scripts, forms, ...), by tag or by class, id or role, are left out
 beforehand, unless they hold the page's ``article`` or ``main``, or are noise by name only and hold most of the text or
-the title and most of the paragraphs. Where exactly one such element has text, all of it is
-main text, whatever its density.
+the title and most of the paragraphs.
 
 Defined cases: a NULL or empty html, or a page without main text, gives an empty text. Unclosed and misnested tags are
 closed as a browser would; a tag without end is text up to the last ``>``. Rows that repeat a ``page_id``, or have none,
@@ -20,13 +21,14 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 from html import unescape
 from math import e, log
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StringType, StructType
+from pyspark.sql.types import DoubleType, LongType, StringType, StructType
 
 from lettora.llm.tables import map_batches
 
@@ -295,71 +297,114 @@ def _summed(nodes: list[Node]) -> float:
     return link_chars / chars if chars else 0.0
 
 
-def _scope(nodes: list[Node]) -> Node:
+@dataclass(frozen=True)
+class Choice:
+    """The subtree of the largest sum of densities: the tags on the way to it, and that sum."""
+
+    path: str
+    total: float
+
+
+def densest(kept: list[Node], page_links: float) -> Node:
+    """Set densities and their sums of all nodes; the subtree with the largest sum, the first in page order of several."""
+    children: dict[Node, list[Node]] = {node: [] for node in kept}
+    for node in kept:
+        node.density = density(node.chars, node.tags, node.link_chars, node.link_tags, page_links)
+        if node.parent is not None:
+            children[node.parent].append(node)
+    for node in reversed(kept):
+        below = children[node]
+        node.total = sum(child.density for child in below) if below else node.density
+        node.best = max([node, *(child.best for child in below)], key=lambda n: n.total)
+    return kept[0].best
+
+
+def _around(node: Node | None) -> Iterator[Node]:
+    while node is not None:
+        yield node
+        node = node.parent
+
+
+def _whole_of(best: Node, kept: list[Node]) -> Node | None:
+    """The ``main`` or ``article`` that the chosen subtree is part of, or else the only one with text on the page."""
     for tag in ("main", "article"):
-        named = [node for node in nodes if node.tag == tag and not node.noise and node.chars]
+        around = [node for node in _around(best) if node.tag == tag]
+        if around:
+            return around[-1]
+    for tag in ("main", "article"):
+        named = [node for node in kept if node.tag == tag and node.chars]
         if len(named) == 1:
             return named[0]
-    return nodes[0]
+    return None
+
 
+def mark_content(nodes: list[Node]) -> Choice:
+    """Mark what is content: the subtree that density chooses, with all of the article it is part of.
 
-def mark_content(nodes: list[Node]) -> None:
+    Nothing of an ``article`` or ``main`` is cut by its own density, so short sections stay. Without one around the chosen
+    subtree, other subtrees join it that are as dense as the thinnest node on the way to it.
+    """
     page_links = _summed(nodes)
-    scope = _scope(nodes)
     kept = [node for node in nodes if not node.noise]
-    if scope is nodes[0]:
-        _mark_dense(kept, scope, page_links)
+    if not kept:
+        return Choice("", 0.0)
+    best = densest(kept, page_links)
+    whole = _whole_of(best, kept)
+    if whole is None:
+        _mark_dense(kept)
     else:
-        scope.content = True
+        whole.content = True
     for node in kept:
         if node.parent is not None and node.parent.content:
             node.content = True
+    return Choice("/".join(node.tag for node in reversed(list(_around(best)))), best.total)
 
 
-def _mark_dense(kept: list[Node], scope: Node, page_links: float) -> None:
-    """Mark the subtrees that the density chooses, and titles beside them."""
+def _mark_dense(kept: list[Node]) -> None:
+    """Mark the subtrees as dense as the way to the chosen one, and titles beside them."""
+    root = kept[0]
     children: dict[Node, list[Node]] = {node: [] for node in kept}
-    for node in kept:
-        node.density = density(node.chars, node.tags, node.link_chars, node.link_tags, page_links)
-        if node.parent is not None:
-            children[node.parent].append(node)
-    for node in reversed(kept):
-        below = children[node]
-        node.total = sum(child.density for child in below) if below else node.density
-        node.best = max([node, *(child.best for child in below)], key=lambda n: n.total)
-    threshold, node = scope.density, scope.best
-    while node is not scope:
+    for node in kept[1:]:
+        children[node.parent].append(node)
+    threshold, node = root.density, root.best
+    while node is not root:
         threshold, node = min(threshold, node.density), node.parent
-    todo = [scope]
+    todo = [root]
     while todo:
         node = todo.pop()
         if node.density >= threshold:
             node.best.content = True
             todo += children[node]
-    if not scope.best.total:
-        scope.content = True
+    if not root.best.total:
+        root.content = True
     for node in kept:
         if node.tag == "h1" and not node.link_chars:
             node.content = True
 
 
-def main_text(html: str | None) -> str:
+def extract(html: str | None) -> tuple[str, Choice]:
+    """The main text, and the subtree that density has chosen."""
     if not html:
-        return ""
+        return "", Choice("", 0.0)
     nodes, runs = parse(html)
-    mark_content(nodes)
+    choice = mark_content(nodes)
     blocks = (" ".join("".join(parts).split()) for node, parts in runs if node.content and not node.noise)
-    return "\n".join(block for block in blocks if block)
+    return "\n".join(block for block in blocks if block), choice
+
+
+def main_text(html: str | None) -> str:
+    return extract(html)[0]
 
 
 def _text_rows(batch: pa.RecordBatch) -> Iterator[tuple]:
-    found = [main_text(html.as_py()) for html in batch.column(2)]
-    yield batch.column(0), batch.column(1), found, [len(text) for text in found]
+    found = [extract(html.as_py()) for html in batch.column(2)]
+    texts = [text for text, _ in found]
+    yield batch.column(0), batch.column(1), texts, [len(t) for t in texts], [c.path for _, c in found], [c.total for _, c in found]
 
 
 def extract_text(pages: DataFrame) -> DataFrame:
-    """``page_id``, ``url``, ``text`` and ``n_chars``, its code points."""
+    """``page_id``, ``url``, ``text``, ``n_chars`` (its code points), and the path and density sum of the chosen subtree."""
     schema = StructType().add("page_id", LongType()).add("url", StringType())
-    schema.add("text", StringType()).add("n_chars", LongType())
+    schema.add("text", StringType()).add("n_chars", LongType()).add("chosen", StringType()).add("density", DoubleType())
     slim = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string"), F.col("html").cast("string"))
     return map_batches(slim, _text_rows, schema)

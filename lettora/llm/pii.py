@@ -9,7 +9,8 @@ links, not n * n.
 
 The field is fitted here, by pseudolikelihood, on pattern matches. The patterns run over all whole texts first; one half of
 ``CrfSpec.fit_documents`` is a hashed sample of the documents with a match, as many are taken of those without. Of each at
-most ``fit_words`` words count, around matches and by hash. Patterns are never inputs of a word's features.
+most ``fit_words`` words count, around matches and by hash. Patterns are never inputs of a word's features. What a skip
+link is worth is learned from words whose label is hidden and has to come over the link (``link_weight``).
 Words inside a pattern's match are fixed to its kind, so base spans stay as they are.
 
 Defined cases: a NULL or empty text has no spans. Rows that repeat a ``doc_id``, or have none, are read one by one.
@@ -355,8 +356,31 @@ def fit_field(graphs: list[tuple[Graph, np.ndarray]], spec: CrfSpec) -> Field:
         emit = emit + rate * (features.T @ error - cost * emit)
         move = move + rate * (d_move - cost * move)
         agree = np.maximum(agree + rate * (d_agree - cost * agree), 0)
-    # Few documents repeat an entity, so links are at least worth what tells an entity from none.
-    return Field(emit, move, np.maximum(agree, 2 * np.abs(emit[0]).max() + np.abs(move).max() + 2))
+    field = Field(emit, move, agree)
+    return Field(emit, move, np.append(np.full(NONE, link_weight(field, features, known, spec)), 0.0))
+
+
+def link_weight(field: Field, features: np.ndarray, known: np.ndarray, spec: CrfSpec) -> float:
+    """What a link to an entity is worth: the most probable value given words whose own label is hidden.
+
+    Where patterns find both ends of a link, their features alone tell the labels, and a link learns next to nothing. But
+    a repetition that patterns miss looks like a word that is none. So each word of an entity is linked to a word of that
+    look, whose label has to come over the link. One weight serves all kinds, as few documents repeat one of each.
+    """
+    entities, others = np.flatnonzero(known != NONE), np.flatnonzero(known == NONE)
+    if not len(entities):
+        return 0.0
+    hidden = features[others[np.arange(len(entities)) % len(others)]] if len(others) else np.eye(N_FEATURES)[:1].repeat(len(entities), 0)
+    score = field.unary(Graph([], hidden, np.zeros((0, 2), np.int64), np.zeros((0, 2), np.int64), np.full(len(entities), 2)))
+    at = np.arange(len(entities)), known[entities]
+    cost, weight = spec.penalty / 100, 0.0
+    for _ in range(100):  # the likelihood is concave in one number: Newton's method
+        moved = score.copy()
+        moved[at] += weight
+        p = np.exp(_normal(moved))[at]
+        slope, bend = (1 - p).mean() - cost * weight, (p * (1 - p)).mean() + cost
+        weight += float(np.clip(slope / bend, -1, 1))
+    return max(weight, 0.0)
 
 
 def _entity(text: str, kind: int) -> bool:

@@ -2,13 +2,13 @@
 
 Terms of a document are its words, the shapes of its words (capitals, letters, digits and marks, runs shortened) and,
 where one word in eight or more repeats the one before, terms for that, hashed into ``bins``. Weighted by log frequency and rarity, the terms of a bounded sample of
-labelled documents (``KnnSpec.fit_rows``) are reduced to ``dimensions`` by a truncated singular value decomposition. The
+labelled documents (``KnnSpec.fit_rows``, half of either label where there are enough) are reduced to ``dimensions`` by a truncated singular value decomposition. The
 projection and the labelled vectors, whose size these parameters bound, go to all tasks. Every document is projected,
 its cosines with all labelled vectors are computed exactly, block by block, and the ``neighbours`` nearest vote with the
-weight of their similarity. Nothing is shuffled.
+weight of their similarity, and of how many documents of its label each stands for. No text is shuffled.
 
 Defined cases: a text without known terms (NULL and empty ones too) scores the share of good labels. Rows that repeat a
-``doc_id``, or have none, are scored one by one. Contradicting labels both vote. Without labels every score is 0.5. Ties
+``doc_id``, or have none, are scored one by one. Contradicting labels both vote. Labels of documents that are not there do not count. Without labels every score is 0.5. Ties
 between neighbours are settled by their order in the sample, which is that of a hash. Texts are read whole; an empty
 table gives an empty result.
 """
@@ -19,6 +19,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 from zlib import crc32
 
 import numpy as np
@@ -28,6 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, FloatType, IntegerType, LongType, StructType
 
 from lettora.llm.tables import map_batches
+from lettora.sources.shared import written
 
 
 @dataclass(frozen=True)
@@ -76,6 +78,7 @@ class Space:
     vectors: np.ndarray
     labels: np.ndarray
     spec: KnnSpec
+    importance: np.ndarray
 
     def vector(self, counts: dict[int, float]) -> np.ndarray:
         bins = np.fromiter(counts, np.int64, len(counts))
@@ -88,20 +91,23 @@ class Space:
         """Weighted share of good labels among the nearest; rows of zeros get the share in the sample."""
         lengths = np.linalg.norm(vectors, axis=1, keepdims=True)
         units = vectors / np.maximum(lengths, 1e-12)
-        out = np.full(len(vectors), self.labels.mean() if len(self.labels) else 0.5)
+        out = np.full(len(vectors), np.average(self.labels, weights=self.importance) if len(self.labels) else 0.5)
         k = min(self.spec.neighbours, len(self.labels))
         for at in range(0, len(vectors) if k else 0, self.spec.block_rows):
             cosines = units[at : at + self.spec.block_rows] @ self.vectors.T
             nearest = np.sort(np.argpartition(-cosines, k - 1, axis=1)[:, :k], axis=1)
             weights = np.maximum(np.take_along_axis(cosines, nearest, axis=1), 0).astype(np.float64) ** self.spec.sharpness
+            weights *= self.importance[nearest]
             total = weights.sum(axis=1)
             vote = (weights * self.labels[nearest]).sum(axis=1) / np.maximum(total, 1e-300)
             out[at : at + len(cosines)] = np.where((total > 0) & (lengths[at : at + len(cosines), 0] > 0), vote, out[at : at + len(cosines)])
         return np.clip(out, 0.0, 1.0)
 
 
-def fit_space(rows: list[dict[int, float]], labels: np.ndarray, spec: KnnSpec) -> Space:
-    """Randomised truncated decomposition of the weighted sample."""
+def fit_space(
+    rows: list[dict[int, float]], labels: np.ndarray, spec: KnnSpec, importance: np.ndarray | None = None
+) -> Space:
+    """Randomised truncated decomposition of the weighted sample. ``importance`` is what a vote of each row counts."""
     documents = Counter(b for counts in rows for b in counts)
     frequent = [(-n, b) for b, n in documents.items() if n >= min(spec.min_documents, len(rows))]
     chosen = [b for _, b in sorted(frequent)[: spec.max_terms]]
@@ -126,7 +132,8 @@ def fit_space(rows: list[dict[int, float]], labels: np.ndarray, spec: KnnSpec) -
     project = (rarity[:, None] * basis).astype(np.float32)
     vectors = matrix @ basis
     vectors /= np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-12)
-    return Space(column, project, vectors.astype(np.float32), labels.astype(np.float64), spec)
+    importance = np.ones(len(rows)) if importance is None else importance
+    return Space(column, project, vectors.astype(np.float32), labels.astype(np.float64), spec, importance)
 
 
 # --- documents --------------------------------------------------------------------------------------------------------
@@ -146,17 +153,32 @@ def held_out(doc_id: Column | str) -> Column:
 
 
 def fitted_space(documents: DataFrame, labels: DataFrame, spec: KnnSpec = KnnSpec()) -> Space:
-    """From at most ``fit_rows`` labelled rows that are not held out, chosen by hash."""
+    """From at most ``fit_rows`` labelled documents that are not held out, chosen by hash.
+
+    Only labels of documents that there are count. Half of the sample is of either kind, as far as there are enough, so
+    that a rare kind is in it; votes are weighed by how many documents of their kind one of the sample stands for.
+    """
     marks = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality"))
     marks = marks.where(F.col("quality").isin(0, 1) & ~held_out("doc_id")).withColumn("order", F.xxhash64("doc_id"))
-    # At most fit_rows rows of three numbers each: safe to send to all tasks.
-    chosen = F.broadcast(marks.orderBy("order", "quality").limit(spec.fit_rows))
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("raw"))
-    # Texts are reduced to terms where they lie. Rows that repeat a doc_id vote each, up to the same bound.
+    marks = written(marks.join(texts.select("doc_id").distinct(), "doc_id", "left_semi"), "labelled")
+    counts = {row.quality: row.n for row in marks.groupBy("quality").agg(F.count(F.lit(1)).alias("n")).collect()}
+    half = spec.fit_rows // 2
+    wanted = {kind: min(n, max(half, spec.fit_rows - counts.get(1 - kind, 0))) for kind, n in counts.items()}
+    parts = [marks.where(F.col("quality") == kind).orderBy("order", "doc_id").limit(n) for kind, n in sorted(wanted.items())]
+    if not parts:
+        return fit_space([], np.zeros(0), spec)
+    # At most fit_rows rows of three numbers each: safe to send to all tasks.
+    chosen = F.broadcast(reduce(DataFrame.union, parts))
+    # Texts are reduced to terms where they lie. Rows that repeat a doc_id vote each, up to the same bound per kind.
     rows = texts.join(chosen, "doc_id").select("quality", "order", "raw")
-    terms = map_batches(rows, _term_rows, _TERMS, spec.bins).orderBy("order", "quality", "bins", "counts")
-    terms = terms.limit(spec.fit_rows).collect()
-    return fit_space([dict(zip(r.bins, r.counts)) for r in terms], np.array([r.quality for r in terms]), spec)
+    terms = written(map_batches(rows, _term_rows, _TERMS, spec.bins), "terms")
+    found = []
+    for kind, n in sorted(wanted.items()):
+        mine = terms.where(F.col("quality") == kind).orderBy("order", "bins", "counts").limit(n).collect()
+        found += [(row, counts[kind] / len(mine)) for row in mine]
+    sample = [dict(zip(row.bins, row.counts)) for row, _ in found]
+    return fit_space(sample, np.array([row.quality for row, _ in found]), spec, np.array([n for _, n in found]))
 
 
 def _score_rows(batch: pa.RecordBatch, space: Space) -> Iterator[tuple]:

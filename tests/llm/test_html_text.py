@@ -5,6 +5,7 @@ import re
 
 import pytest
 
+from lettora.llm import html_text
 from lettora.llm.html_text import density, extract_text, main_text
 from lettora.llm.queries import op6_html_text
 
@@ -107,7 +108,74 @@ def test_density():
 def test_odd_rows(spark):
     rows = [(1, None, None), (1, None, None), (None, "u", f"<p>{LONG}</p>"), (2, "v", "")]
     pages = spark.createDataFrame([(*r, 7, "t") for r in rows], "page_id long, url string, html string, n_chars int, text string")
-    assert sorted((tuple(r) for r in extract_text(pages).collect()), key=repr) == sorted(
+    assert sorted((tuple(r)[:4] for r in extract_text(pages).collect()), key=repr) == sorted(
         [(1, None, "", 0), (1, None, "", 0), (None, "u", LONG, len(LONG)), (2, "v", "", 0)], key=repr
     )
     assert extract_text(pages.limit(0)).count() == 0
+
+
+def within(node, top):
+    while node is not None and node is not top:
+        node = node.parent
+    return node is top
+
+
+def chosen_by_definition(html):
+    """The subtree of the largest sum of densities, counts of every subtree added up anew; in page order the first."""
+    nodes, _ = html_text.parse(html)
+    own = {node: (node.chars, node.tags, node.link_chars, node.link_tags) for node in nodes}
+    page_links = sum(o[2] for o in own.values()) / max(sum(o[0] for o in own.values()), 1)
+    html_text._settle_noise(nodes)
+    kept = [node for node in nodes if not node.noise]
+    density = {}
+    for top in kept:
+        below = [node for node in kept if within(node, top)]
+        chars, tags, link_chars, link_tags = (sum(own[node][i] for node in below) for i in range(4))
+        density[top] = html_text.density(chars, tags + len(below) - 1, link_chars, link_tags, page_links)
+    total = {node: sum(density[c] for c in kept if c.parent is node) if any(c.parent is node for c in kept) else density[node] for node in kept}
+    best = max(total.values(), default=0.0)
+    path = []
+    node = next((node for node in kept if total[node] == best), None)
+    while node is not None:
+        path.append(node.tag)
+        node = node.parent
+    return "/".join(reversed(path)), best
+
+
+def random_page(rng):
+    def element(depth):
+        tag = rng.choice(["div", "p", "section", "ul", "li", "a", "span", "article", "nav", "h1", "main"])
+        inner = "".join(element(depth + 1) for _ in range(rng.randint(0, 3))) if depth < 4 else ""
+        return f"<{tag}>{'word ' * rng.randint(0, 12)}{inner}{'more ' * rng.randint(0, 4)}</{tag}>"
+
+    return f"<html><body>{''.join(element(0) for _ in range(rng.randint(1, 4)))}</body></html>"
+
+
+def test_density_is_that_of_the_definition():
+    import math
+    import random
+
+    import pyarrow.parquet as pq
+
+    rng = random.Random(6)
+    pages = [random_page(rng) for _ in range(200)]
+    pages += pq.read_table("/root/testdata/sf0.001/pages.parquet").column("html").to_pylist()
+    for html in pages:
+        _, choice = html_text.extract(html)
+        path, total = chosen_by_definition(html)
+        assert math.isclose(choice.total, total, rel_tol=1e-9) and choice.path == path
+
+
+def test_every_given_page_has_a_choice(spark):
+    from lettora.llm.queries import LLM_QUERIES
+
+    rows = LLM_QUERIES["op6_html_text"](spark, "/root/testdata/sf0.01").select("chosen", "density", "n_chars").collect()
+    assert rows and all(row.density > 0 and row.chosen for row in rows if row.n_chars)
+
+
+def test_density_chooses_among_articles():
+    teaser = "".join(f"<article><h2>Card {i}</h2><a href='/{i}'>Read</a></article>" for i in range(5))
+    body = "".join(f"<p>{'Some sentence of the story goes on. ' * 8}</p>" for _ in range(4))
+    page = f"<html><body><div>{teaser}</div><article><h1>Title</h1>{body}<p>Short.</p></article></body></html>"
+    assert html_text.main_text(page).startswith("Title\nSome") and html_text.main_text(page).endswith("Short.")
+    assert "Card" not in html_text.main_text(page)

@@ -8,7 +8,7 @@ import re
 import numpy as np
 import pytest
 
-from lettora.llm.pii import CrfSpec, Graph, KINDS, N_FEATURES, N_LABELS, NONE, added_spans, base_spans, fit_field, fit_words_of, graph_of
+from lettora.llm.pii import CrfSpec, Field, Graph, KINDS, N_FEATURES, N_LABELS, NONE, added_spans, base_spans, fit_field, fit_words_of, graph_of
 from lettora.llm.pii import labels_of, marginals, personal_data
 from lettora.llm.queries import op10_pii
 
@@ -82,6 +82,24 @@ def example_field():
     return fit_field(graphs, CrfSpec())
 
 
+def test_the_link_weight_is_learned():
+    """It follows from the training data: the stronger words look like none, the more a link has to be worth."""
+    field = example_field()
+    assert (field.agree[:NONE] > 1).all() and field.agree[NONE] == 0
+    rng = random.Random(9)
+    graphs = []
+    for i in range(200):
+        digits = "".join(rng.choices("0123456789", k=10))
+        text = f"jo{i}@mail.example.com " + " ".join(f"{digits[:3]}-{digits[3:6]}-{k}{digits[7:]}" for k in range(20))
+        graph = graph_of(text, CrfSpec())
+        graphs.append((graph, labels_of(graph.words, base_spans(text))))
+    other = fit_field(graphs, CrfSpec())
+    assert abs(other.agree[0] - field.agree[0]) > 0.2
+    spec, text = CrfSpec(), "call +1 (636) 555-7248 now, later 636-555-7248."
+    weak = Field(field.emit, field.move, np.zeros(N_LABELS))
+    assert added_spans(text, base_spans(text), field, spec) and not added_spans(text, base_spans(text), weak, spec)
+
+
 def test_links_add_repetitions_and_nothing_else():
     field, spec = example_field(), CrfSpec()
 

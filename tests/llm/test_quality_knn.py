@@ -2,11 +2,12 @@
 
 import random
 import zlib
+from zlib import crc32
 
 import numpy as np
 import pytest
 
-from lettora.llm.quality_knn import KnnSpec, fit_space, quality_scores, term_counts
+from lettora.llm.quality_knn import KnnSpec, fit_space, fitted_space, quality_scores, term_counts
 from lettora.llm.queries import op8_quality_classifier
 
 FOLDER = "/root/testdata/sf0.1"
@@ -64,3 +65,28 @@ def test_odd_rows(spark):
     assert all(r.score is not None for r in found) and all(r.held_out is False for r in found if r.doc_id is None)
     assert {r.score for r in quality_scores(docs, labels.limit(0)).collect()} == {0.5}
     assert quality_scores(docs.limit(0), labels).count() == 0
+
+
+def test_labels_of_other_documents_change_nothing(spark):
+    rng = random.Random(5)
+    rows = [(i, " ".join(rng.choices(["aa", "bb", "cc", "dd"] if i % 2 else ["X!!", "Y!!", "Z!!"], k=40))) for i in range(80)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(80)], "doc_id long, quality int")
+    foreign = spark.range(1000, 200_000).selectExpr("id as doc_id", "cast(id % 2 as int) as quality")
+    spec = KnnSpec(fit_rows=40)
+    alone = {r.doc_id: r.score for r in quality_scores(docs, labels, spec).collect()}
+    assert {r.doc_id: r.score for r in quality_scores(docs, labels.union(foreign), spec).collect()} == alone
+    assert len(set(alone.values())) > 1
+
+
+def test_a_rare_kind_reaches_the_sample(spark):
+    rng = random.Random(6)
+    rows = [(i, " ".join(rng.choices(["X!!", "Y!!", "Z!!"] if i % 100 == 1 else ["aa", "bb", "cc", "dd"], k=40))) for i in range(1000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 100 != 1)) for i in range(1000)], "doc_id long, quality int")
+    space = fitted_space(docs, labels, KnnSpec(fit_rows=40))
+    assert len(space.labels) == 40 and 5 <= (space.labels == 0).sum() <= 10
+    known = sum(1 for i in range(1000) if crc32(str(i).encode()) % 5)
+    assert space.importance.sum() == pytest.approx(known) and np.average(space.labels, weights=space.importance) > 0.98
+    wrong = [r for r in quality_scores(docs, labels, KnnSpec(fit_rows=40)).collect() if r.predicted != int(r.doc_id % 100 != 1)]
+    assert not wrong
