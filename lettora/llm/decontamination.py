@@ -73,6 +73,25 @@ def question_and_answer(text: str) -> tuple[list[bytes], list[bytes]]:
     return words[:cut], words[cut:]
 
 
+def least_share(words: list[bytes], weights: dict[bytes, float], spec: LeakSpec) -> float:
+    """A bound on how much of the weights (which sum to 1) a passage holds that holds ``overlap`` of the shingles.
+
+    A term that is missing takes all shingles with it away, and a shingle has at most ``shingle_words`` terms: so terms
+    can be missing as long as their shingles, added up, are no more than that times those that may be missing. The
+    heaviest such terms, the last one in part, are what a passage can lack at most.
+    """
+    size = min(spec.shingle_words, len(words))
+    shingles = {tuple(words[i : i + size]) for i in range(len(words) - size + 1)}
+    missing = next((m for m in range(len(shingles), -1, -1) if (len(shingles) - m) / len(shingles) >= spec.overlap), 0)
+    touched = Counter(term for shingle in shingles for term in set(shingle))
+    room, lacking = size * missing, 0.0
+    for term in sorted(touched, key=lambda t: (-weights[t] / touched[t], t)):
+        if touched[term] <= missing and room > 0:
+            lacking += weights[term] * min(1.0, room / touched[term])
+            room -= touched[term]
+    return max(1.0 - lacking, 0.01)
+
+
 def shingle_share(words: list[bytes], held: set[tuple], size: int) -> float:
     """Share of the shingles of ``words`` in ``held``; words shorter than a shingle are looked for as they are."""
     size = min(size, len(words))
@@ -92,6 +111,7 @@ class ItemIndex:
         self.words = [question + answer for question, answer in self.parts]
         self.vocabulary = {t: k for k, t in enumerate(sorted({t for words in self.words for t in words}))}
         self.stride = max([spec.min_stride, *map(len, self.words)])
+        self.needed: list[float] = []
         postings: list[dict[int, float]] = [{} for _ in self.vocabulary]
         for item, words in enumerate(self.words):
             length = spec.k1 * (1 - spec.b + spec.b * len(words) / mean_words)
@@ -100,8 +120,11 @@ class ItemIndex:
                 idf = log(1 + (n_items - frequency[term] + 0.5) / (frequency[term] + 0.5))
                 weights[self.vocabulary[term]] = idf * count * (spec.k1 + 1) / (count + length)
             whole = sum(weights.values())
+            shares = {t: weights[self.vocabulary[t]] / whole for t in set(words)}
+            # In units of what the item needs, so that one threshold of 1 serves all.
+            self.needed.append(min(spec.threshold, least_share(words, shares, spec)))
             for term, weight in weights.items():
-                postings[term][item] = weight / whole
+                postings[term][item] = weight / whole / self.needed[item]
         self.postings = postings
         self.items = [list(p) for p in postings]
         self.best = [max(p.values()) for p in postings]
@@ -141,12 +164,12 @@ class ItemIndex:
             bound = np.bincount(cell, self.block_max[at], (last - first) * self.n_blocks).reshape(-1, self.n_blocks)
             if last - first > 1:
                 bound = bound[:-1] + bound[1:]
-            near = (bound + self.from_frequent >= self.spec.threshold - 1e-9).any(axis=1)
+            near = (bound + self.from_frequent >= 1 - 1e-9).any(axis=1)
             yield from ((first + np.flatnonzero(near)) * self.stride).tolist()
 
     def search(self, terms: set[int]) -> list[tuple[int, float]]:
-        """Items, with scores, that reach the threshold: block-max WAND, one item at a time."""
-        threshold, size = self.spec.threshold - 1e-9, self.spec.block_items
+        """Items, with scores in units of what they need, that reach 1: block-max WAND, one item at a time."""
+        threshold, size = 1 - 1e-9, self.spec.block_items
         cursors = [[self.items[term][0], term, 0] for term in terms]
         found = []
 
@@ -198,7 +221,7 @@ class ItemIndex:
                 question, answer = (shingle_share(part, held, size) for part in self.parts[item])
                 whole = shingle_share(self.words[item], held, size)
                 if whole >= self.spec.overlap and min(question, answer) >= self.spec.part_overlap:
-                    best[item] = max(best.get(item, (0.0, 0.0, 0.0)), (score, question, answer))
+                    best[item] = max(best.get(item, (0.0, 0.0, 0.0)), (score * self.needed[item], question, answer))
         return [(self.ids[item], *found) for item, found in sorted(best.items())]
 
 
@@ -210,7 +233,7 @@ def item_indexes(items: DataFrame, spec: LeakSpec = LeakSpec()) -> Iterator[Item
     def split(batch: pa.RecordBatch) -> Iterator[tuple]:
         yield *batch.columns, [sum(question_and_answer(text.as_py()), []) for text in batch.column(1)]
 
-    listed = written(map_batches(slim, split, schema).where(F.size("words") >= spec.shingle_words), "items")
+    listed = written(map_batches(slim, split, schema).where(F.size("words") > 0), "items")
     n_items, mean_words, n_bytes = listed.agg(
         F.count(F.lit(1)), F.avg(F.size("words")), F.sum(F.octet_length("text"))
     ).first()

@@ -5,8 +5,8 @@
 2. Packing: the words of a source, document after document, form blocks of ``block_words`` (the last may be shorter).
    Offsets are sums over runs of buckets of documents, inside a run and inside a bucket, so a large source is many tasks.
 3. Drawing: every slot of an output shard draws its source from a hash of its number, which makes the counts of a shard
-   multinomial. Where a source drew more slots than its target allows, its last slots go to sources that drew too few,
-   so the totals are met to a block.
+   multinomial. Where a source drew more slots than its target allows, its last slots go to sources that drew too few.
+   The last slots of a source take fewer words, or none, so that its target is met to the word.
 4. Slot ``j`` of a source reads block ``p(j mod blocks)``, with a pseudorandom permutation ``p`` of its own for every pass
    over the source (swap-or-not rounds, exact for any length). No block is read more than ``max_repeats`` times.
 5. Blocks and slots meet by source number and block number.
@@ -174,18 +174,38 @@ def _slots(sources: DataFrame, n_slots: int, spec: MixSpec) -> DataFrame:
     under = _intervals(table, "under", "drawn").withColumn("first", F.col("low"))
     moved = _within(spare, "spare", under, n_spare).select("shard", "sid", F.expr("drawn + spare - first").alias("j"))
     slots = numbered.where("j < quota").select("shard", "sid", "j").union(moved)
-    slots = slots.join(sources.select("sid", "n_blocks"), "sid")
+    slots = slots.join(sources.select("sid", "n_blocks", "source_size", "wanted"), "sid")
     slots = slots.withColumn("epoch", F.expr("j div n_blocks")).withColumn("position", F.expr("j % n_blocks"))
-    block = permuted("position", "n_blocks", ["sid", "epoch"], spec)
-    return slots.select("shard", "sid", "j", block.alias("block"))
+    slots = slots.withColumn("block", permuted("position", "n_blocks", ["sid", "epoch"], spec))
+    return _to_the_word(slots, spec).select("shard", "sid", "j", "block", "words")
+
+
+def _to_the_word(slots: DataFrame, spec: MixSpec) -> DataFrame:
+    """``words``, how many of its block a slot takes: all, but for the last pass over a source, which ends at its target.
+
+    Blocks are of one size but for the last one of a source, so the words before a slot follow from its position in the
+    pass and from whether that block came earlier.
+    """
+    size, last = spec.block_words, "source_size - block_size * (n_blocks - 1)"
+    slots = slots.withColumn("block_size", F.lit(size).cast("long")).withColumn("short", F.expr("block = n_blocks - 1"))
+    slots = slots.withColumn("final", F.expr("epoch = wanted div source_size"))
+    short = slots.where("short and final").select("sid", F.col("position").alias("short_at"))
+    slots = slots.join(short, "sid", "left")
+    whole = F.expr(f"if(short, {last}, block_size)")
+    before = F.expr(f"block_size * position - if(coalesce(short_at < position, false), block_size - ({last}), 0)")
+    rest = F.greatest(F.lit(0), F.least(whole, F.expr("wanted % source_size") - before))
+    return slots.withColumn("words", F.when(F.col("final"), rest).otherwise(whole).cast("long")).where("words > 0")
 
 
 def mix(documents: DataFrame, spec: MixSpec = MixSpec()) -> Mix:
     counted = written(sized(documents), "mix_sizes")
     sizes = counted.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n_documents"))
     sources = with_targets(sizes, spec).withColumn("n_blocks", F.ceil(F.col("source_size") / spec.block_words))
-    quota = F.round(F.col("target") * F.col("n_blocks") / F.greatest("source_size", F.lit(1))).cast("long")
-    sources = written(sources.withColumn("quota", quota), "mix_sources")
+    sources = sources.withColumn("wanted", F.round("target").cast("long"))
+    # Whole passes, then blocks for the words that are left, and one more if the short block is among them.
+    passes, rest = F.expr("wanted div greatest(source_size, 1)"), F.expr("wanted % greatest(source_size, 1)")
+    more = F.when(rest > 0, F.least(F.col("n_blocks"), F.ceil(rest / spec.block_words) + 1)).otherwise(0)
+    sources = written(sources.withColumn("quota", (passes * F.col("n_blocks") + more).cast("long")), "mix_sources")
     n_slots = sources.agg(F.sum("quota")).first()[0] or 0
     return Mix(_placed(counted, sources, spec), sources, _slots(sources, max(1, n_slots), spec), spec)
 
@@ -206,10 +226,15 @@ def _pieces(documents: DataFrame, spec: MixSpec, *columns: str) -> DataFrame:
 def words_taken(mixed: Mix) -> DataFrame:
     """``doc_id``, ``source``, ``size``, ``source_size``, ``target`` and ``taken`` for every document."""
     documents = written(mixed.documents, "mix_placed")
-    uses = mixed.slots.groupBy("sid", "block").agg(F.count(F.lit(1)).alias("uses"))
-    pieces = _pieces(documents, mixed.spec).select("sid", "offset", "block", "words")
-    taken = pieces.join(uses, ["sid", "block"]).groupBy("sid", "offset")
-    taken = taken.agg(F.sum(F.col("words") * F.col("uses")).alias("taken"), F.lit(1).cast("long").alias("full"))
+    size = mixed.spec.block_words
+    # A block is taken in part at most once: by the last slot of its source.
+    blocks = mixed.slots.groupBy("sid", "block").agg(F.count(F.lit(1)).alias("uses"), F.min("words").alias("least"), F.max("words").alias("most"))
+    pieces = _pieces(documents, mixed.spec).withColumn("at", F.expr(f"offset + start - block * {size}"))
+    pieces = pieces.select("sid", "offset", "block", "words", "at").join(blocks, ["sid", "block"])
+    in_part = F.greatest(F.lit(0), F.least("words", F.col("least") - F.col("at")))
+    whole = F.greatest(F.lit(0), F.least("words", F.col("most") - F.col("at")))
+    used = whole * (F.col("uses") - 1) + in_part
+    taken = pieces.groupBy("sid", "offset").agg(F.sum(used).alias("taken"), F.lit(1).cast("long").alias("full"))
     # Documents without words share their offset with the next one; they must not get its words.
     rows = documents.withColumn("full", (F.col("size") > 0).cast("long"))
     rows = rows.join(taken, ["sid", "offset", "full"], "left")
@@ -232,6 +257,6 @@ def mixed_blocks(documents: DataFrame, spec: MixSpec = MixSpec()) -> DataFrame:
     piece = F.slice("all_words", (F.col("start") + 1).cast("int"), F.col("words").cast("int"))
     blocks = pieces.select("sid", "block", F.struct("offset", piece.alias("words")).alias("piece"))
     blocks = blocks.groupBy("sid", "block").agg(F.sort_array(F.collect_list("piece")).alias("pieces"))
-    blocks = blocks.select("sid", "block", F.flatten(F.col("pieces.words")).alias("words"))
+    blocks = blocks.select("sid", "block", F.flatten(F.col("pieces.words")).alias("all_words"))
     slots = plan.slots.join(blocks, ["sid", "block"]).join(plan.sources.select("sid", "source"), "sid")
-    return slots.select("shard", "source", "block", "words")
+    return slots.select("shard", "source", "block", F.slice("all_words", F.lit(1), F.col("words").cast("int")).alias("words"))

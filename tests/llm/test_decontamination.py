@@ -1,4 +1,4 @@
-"""Leaks against a brute-force search: every item scored against every passage."""
+"""Leaks against a brute-force search by shingles alone: every item against every passage."""
 
 import random
 from collections import Counter
@@ -6,7 +6,7 @@ from math import log
 
 import pytest
 
-from lettora.llm.decontamination import ItemIndex, LeakSpec, benchmark_leaks, question_and_answer, without_leaks, words_of
+from lettora.llm.decontamination import ItemIndex, LeakSpec, benchmark_leaks, least_share, question_and_answer, without_leaks, words_of
 from lettora.llm.queries import op7_benchmark_decontamination
 
 FOLDER = "/root/testdata/sf0.001"
@@ -14,7 +14,7 @@ FOLDER = "/root/testdata/sf0.001"
 
 def plain_leaks(docs, items, spec=LeakSpec()):
     split = [(i, *question_and_answer(t or "")) for i, t in items]
-    split = [(i, q, a) for i, q, a in split if len(q + a) >= spec.shingle_words]
+    split = [(i, q, a) for i, q, a in split if q + a]
     if not split:
         return []
     frequency = Counter(t for _, q, a in split for t in set(q + a))
@@ -45,7 +45,7 @@ def plain_leaks(docs, items, spec=LeakSpec()):
                 passage = words[start : start + 2 * stride]
                 score = sum(v for t, v in w.items() if t in set(passage)) / sum(w.values())
                 got = (round(score, 9), share(q, passage), share(a, passage))
-                if score >= spec.threshold - 1e-9 and share(q + a, passage) >= spec.overlap and min(got[1:]) >= spec.part_overlap:
+                if share(q + a, passage) >= spec.overlap and min(got[1:]) >= spec.part_overlap:
                     best = max(best or got, got)
             if best:
                 out.append((doc_id, item_id, *best))
@@ -99,4 +99,25 @@ def test_wand_retrieves_all_above_the_threshold():
         for _ in range(30):
             terms = {index.vocabulary[w] for w in rng.sample(sorted(index.vocabulary), 40)}
             scores = {i: sum(index.postings[t].get(i, 0) for t in terms) for i in range(len(items))}
-            assert {i for i, _ in index.search(terms)} == {i for i, s in scores.items() if s >= threshold - 1e-9}
+            assert {i for i, _ in index.search(terms)} == {i for i, s in scores.items() if s >= 1 - 1e-9}
+
+
+def test_what_a_passage_with_the_shingles_holds_at_least():
+    """Passages made by dropping words of an item: those that keep 0.8 of its shingles have at least the bound."""
+    rng, spec = random.Random(10), LeakSpec()
+    seen = 0
+    for _ in range(300):
+        words = [rng.choice([b"a", b"b", *(bytes([c]) * 3 for c in range(100, 125))]) for _ in range(rng.randint(1, 40))]
+        raw = {t: rng.random() ** 3 for t in set(words)}
+        weights = {t: w / sum(raw.values()) for t, w in raw.items()}
+        least = least_share(words, weights, spec)
+        for _ in range(30):
+            gone = set(rng.sample(sorted(set(words)), min(len(set(words)), rng.randint(0, 4))))
+            passage = [b"-" if w in gone else w for w in words]
+            n = min(5, len(words))
+            own = {tuple(words[i : i + n]) for i in range(len(words) - n + 1)}
+            held = {tuple(passage[i : i + n]) for i in range(len(words) - n + 1)}
+            if len(own & held) / len(own) >= spec.overlap:
+                seen += bool(gone)
+                assert sum(weights[t] for t in set(passage) & set(words)) >= least - 1e-9
+    assert seen > 100

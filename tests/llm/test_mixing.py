@@ -29,7 +29,7 @@ def plain_targets(sizes, weights=(1, 2, 3), most=3):
     return target
 
 
-def check(rows, docs, block=64):
+def check(rows, docs):
     """``rows`` of the query against all that the contract promises."""
     words = lambda t: len(re.findall("[^\x20\x09-\x0d]+", t or ""))
     sizes = defaultdict(int)
@@ -43,7 +43,7 @@ def check(rows, docs, block=64):
         assert 0 <= r.taken <= 3 * r.size
         taken[r.source] += r.taken
     for source, target in targets.items():
-        assert abs(taken[source] - target) <= block + 1
+        assert abs(taken[source] - target) <= 0.5 + 1e-6
 
 
 def test_query(spark):
@@ -62,7 +62,7 @@ def test_odd_rows_and_a_hot_source(spark, spec, run_rows, monkeypatch):
     docs += [(200, None, text(40)), (None, None, text(9)), (None, "é", None), (201, "é", ""), (202, "Z", " \t"), (203, "", text(5))]
     docs += [docs[4], docs[4], (4, "other", text(7)), (205, "long", text(30_000))]
     df = spark.createDataFrame([(*d, 1, 2) for d in docs], "doc_id long, source string, text string, size int, sid int")
-    check(words_taken(mix(df, spec)).collect(), docs, spec.block_words)
+    check(words_taken(mix(df, spec)).collect(), docs)
     assert words_taken(mix(df.limit(0), spec)).count() == 0
     empty = words_taken(mix(df.where("source = 'Z'"), spec)).collect()
     assert [(r.size, r.target, r.taken) for r in empty] == [(0, 0.0, 0)]
@@ -93,3 +93,13 @@ def test_permutation(spark, length):
         assert sorted(out) == [*range(length)]
         orders.append(out)
     assert length < 7 or orders[0] != orders[1] != [*range(length)]
+
+
+def test_sources_below_a_block_meet_their_targets(spark):
+    docs = [(i, f"s{i % 60:02}", " ".join(["w"] * 10)) for i in range(180)]
+    df = spark.createDataFrame(docs, "doc_id long, source string, text string")
+    check(words_taken(mix(df)).collect(), docs)
+    lengths = Counter()
+    for b in mixed_blocks(df).collect():
+        lengths[b.source] += len(b.words)
+    assert all(abs(n - 5400 / 60 / 3 * [0.5, 1.0, 1.5][int(s[1:]) % 3]) < 20 for s, n in lengths.items())
