@@ -15,7 +15,7 @@ from lettora.llm.mixing import mix, words_taken
 from lettora.llm.quality_rules import keep_good
 from lettora.llm.simhash import one_of_each
 from lettora.llm.tables import table
-from lettora.sources.shared import cleaned, fresh_path
+from lettora.sources.shared import cleaned, deleted, fresh_path
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -56,10 +56,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         path = fresh_path(spark, f"stage-{name.replace(' ', '-')}")
         with cleaned(spark):  # what a stage itself has put into the shared folder; its result stays
             stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        if before is not None:
+            deleted(spark, before)  # it has been read for the last time
+        docs, before = spark.read.parquet(path), path
     return docs

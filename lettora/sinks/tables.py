@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from lettora.operators.columns import quoted
+from lettora.sources.shared import deleted
 
 
 @dataclass(frozen=True)
@@ -59,7 +60,7 @@ def overwrite_table(
         except BaseException:
             spark.sql(f"drop table if exists {staged}")
             if staged_path:
-                _delete(spark, staged_path)
+                deleted(spark, staged_path)
             raise
     else:
         (writer.option("path", path) if path else writer).saveAsTable(name)
@@ -97,7 +98,7 @@ def _swap(spark: SparkSession, staged: str, name: str, staged_path: str | None,
             _rename(spark, staged, name)
     except BaseException:
         if moved and path and old_path:
-            _delete(spark, path)
+            deleted(spark, path)
             _move(spark, old_path, path)
         spark.sql(f"drop table if exists {name}") if path else None
         if replaces:
@@ -106,7 +107,7 @@ def _swap(spark: SparkSession, staged: str, name: str, staged_path: str | None,
     if replaces:
         spark.sql(f"drop table {retired}")
     if old_path and moved:
-        _delete(spark, old_path)
+        deleted(spark, old_path)
 
 
 def _rename(spark: SparkSession, old: str, new: str) -> None:
@@ -138,8 +139,3 @@ def _at(spark: SparkSession, path: str) -> tuple[JavaObject, JavaObject]:
 def _move(spark: SparkSession, old: str, new: str) -> bool:
     files, at = _at(spark, old)
     return files.exists(at) and files.rename(at, _at(spark, new)[1])
-
-
-def _delete(spark: SparkSession, path: str) -> None:
-    files, at = _at(spark, path)
-    files.delete(at, True)

@@ -48,8 +48,12 @@ def cleaned(spark: SparkSession) -> Iterator[None]:
     finally:
         _MADE.reset(token)
         for path in made:
-            at = spark._jvm.org.apache.hadoop.fs.Path(path)
-            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+            deleted(spark, path)
+
+
+def deleted(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
