@@ -10,7 +10,8 @@
 
 Defined cases: a NULL or empty text is one empty line. Every row is a document, so a row that occurs twice counts twice;
 the rows of the largest ``doc_id`` keep the line. A line that only rows without ``doc_id`` hold is dropped nowhere; else
-such rows lose it. All lines of a text may go: its text is then empty. An empty table gives an empty result.
+such rows lose it. All lines of a text may go: its text is then empty. Bytes that
+are no UTF-8 stay as they are; each counts as a character or less. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -46,7 +47,7 @@ class LineSpec:
 def line_hash(line: bytes, min_chars: int) -> bytes | None:
     """128-bit hash of the line's key, without blanks around it and with A-Z lowered; None if the key is short."""
     key = line.strip().lower()
-    if len(key) < min_chars or len(key) < 4 * min_chars and len(key.decode()) < min_chars:
+    if len(key) < min_chars or len(key) < 4 * min_chars and len(key.decode("utf-8", "replace")) < min_chars:
         return None
     return xxhash.xxh3_128_digest(key)
 
@@ -167,8 +168,10 @@ def shared_lines(lines: DataFrame, spec: LineSpec = LineSpec()) -> DataFrame:
     sizes = counted.groupBy(shard).agg(F.sum("n").alias("n"))
     hot = written(hot_keys(sizes, ["shard"], SkewLimits(spec.requests_per_task)), "hot_shards")
     salts = F.coalesce(F.col(SALTS), F.lit(1)).cast("long")
-    requests = lines.withColumn("shard", shard).join(hot, "shard", "left")
-    requests = requests.withColumn("salt", F.pmod(F.xxhash64("doc_id", "text_hash", "h1"), salts)).drop(SALTS)
+    requests = lines.select("*", shard, F.spark_partition_id().alias("part")).join(hot, "shard", "left")
+    # Rows that are equal in all columns differ in the partition of the table they are read from.
+    spread = F.xxhash64("doc_id", "text_hash", "h1", "part")
+    requests = requests.withColumn("salt", F.pmod(spread, salts)).drop(SALTS, "part")
     copies = index.join(hot, "shard", "left").withColumn("salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop(SALTS)
     arrow, min_documents = _arrow(lines.schema), spec.min_documents
 

@@ -16,11 +16,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lettora.operators.skew import skew_join
-from lettora.sources.shared import written
+from lettora.sources.shared import fresh_path, written
 
 
 @dataclass(frozen=True)
@@ -45,6 +45,9 @@ def _any_case(word: str) -> str:
 
 KEYWORDS = "|".join(map(_any_case, ("password", "passwd", "secret", "token", "api_?key")))
 
+#: Up to so many unseen blobs (of 32 bytes each) are sent to all tasks.
+BROADCAST_BLOBS = 1_000_000
+
 #: The order of the rules is the order of findings that start at the same place. For runs of one class of characters the
 #: least length is part of the pattern, which finds the same runs and skips short ones faster.
 RULES = (
@@ -63,6 +66,15 @@ class Ledger:
     pairs: DataFrame
     findings: DataFrame
 
+    def save(self, path: str) -> None:
+        """Store the ledger in the folder ``path``, for scans of later sessions."""
+        self.pairs.write.parquet(f"{path}/pairs")
+        self.findings.write.parquet(f"{path}/findings")
+
+    @staticmethod
+    def load(spark: SparkSession, path: str) -> Ledger:
+        return Ledger(spark.read.parquet(f"{path}/pairs"), spark.read.parquet(f"{path}/findings"))
+
     def union(self, other: Ledger) -> Ledger:
         return Ledger(self.pairs.unionByName(other.pairs), self.findings.unionByName(other.findings))
 
@@ -121,8 +133,10 @@ def scan(
         unseen = placed.select("blob").distinct().join(seen, "blob", "left")
         unseen = unseen.withColumn("unseen", F.array_except(every, F.coalesce("seen", F.array().cast("array<string>"))))
         unseen = written(unseen.where(F.size("unseen") > 0).select("blob", "unseen"), "unseen")
-        # Texts of blobs that are done are dropped before they are combined and shuffled, where the list is small.
-        texts = texts.join(unseen.select("blob"), "blob", "left_semi")
+        if unseen.count() <= BROADCAST_BLOBS:
+            # Texts of blobs that are done go before they are combined and shuffled. Of a longer list, copies are
+            # combined first, and the list is joined to what is left of them.
+            texts = texts.join(F.broadcast(unseen.select("blob")), "blob", "left_semi")
     blobs = texts.groupBy("blob").agg(F.any_value("text").alias("text"))
     blobs = blobs.withColumn("unseen", every) if ledger is None else blobs.join(unseen, "blob")
     findings = written(scan_blobs(blobs, rules), "findings")
@@ -148,9 +162,16 @@ def _number_of(kind: str) -> Column:
     return F.size(F.filter("found", lambda s: s["kind"] == kind))
 
 
-def secret_digest(history: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """``doc_id``, the number of findings of each base rule, the SHA-256 of their list, and the list of all findings."""
-    found, _ = scan(history, rules=rules)
+def secret_digest(history: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text") -> DataFrame:
+    """``doc_id``, the number of findings of each base rule, the SHA-256 of their list, and the list of all findings.
+
+    The history comes in two scans, as it does to one that is kept up: half of the blobs by hash, whose ledger is stored
+    and loaded again, then all rows, of which only the other half is still unseen.
+    """
+    earlier = history.where(F.pmod(F.xxhash64(F.coalesce(text, F.lit(""))), F.lit(2)) == 0)
+    path = fresh_path(history.sparkSession, "ledger")
+    scan(earlier, None, rules, text=text)[1].save(path)
+    found, _ = scan(history, Ledger.load(history.sparkSession, path), rules, text=text)
     base = [rule.kind for rule in rules if rule.base]
     counts = [_number_of(kind).cast("long").alias(f"n_{kind}") for kind in base]
     of_base = F.filter("found", lambda s: s["kind"].isin(base))

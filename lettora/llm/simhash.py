@@ -195,6 +195,6 @@ def one_of_each(
     first = _rooted(marked, radius, tile_rows).groupBy("root").agg(F.min("first").alias("first"))
     identity = F.struct("first.doc_id", "first.text_hash").alias("identity")
     rows = documents.select(F.struct("*").alias("row"), F.struct(*_identity()).alias("identity"))
-    # Only rows that repeat both the doc_id and the text are left to drop; they are in one partition already.
-    kept = rows.join(first.select(identity), "identity", "left_semi").dropDuplicates(["identity"])
+    # Rows that repeat both the doc_id and the text are combined before the shuffle, however many they are.
+    kept = rows.dropDuplicates(["identity"]).join(first.select(identity), "identity", "left_semi")
     return kept.select("row.*")

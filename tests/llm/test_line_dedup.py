@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from lettora.llm.line_dedup import LineSpec, build_perfect_hash, dedup_lines, drop_shared_lines, probe
 
@@ -56,6 +57,16 @@ def test_odd_rows_and_hot_lines(spark, spec):
     assert found(wide.limit(0), spec) == []
 
 
+def test_lines_that_are_no_utf8_and_equal_rows(spark):
+    rows = spark.sql("select id as doc_id, cast(concat(x'ff', repeat('b', 50), x'0a61') as string) as text from range(5)")
+    cut = dedup_lines(rows).select("row.doc_id", F.hex(F.col("text").cast("binary")).alias("hex"), "n_dropped").collect()
+    assert {(r.doc_id, r.n_dropped, r.hex == "61") for r in cut} == {(i, int(i < 4), i < 4) for i in range(5)}
+    equal = spark.range(0, 3000, 1, 8).selectExpr("7L as doc_id", "repeat('line ', 20) as text").union(spark.sql("select 9L, repeat('line ', 20)"))
+    spec = LineSpec(requests_per_task=100)
+    found = dedup_lines(equal, spec).groupBy("row.doc_id", "n_dropped").count().collect()
+    assert sorted(map(tuple, found)) == [(7, 1, 3000), (9, 0, 1)]
+
+
 @pytest.mark.parametrize("size", [1, 2, 63, 5000])
 def test_perfect_hash_numbers_every_key_once(size):
     rng = np.random.default_rng(size)

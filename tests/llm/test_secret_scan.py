@@ -6,7 +6,7 @@ import re
 
 from pyspark.sql import functions as F
 
-from lettora.llm.secret_scan import RULES, Rule, scan, secret_digest
+from lettora.llm.secret_scan import Ledger, RULES, Rule, scan, secret_digest
 
 PLAIN = {
     "assign": (r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 12),
@@ -72,3 +72,21 @@ def test_only_unseen_pairs_are_scanned(spark):
     assert last.pairs.where(F.col("rule") == "hex@2").count() == 2 and last.pairs.count() == 8
     found, same = scan(first, last, newer, "path")
     assert same.pairs.count() == 8 and found.count() == 3
+
+
+def test_a_stored_ledger_goes_on(spark, tmp_path):
+    text = "token=abcdefabcdefabcdef"
+    first = spark.createDataFrame([(1, text), (2, "no")], "doc_id long, text string")
+    scan(first)[1].save(str(tmp_path / "ledger"))
+    ledger = Ledger.load(spark, str(tmp_path / "ledger"))
+    found, later = scan(first.union(spark.createDataFrame([(3, text + "0")], first.schema)), ledger)
+    assert {r.path: [s.kind for s in r.found] for r in found.collect()} == {1: ["assign", "hex"], 2: [], 3: ["assign", "hex"]}
+    assert later.pairs.count() == ledger.pairs.count() + len(RULES)
+
+
+def test_long_lists_of_unseen_blobs(spark, monkeypatch):
+    rows = [(i, f"token=abcdefabcdef{i:04}") for i in range(50)] + [(100 + i, "token=abcdefabcdefabcdef") for i in range(50)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    expected = sorted(map(tuple, secret_digest(df).collect()))
+    monkeypatch.setattr("lettora.llm.secret_scan.BROADCAST_BLOBS", 3)
+    assert sorted(map(tuple, secret_digest(df).collect())) == expected
