@@ -39,12 +39,18 @@ CRLF = "\r\n"
 RECORD_END = CRLF * 2
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _PIECE = 1 << 20
+#: More than the headers of a record take, but for a very long address.
+_HEADER_BYTES = 2048
 
 
 @dataclass(frozen=True)
 class WarcSpec:
+    """A monolithic file holds at most ``records_per_file`` records, and no more than make ``file_bytes`` if all are as long
+    as the longest payload (but one at least)."""
+
     min_revisit_bytes: int = 1000
     records_per_file: int = 5000
+    file_bytes: int = 256 << 20
     date: str = "1970-01-01T00:00:00Z"
 
 
@@ -98,9 +104,11 @@ def records(typed: DataFrame, spec: WarcSpec = WarcSpec()) -> Column:
 def write_monolithic(pages: DataFrame, path: str, spec: WarcSpec = WarcSpec()) -> None:
     """One record per page; every file is a single gzip stream."""
     typed = with_record_types(pages, spec)
+    longest = pages.agg(F.max(F.octet_length("html"))).first()[0] or 0
+    most = max(1, min(spec.records_per_file, spec.file_bytes // (longest + _HEADER_BYTES)))
     writer = typed.select(records(typed, spec).alias("value")).write
     writer = writer.option("compression", "gzip").option("lineSep", RECORD_END)
-    writer.option("maxRecordsPerFile", spec.records_per_file).text(path)
+    writer.option("maxRecordsPerFile", most).text(path)
 
 
 # --- records in Python ------------------------------------------------------------------------------------------------
@@ -209,8 +217,10 @@ _PAGE.add("record_type", StringType()).add("refers_to", LongType()).add("url", S
 
 def read_index(spark: SparkSession, target: str) -> DataFrame:
     """The sidecar index: ``archive``, ``record_id``, ``record_type``, ``offset`` and ``length`` of every record."""
-    schema = StructType().add("value", StringType()).add("part", StringType()).add("archive", StringType())
-    lines = spark.read.schema(schema).option("lineSep", "\0").text(target).where("part = 'index'")
+    files = spark.read.option("recursiveFileLookup", "true").option("lineSep", "\0").text(target)
+    # Of no record there is no folder either, so the name of the archive is read from the path.
+    lines = files.where(F.col("_metadata.file_path").contains("/part=index/"))
+    lines = lines.select(F.regexp_extract("_metadata.file_path", "archive=([^/]+)/", 1).alias("archive"), "value")
     lines = lines.select("archive", F.explode(F.split("value", "\n")).alias("line"))
     return lines.select("archive", F.from_json("line", INDEX_SCHEMA).alias("place")).select("archive", "place.*")
 
@@ -266,9 +276,9 @@ def read_places(spark: SparkSession, target: str, places: DataFrame) -> DataFram
 
 
 def archive_round_trip(pages: DataFrame, spec: WarcSpec = WarcSpec()) -> DataFrame:
-    """Write ``pages`` as monolithic files to the shared folder, normalise them, and read the archives back."""
+    """Write ``pages`` as monolithic files to the shared folder, normalise them, and read all records back by the index."""
     spark = pages.sparkSession
     path = fresh_path(spark, "warc")
     write_monolithic(pages, f"{path}/monolithic", spec)
     normalise(spark, f"{path}/monolithic", f"{path}/normal")
-    return read_pages(spark, f"{path}/normal")
+    return read_places(spark, f"{path}/normal", read_index(spark, f"{path}/normal"))

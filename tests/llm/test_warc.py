@@ -60,6 +60,17 @@ def test_files_are_gzip_members_at_the_indexed_places(spark, tmp_path):
     assert {r.page_id for r in some} == ids and len(some) == len(ids) > 0
 
 
+def test_files_of_long_pages_are_bounded_by_bytes(spark, tmp_path):
+    rng = random.Random(3)
+    rows = [(i, "u", "".join(rng.choices("abcdefgh", k=1_000_000))) for i in range(24)]
+    df = spark.createDataFrame(rows, SCHEMA).coalesce(1)
+    write_monolithic(df, str(tmp_path / "mono"), WarcSpec(file_bytes=5_000_000))
+    sizes = [len(gzip.decompress(open(name, "rb").read())) for name in glob.glob(str(tmp_path / "mono/*.gz"))]
+    assert len(sizes) >= 5 and max(sizes) <= 5_000_000
+    found = archive_round_trip(df, WarcSpec(file_bytes=5_000_000))
+    assert sorted((tuple(r)[:5] for r in found.collect()), key=repr) == plain(rows)
+
+
 def test_members_end_in_zero_and_damage_is_reported():
     for raw in (b"", b"abc", bytes(17 << 20)):
         packed = member(raw)
