@@ -357,7 +357,7 @@ def fit_field(graphs: list[tuple[Graph, np.ndarray]], spec: CrfSpec) -> Field:
         move = move + rate * (d_move - cost * move)
         agree = np.maximum(agree + rate * (d_agree - cost * agree), 0)
     field = Field(emit, move, agree)
-    return Field(emit, move, np.append(np.full(NONE, link_weight(field, features, known, spec)), 0.0))
+    return Field(emit, move, np.full(N_LABELS, link_weight(field, features, known, spec)))
 
 
 def link_weight(field: Field, features: np.ndarray, known: np.ndarray, spec: CrfSpec) -> float:
@@ -365,7 +365,8 @@ def link_weight(field: Field, features: np.ndarray, known: np.ndarray, spec: Crf
 
     Where patterns find both ends of a link, their features alone tell the labels, and a link learns next to nothing. But
     a repetition that patterns miss looks like a word that is none. So each word of an entity is linked to a word of that
-    look, whose label has to come over the link. One weight serves all kinds, as few documents repeat one of each.
+    look, whose label has to come over the link. One weight serves all labels: few documents repeat an entity of each kind,
+    and two words that agree to be none must gain as much as two that agree on a kind, or links alone would make one.
     """
     entities, others = np.flatnonzero(known != NONE), np.flatnonzero(known == NONE)
     if not len(entities):
