@@ -91,11 +91,14 @@ def odd_from_all(x: str, y: str, edges: str) -> str:
 
 def meets_box(left: str, bottom: str, right: str, top: str, size: str) -> str:
     """The edge ``e`` meets a closed box of side ``size``, or comes as near to it as rounding can tell."""
-    corners = [side(x, y) for x in (left, right) for y in (bottom, top)]
+    # Of the four corners, the one farthest to the left of the edge's line and the one farthest to the right: which these
+    # are depends on which way it leans only, also after rounding.
+    rises = "e.xhi >= e.xlo"
+    most, least = side(left, f"if({rises}, {top}, {bottom})"), side(right, f"if({rises}, {bottom}, {top})")
     # Boxes beside the line of the edge do not meet it; the margin is far above any rounding.
     margin = f"1e-9D * (abs(e.xhi - e.xlo) + abs(e.yhi - e.ylo)) * (abs(e.xlo) + abs(e.ylo) + abs(e.xhi) + abs(e.yhi) + {size})"
     beside = f"{left_end('e')} <= {right} and {right_end('e')} >= {left} and e.ylo <= {top} and e.yhi >= {bottom}"
-    return f"({beside} and greatest({', '.join(corners)}) >= -({margin}) and least({', '.join(corners)}) <= {margin})"
+    return f"({beside} and {most} >= -({margin}) and {least} <= {margin})"
 
 
 def crossings_left(first: str, last: str, top: str) -> str:

@@ -76,28 +76,39 @@ def as_points(df: DataFrame, longitude: str = "longitude", latitude: str = "lati
     return points.where(finite[0] & finite[1])
 
 
+def _once(df: DataFrame, *columns: str, **computed: str) -> DataFrame:
+    """``columns`` of ``df`` and expressions that are computed once per row, whatever is filtered by them.
+
+    A filter on a plain column is moved below it and takes a copy of its expression along; one on a generator's is not.
+    """
+    fields = ", ".join(f"'{name}', {expression}" for name, expression in computed.items())
+    return df.selectExpr(*columns, f"inline(array(named_struct({fields})))")
+
+
 def _sized(polygons: DataFrame, grid: GridSpec) -> DataFrame:
-    """(postcode, boundary, level, n_edges): finite edges per member, and the level of the first cells."""
+    """(postcode, boundary, low_x, low_y, high_x, high_y, level, n_edges): finite edges per member, the box around them,
+    and the level of the first cells."""
     numbers = "array(e.xlo, e.ylo, e.xhi, e.yhi)"
     finite = f"forall({numbers}, v -> v is not null and abs(v) < double('infinity'))"
-    boundary = polygons.selectExpr(
-        "postcode", f"transform({member_edges('members')}, edges -> filter(edges, e -> {finite})) as boundary"
-    )
+    boundary = _once(polygons, "postcode", boundary=f"transform({member_edges('members')}, edges -> filter(edges, e -> {finite}))")
     every = boundary.selectExpr("postcode", "boundary", "flatten(boundary) as every")
-    width = f"array_max(transform(every, e -> {right_end('e')})) - array_min(transform(every, e -> {left_end('e')}))"
-    height = "array_max(every.yhi) - array_min(every.ylo)"
-    across = f"if(size(every) > {int(grid.edges_in_row)}, {int(grid.cells_across_large)}, {int(grid.cells_across)})"
-    sized = every.selectExpr(
-        "postcode", "boundary", "every", f"greatest({width}, {height}) as extent", "size(every) as n_edges", f"{across} as across"
-    )
-    level = f"cast(ceil(log2(greatest(extent / across, {float(grid.cell or 0)!r}D))) as int)"
-    return sized.where("extent > 0").selectExpr("postcode", "boundary", "every", f"{level} as level", "n_edges")
+    ends = {
+        "low_x": f"array_min(transform(every, e -> {left_end('e')}))",
+        "low_y": "array_min(every.ylo)",
+        "high_x": f"array_max(transform(every, e -> {right_end('e')}))",
+        "high_y": "array_max(every.yhi)",
+    }
+    boxes = _once(every, "postcode", "boundary", **ends, n_edges="size(every)")
+    across = f"if(n_edges > {int(grid.edges_in_row)}, {int(grid.cells_across_large)}, {int(grid.cells_across)})"
+    level = f"cast(ceil(log2(greatest(extent / ({across}), {float(grid.cell or 0)!r}D))) as int)"
+    sized = boxes.selectExpr("*", "greatest(high_x - low_x, high_y - low_y) as extent").where("extent > 0")
+    return sized.selectExpr("postcode", "boundary", *ends, f"{level} as level", "n_edges")
 
 
 def _as_cell(keys: list[str], rims: DataFrame) -> DataFrame:
     """Rows with ``all_rims`` as cells. A cell that no member touches is outside and goes."""
     whole = "exists(rims, r -> r.odd and size(r.edges) = 0)"
-    kept = rims.selectExpr(*keys, "filter(all_rims, r -> r.odd or size(r.edges) > 0) as rims").where("size(rims) > 0")
+    kept = _once(rims, *keys, rims="filter(all_rims, r -> r.odd or size(r.edges) > 0)").where("size(rims) > 0")
     return kept.selectExpr(*keys, f"{whole} as whole", f"if({whole}, slice(rims, 1, 0), rims) as rims")
 
 
@@ -106,22 +117,23 @@ def _box(size: str) -> list[str]:
 
 
 _KEYS = ["level", "cell_x", "cell_y", "postcode"]
+_SIDES = ["box_left", "box_bottom", "box_right", "box_top"]
+
+
+def _boxed(cells: DataFrame, *columns: str) -> DataFrame:
+    """``columns`` and the borders of each cell of side ``side``, as columns: edge after edge is held against them."""
+    return cells.selectExpr(*_KEYS, *columns, "side", *(f"{at} as {name}" for at, name in zip(_box("side"), _SIDES)))
 
 
 def _cut_in_row(sized: DataFrame) -> DataFrame:
     """The first cells of polygons, each cut in its row."""
-    ends = sized.withColumn("side", F.expr("pow(2D, level)")).selectExpr(
-        "*",
-        *(f"array_min(transform(every, e -> {low})) as low_{axis}" for axis, low in (("x", left_end("e")), ("y", "e.ylo"))),
-        *(f"array_max(transform(every, e -> {high})) as high_{axis}" for axis, high in (("x", right_end("e")), ("y", "e.yhi"))),
-    )
+    ends = sized.withColumn("side", F.expr("pow(2D, level)"))
     # A cell is closed: what lies on its upper or right border meets it as well.
     rows = ends.selectExpr("*", "explode(sequence(ceil(low_y / side) - 1, floor(high_y / side))) as cell_y")
     cells = rows.selectExpr("*", "explode(sequence(ceil(low_x / side) - 1, floor(high_x / side))) as cell_x")
-    box = _box("side")
-    odd = odd_from_all(box[2], box[3], "edges")
-    rim = f"named_struct('odd', {odd}, 'edges', filter(edges, e -> {meets_box(*box, 'side')}))"
-    return _as_cell(_KEYS, cells.selectExpr(*_KEYS, f"transform(boundary, edges -> {rim}) as all_rims"))
+    odd = odd_from_all("box_right", "box_top", "edges")
+    rim = f"named_struct('odd', {odd}, 'edges', filter(edges, e -> {meets_box(*_SIDES, 'side')}))"
+    return _as_cell(_KEYS, _boxed(cells, "boundary").selectExpr(*_KEYS, f"transform(boundary, edges -> {rim}) as all_rims"))
 
 
 def _cut_by_edges(sized: DataFrame) -> DataFrame:
@@ -172,12 +184,13 @@ def _cut_in_four(cells: DataFrame) -> DataFrame:
         "(old_y + 1) * pow(2D, level) as top",
         "pow(2D, level - 1) as side",
     )
-    box = _box("side")
-    odd = odd_in_cell(box[2], box[3], "right", "top", "r.edges", "r.odd")
-    rim = f"named_struct('odd', {odd}, 'edges', filter(r.edges, e -> {meets_box(*box, 'side')}))"
-    return _as_cell(_KEYS, parts.selectExpr(*_KEYS, f"transform(old_rims, r -> {rim}) as all_rims"))
+    odd = odd_in_cell("box_right", "box_top", "right", "top", "r.edges", "r.odd")
+    rim = f"named_struct('odd', {odd}, 'edges', filter(r.edges, e -> {meets_box(*_SIDES, 'side')}))"
+    boxed = _boxed(parts, "old_rims", "right", "top")
+    return _as_cell(_KEYS, boxed.selectExpr(*_KEYS, f"transform(old_rims, r -> {rim}) as all_rims"))
 
 
+CORNER = "_right", "_top"
 EDGES_IN_CELL = "aggregate(rims, 0, (n, rim) -> n + size(rim.edges))"
 
 
@@ -242,11 +255,13 @@ def containing_polygons(
     levels = sorted(row.level for row in cells.select("level").distinct().collect())
     placed = points.withColumn("level", F.explode(F.array(*map(F.lit, levels)).cast("array<int>")))
     placed = placed.selectExpr("*", "floor(x / pow(2D, level)) as cell_x", "floor(y / pow(2D, level)) as cell_y")
+    # The corner belongs to the point's side of the join, so that it is not computed again for every edge.
+    right, top = (f"(cell_{axis} + 1) * pow(2D, level) as {name}" for axis, name in zip("xy", CORNER))
+    placed = placed.selectExpr("*", right, top)
     keys = ["level", "cell_x", "cell_y"]
     if cells_bytes <= grid.broadcast_bytes:
         candidates = placed.join(F.broadcast(cells), keys)
     else:
         candidates = skew_join(placed, cells, keys, "inner", limits, split_right=True)
-    corner = "(cell_x + 1) * pow(2D, level)", "(cell_y + 1) * pow(2D, level)"
-    inside = f"exists(rims, r -> {inside_cell('x', 'y', *corner, 'r.edges', 'r.odd')})"
+    inside = f"exists(rims, r -> {inside_cell('x', 'y', *CORNER, 'r.edges', 'r.odd')})"
     return candidates.where(f"whole or {inside}").select(*map(quoted, points.columns), "postcode")

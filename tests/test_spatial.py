@@ -259,3 +259,16 @@ def test_join_plan(spark, plan_text):
         plan = plan_text(containing_polygons(points, polygons, GridSpec(1.0, size)))
         assert kind in plan
         assert not any(word in plan for word in ("CartesianProduct", "NestedLoop", "Python", "Pandas"))
+
+
+def test_cutting_computes_boundaries_once(spark):
+    """No filter of the cutting takes a copy of the boundary or of a cell's edges along."""
+    from lettora.operators.spatial import _cut_in_row, _sized
+
+    text = "[[[0, 0], [4, 0], [4, 4], [0, 0]]]"
+    polygons = spark.createDataFrame([("1", text)], "postcode string, text string").select(
+        "postcode", geojson.polygon_members(F.lit("Polygon"), F.col("text")).alias("members")
+    )
+    plan = _cut_in_row(_sized(polygons, GridSpec()))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("zip_with(") == 1
+    assert plan.count("aggregate(") == 1
