@@ -32,7 +32,7 @@ from lettora.plans.quality import null_counts, profile
 from lettora.plans.silver import silver_listings, silver_rentals
 from lettora.sinks.tables import WriteMetrics, overwrite_table
 from lettora.sources.files import CORRUPT, LISTINGS_SCHEMA, read_csv, read_geojson, read_geojson_lines, read_json_lines
-from lettora.sources.shared import fresh_path, written
+from lettora.sources.shared import content_bytes, fresh_path, written
 from lettora.sources.splits import read_csv_records, read_geojson_split
 from lettora.sources.variants import read_json_any
 from parity import inputs
@@ -188,18 +188,30 @@ def geojson_polygons(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def geojson_one_file(spark: SparkSession, folder: str) -> DataFrame:
     """``geojson_polygons`` from one file of all areas, read in byte ranges."""
-    with _small_ranges(spark):
-        areas = postcode_polygons(read_geojson_split(spark, inputs.geojson_file(spark, folder)))
+    file = inputs.geojson_file(spark, folder)
+    with _several_ranges(spark, file):
+        areas = postcode_polygons(read_geojson_split(spark, file))
         rings = areas.select("postcode", F.size("members").alias("members"), F.explode(F.flatten("members")).alias("ring"))
         positions = rings.select("postcode", "members", F.size("ring").alias("ring_size"), F.explode("ring").alias("at"))
         at = [F.round(F.col("at")[axis], 6).alias(name) for axis, name in enumerate(("x", "y"))]
         return written(positions.select("postcode", "members", "ring_size", *at), "positions")
 
 
+LEAST_RANGE = 65536
+
+
+def _range_bytes(total: int, tasks: int, most: int) -> int:
+    """The size of byte ranges: several per task, but of at least 64 kB, and at most as large as they would be anyway."""
+    return max(LEAST_RANGE, min(most, total // (8 * tasks)))
+
+
 @contextmanager
-def _small_ranges(spark: SparkSession) -> Iterator[None]:
-    """Byte ranges of 64 kB, so that files of the smallest tables have several."""
-    names = {"spark.sql.files.maxPartitionBytes": 65536, "spark.sql.files.openCostInBytes": 1}
+def _several_ranges(spark: SparkSession, path: str) -> Iterator[None]:
+    """Small byte ranges where files are small, so that those of the smallest tables have several; their number does not
+    grow with the files, until they are as large as ranges are by the session's own setting."""
+    most = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get("spark.sql.files.maxPartitionBytes"))
+    bytes_per_range = _range_bytes(content_bytes(spark, path), spark.sparkContext.defaultParallelism, most)
+    names = {"spark.sql.files.maxPartitionBytes": bytes_per_range, "spark.sql.files.openCostInBytes": 1}
     for name, value in names.items():
         spark.conf.set(name, value)
     try:
@@ -430,8 +442,9 @@ def csv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def csv_line_breaks(spark: SparkSession, folder: str) -> DataFrame:
     """Listings with line breaks and quotes in a text, read in byte ranges. No record is corrupt."""
-    with _small_ranges(spark):
-        rows = read_csv_records(spark, inputs.listings_csv_with_breaks(spark, folder), LISTINGS_SCHEMA, CORRUPT)
+    files = inputs.listings_csv_with_breaks(spark, folder)
+    with _several_ranges(spark, files):
+        rows = read_csv_records(spark, files, LISTINGS_SCHEMA, CORRUPT)
         return written(rows.select("listing_id", "zipcode", "price", "host_note", F.col(CORRUPT).isNotNull().alias("corrupt")), "breaks")
 
 

@@ -101,3 +101,17 @@ def test_a_damaged_feature_raises(spark, tmp_path):
     file.write_text('{"features": [{"type": "Feature", "properties": 7 8}]}')
     with pytest.raises(Exception, match="MALFORMED|FAILFAST|Malformed"):
         read_geojson_split(spark, str(file)).collect()
+
+
+def test_ranges_of_the_queries_do_not_grow_in_number(spark, tmp_path):
+    from parity.queries import LEAST_RANGE, _several_ranges
+
+    tasks = spark.sparkContext.defaultParallelism
+    setting = "spark.sql.files.maxPartitionBytes"
+    for total in (1000, 8 * tasks * LEAST_RANGE, 80 * tasks * LEAST_RANGE):
+        folder = tmp_path / str(total)
+        folder.mkdir()
+        for part in range(2):
+            (folder / f"{part}.txt").write_bytes(b"x" * (total // 2))
+        with _several_ranges(spark, str(folder)):
+            assert max(LEAST_RANGE, total // (8 * tasks)) == int(spark.conf.get(setting))
