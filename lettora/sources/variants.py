@@ -30,6 +30,7 @@ from lettora.sources.files import CORRUPT
 from lettora.sources.shared import written
 
 LINE, FIELDS = "_line", "_fields"
+_PLAIN_NAME = re.compile(r"[\w -]+")
 
 
 @dataclass(frozen=True)
@@ -75,7 +76,8 @@ def read_json_variants(spark: SparkSession, path: str) -> DataFrame:
     schema = StructType([StructField(LINE, VariantType()), StructField(CORRUPT, StringType())])
     reader = spark.read.schema(schema).option("singleVariantColumn", LINE).option("columnNameOfCorruptRecord", CORRUPT)
     lines = reader.json(path)
-    is_object = F.schema_of_variant(LINE).startswith("OBJECT<")
+    # Of the object nothing is read for this, other than for its whole type.
+    is_object = F.try_variant_get(F.col(LINE), "$", "struct<>").isNotNull()
     return lines.select(
         F.when(is_object, F.col(LINE)).alias(LINE),
         F.when(is_object, F.lit(None)).otherwise(F.coalesce(CORRUPT, F.to_json(LINE))).alias(CORRUPT),
@@ -86,6 +88,20 @@ def _is_array(value: Column) -> Column:
     return F.schema_of_variant(value).startswith("ARRAY<")
 
 
+def one_of_each_kind(lines: DataFrame) -> DataFrame:
+    """Of written ``lines``, one for every type that a field has in any of them.
+
+    Types are merged far more slowly than told apart, and of equal types one says as much as all. ``json_fields`` of these
+    few lines is that of all. Lines are named by file and number, as variants cannot be compared.
+    """
+    at = [F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row")]
+    placed = lines.select(LINE, *at)
+    values = placed.where(F.col(LINE).isNotNull()).lateralJoin(lines.sparkSession.tvf.variant_explode(F.col(LINE).outer()))
+    kinds = values.groupBy("file", "key", F.schema_of_variant("value").alias("kind")).agg(F.min("row").alias("row"))
+    first = kinds.groupBy("key", "kind").agg(F.min(F.struct("file", "row")).alias("at")).select("at.*").distinct()
+    return placed.join(first, ["file", "row"], "left_semi").select(LINE)
+
+
 def json_fields(lines: DataFrame) -> list[JsonField]:
     """All fields of the objects in ``_line``, by name. The list grows with the number of fields, not of rows."""
     values = lines.where(F.col(LINE).isNotNull()).lateralJoin(lines.sparkSession.tvf.variant_explode(F.col(LINE).outer()))
@@ -119,12 +135,16 @@ def _ddl(kind: DataType) -> str:
     return kind.simpleString()
 
 
-def field_column(field: JsonField) -> Column:
-    """The typed column of a field of ``_fields``. A value that does not fit raises; by ``json_fields`` none does."""
-    value = F.col(FIELDS)[field.name]
+def field_column(field: JsonField, spelled: bool = False) -> Column:
+    """The typed column of a field of ``_fields``, or of ``_line`` where a path can spell its name (``spelled``).
+
+    A value that does not fit raises; by ``json_fields`` none does.
+    """
+    source, path = (F.col(LINE), f"$['{field.name}']") if spelled else (F.col(FIELDS)[field.name], "$")
     if not field.mixed:
-        return F.variant_get(value, "$", _ddl(field.kind)).alias(field.name)
+        return F.variant_get(source, path, _ddl(field.kind)).alias(field.name)
     assert isinstance(field.kind, ArrayType)
+    value = F.variant_get(source, path, "variant")
     single = F.array(F.variant_get(value, "$", _ddl(field.kind.elementType)))
     missing = value.isNull() | F.is_variant_null(value)
     return (
@@ -138,6 +158,8 @@ def read_json_any(spark: SparkSession, path: str) -> DataFrame:
     Building this runs two jobs: lines are parsed and written to the shared folder, and fields are listed.
     """
     lines = written(read_json_variants(spark, path), "json")
-    fields = json_fields(lines)
-    objects = lines.withColumn(FIELDS, F.col(LINE).cast("map<string,variant>"))
-    return objects.select(*map(field_column, fields), CORRUPT)
+    fields = json_fields(one_of_each_kind(lines))
+    # Names that no path can spell are looked up in a map.
+    spelled = all(_PLAIN_NAME.fullmatch(field.name) for field in fields)
+    objects = lines if spelled else lines.withColumn(FIELDS, F.col(LINE).cast("map<string,variant>"))
+    return objects.select(*(field_column(field, spelled) for field in fields), CORRUPT)

@@ -283,3 +283,21 @@ def test_the_report_is_that_of_the_run(spark, tmp_path, database):
     assert report(require_digits=True)[:2] == (2, 4)
     assert report(require_digits=True, on_multiple="first")[:2] == (2, 2)
     assert report(explode_mode="zip")[2:] == ({"rows_in": 1, "rows_out": 3, "rows_lost": 0}, 3)
+
+
+def test_one_line_of_each_kind_says_as_much_as_all(spark, tmp_path):
+    """Types are merged over a few lines, however many there are; rare types and names are among them."""
+    from lettora.sources.variants import json_fields, one_of_each_kind, read_json_variants
+
+    file = tmp_path / "a.json"
+    lines = [f'{{"n": {i}, "t": "x{i}", "a": {"[1]" if i % 3 else i}, "o": {{"p": {i}}}, "none": null}}' for i in range(500)]
+    lines += ['{"n": "text", "it\'s": 1}', '{"n": 1.25, "o": {"q": [true]}}', '{"a": ["x"], "": 2}', "{}", "broken"]
+    file.write_text("\n".join(lines))
+    stored = written(read_json_variants(spark, str(file)), "lines")
+    few = one_of_each_kind(stored)
+    assert few.count() <= 30
+    fields = json_fields(few)
+    assert fields == json_fields(stored)
+    rows = read_json_any(spark, str(file))
+    assert sorted(rows.columns) == sorted([*(f.name for f in fields), CORRUPT])
+    assert sorted(r.a for r in rows.collect() if r.a)[-1] == ["x"] and [r["it's"] for r in rows.collect() if r["it's"]] == [1]
