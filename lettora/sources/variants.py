@@ -1,8 +1,8 @@
 """JSON lines of any shape, without a schema and without loss.
 
 Every line is parsed once, into a VARIANT, and stored; lines that are no JSON object keep their text in a column of their
-own. One distributed aggregate over the stored values then says, per field, which types occur, and the fields become typed
-columns by names in alphabetical order. A reader that infers types and reads again would have to parse twice, and would
+own. A distributed aggregate over the stored values then finds one line for each type of each field, their types are merged,
+and the fields become typed columns by names in alphabetical order. A reader that infers types and reads again would have to parse twice, and would
 turn what does not fit into NULL.
 """
 
@@ -155,7 +155,7 @@ def field_column(field: JsonField, spelled: bool = False) -> Column:
 def read_json_any(spark: SparkSession, path: str) -> DataFrame:
     """All lines and all fields of JSON line files, typed by what they hold, and ``_corrupt_record``.
 
-    Building this runs two jobs: lines are parsed and written to the shared folder, and fields are listed.
+    Building this runs jobs: lines are parsed and written to the shared folder, and fields are listed.
     """
     lines = written(read_json_variants(spark, path), "json")
     fields = json_fields(one_of_each_kind(lines))
