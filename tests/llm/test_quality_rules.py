@@ -78,6 +78,23 @@ def test_odd_rows(spark):
     assert all(r.kept == (not r.base_failed) for r in unlabelled)
 
 
+def test_rows_go_to_python_once_and_are_judged_alike(spark):
+    rng = random.Random(9)
+    words = ["".join(rng.choices("aeioulnrst", k=rng.randint(2, 9))) for _ in range(400)]
+    rows = [(i, " ".join(rng.choices(words, k=rng.randint(30, 99))).capitalize(), f"own {i}") for i in range(80)]
+    rows += [(100 + i, " ".join(f"{rng.randint(0, 10**6)}$$$***" for _ in range(80)), None) for i in range(8)]
+    rows += [(200, None, "a"), (201, "", "b"), (202, "one two three " * 40, "c"), rows[5], (None, rows[6][1], "d")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, anomaly string")
+    labels = spark.createDataFrame([(i, int(i < 100)) for i in [*range(0, 80, 2), *range(100, 106)]], "doc_id long, quality int")
+    for marks in (labels, labels.limit(0)):
+        verdicts = {r.doc_id: r.kept for r in quality_verdicts(docs, marks).collect()}
+        kept = keep_good(docs, marks)
+        assert sorted(map(tuple, kept.collect()), key=repr) == sorted((r for r in rows if verdicts[r[0]]), key=repr)
+        plan = kept._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("MapInArrow") == 1  # two workers a task, and two ways for every text, else
+    assert 0 < sum(verdicts.values()) < len(verdicts)
+
+
 def test_labels_that_the_sample_misses_count(spark):
     rng = random.Random(5)
     words = ["".join(rng.choices("aeioulnrst", k=rng.randint(2, 9))) for _ in range(400)]
